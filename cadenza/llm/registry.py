@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from cadenza.llm import quality, simhash
+from cadenza.llm import bpe, embeddings, language, packing, quality, simhash, urls
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op2_quality": quality.op2_quality,
+    "op5_embeddings": embeddings.op5_embeddings,
+    "op6_urls": urls.op6_urls,
+    "op7_bpe": bpe.op7_bpe,
     "op8_simhash": simhash.op8_simhash,
+    "op10_language": language.op10_language,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_embeddings": embeddings.OP5_SQL,
+    "op6_urls": urls.OP6_SQL,
+}
