@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -32,6 +33,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Like cut, as Parquet in a folder of its own under the checkpoint folder: for larger tables, read by column."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cadenza-"))
+    path = f"{context.getCheckpointDir()}/{uuid.uuid4()}.parquet"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

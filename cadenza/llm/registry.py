@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import bpe, embeddings, language, licenses, packing, quality, simhash, urls
+from cadenza.llm import bpe, embeddings, language, licenses, packing, passages, quality, simhash, urls
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_urls": urls.op6_urls,
     "op7_bpe": bpe.op7_bpe,
     "op8_simhash": simhash.op8_simhash,
+    "op9_passages": passages.op9_passages,
     "op10_language": language.op10_language,
 }
 
