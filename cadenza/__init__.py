@@ -1,0 +1,8 @@
+"""Timed-text analytics on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry their code, so executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
