@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cadenza.llm import bpe, embeddings, language, licenses, packing, passages, quality, simhash, urls
+from cadenza.llm import bpe, embeddings, language, licenses, packing, passages, quality, simhash, toxicity, urls
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_quality": quality.op2_quality,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_licenses": licenses.op4_licenses,
     "op5_embeddings": embeddings.op5_embeddings,
     "op6_urls": urls.op6_urls,
