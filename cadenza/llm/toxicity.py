@@ -24,7 +24,9 @@ WORDS, GRAMS, WIDTH, STATE = 1 << 14, 1 << 15, 16, 8
 #: Bounds of the training sample: documents of either label, their characters, and windows of each by its label.
 TOXIC, CLEAN, CHARS, WINDOWS = 600, 1200, 12_000, {1: 40, 0: 40}
 #: At least so many passes over the sample and so many updates.
-EPOCHS, UPDATES = 5, 240
+EPOCHS, UPDATES = 4, 120
+#: Standard errors by which a feature must be commoner in toxic documents to start with an embedding.
+SURE = 3.0
 BATCH, RATE, SEED = 192, 0.01, 7
 #: Windows of a clean document used in an epoch: those that look most toxic, and others at random.
 HARD, EASY = 2, 3
@@ -155,7 +157,11 @@ def _pad(rows: list[np.ndarray], none: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
-    """Adam on windows with their document's label; from the second epoch a toxic document counts by its worst windows only."""
+    """Adam on windows with their document's label.
+
+    Features that are surely commoner in toxic documents start with that in their embedding. Of a toxic document the windows
+    that look toxic count, by those features at first and by the network later; of a clean one the worst and some others.
+    """
     rng, net = np.random.default_rng(seed), Network.new(seed)
     place: dict[str, int] = {}
     windows, owner = [], []
@@ -176,7 +182,6 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
     counts = np.diff(np.append(starts, len(grams)))
     scale = (1 / np.sqrt(counts)).astype(np.float32)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.weights.items()}
-    probs, step = np.zeros(len(windows), np.float32), 0
     none = len(words)
     groups = np.split(np.arange(len(windows)), np.flatnonzero(np.diff(owner)) + 1)
     in_docs = [np.unique(np.concatenate([windows[i] for i in g])) for g in groups]
@@ -185,22 +190,27 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
         word_docs[np.unique(own[ids])] += 1
         gram_docs[np.unique(grams[_spans(starts, counts, ids)])] += 1
     word_known, gram_known = (word_docs >= SPREAD).astype(np.float32), (gram_docs >= SPREAD).astype(np.float32)
-    epoch = -1
-    while epoch + 1 < EPOCHS or step < UPDATES:
-        epoch += 1
+    toxic = np.asarray([y[g[0]] for g in groups]) == 1
+    word_z = _excess([own[i] for i in in_docs], toxic, WORDS)
+    gram_z = _excess([grams[_spans(starts, counts, i)] for i in in_docs], toxic, GRAMS)
+    net.weights["word"][:, 0], net.weights["gram"][:, 1] = word_z, gram_z
+    told = word_z[own] + np.add.reduceat(gram_z[grams], starts) * scale
+    probs = np.asarray([1 - np.exp(-max(0.0, told[w].max())) for w in windows], np.float32)
+    hinted, epoch, step = probs, 0, 0
+    while epoch < EPOCHS or step < UPDATES:
         if epoch:
             probs = _probabilities(net, words, windows)
         use = np.zeros(len(windows), bool)
-        for mine in groups:
-            if y[mine[0]] == 0:
-                use[mine[np.argsort(-probs[mine], kind="stable")[: HARD if epoch else 0]]] = True
-                use[rng.choice(mine, min(EASY, len(mine)), replace=False)] = True
-            elif epoch:
-                use[mine[np.argmax(probs[mine])]] = True
-                use[mine[probs[mine] > 0.6]] = True
+        for mine, is_toxic in zip(groups, toxic, strict=True):
+            own_probs = probs[mine]
+            if is_toxic:  # a document without any of those features teaches nothing
+                use[mine[own_probs >= 0.5 * own_probs.max()] if hinted[mine].max() > 0 else []] = True
             else:
-                use[mine] = True
+                use[mine[np.argsort(-own_probs, kind="stable")[:HARD]]] = True
+                use[rng.choice(mine, min(EASY, len(mine)), replace=False)] = True
+        epoch += 1
         order = rng.permutation(np.flatnonzero(use))
+        positive = max(1.0, min(4.0, (y[order] == 0).sum() / 2 / max(1, (y[order] == 1).sum())))
         for k in range(0, len(order), BATCH):
             pick = order[k : k + BATCH]
             at, mask = _pad([windows[i] for i in pick], none)
@@ -210,7 +220,7 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
             x = net.weights["word"][own[seen]] + _sum_grams(net.weights["gram"], grams, starts, counts, seen) * scale[seen, None]
             gates = np.concatenate([net.projected(x), np.zeros((1, 6 * STATE), np.float32)])[inverse]
             prob, kept = net.forward(gates, mask, keep=True)
-            grad, d_gates = net.backward(gates, mask, kept, (prob - y[pick]) / len(pick))
+            grad, d_gates = net.backward(gates, mask, kept, (prob - y[pick]) * np.where(y[pick] == 1, np.float32(positive), np.float32(1)) / len(pick))
             flat = np.zeros((len(seen) + 1, 6 * STATE), np.float32)
             np.add.at(flat, inverse.ravel(), d_gates.reshape(-1, 6 * STATE))
             flat = flat[: len(seen)]
@@ -229,6 +239,17 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
     return net
 
 
+def _excess(docs: list[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarray:
+    """By how many standard errors beyond SURE each feature's share of toxic documents exceeds that of clean ones."""
+    hits = np.zeros((2, size))
+    for ids, label in zip(docs, toxic, strict=True):
+        hits[int(label), np.unique(ids)] += 1
+    n = np.maximum(np.asarray([(~toxic).sum(), toxic.sum()]), 1)
+    share, both = hits / n[:, None], hits.sum(axis=0) / n.sum()
+    z = (share[1] - share[0]) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n).sum())
+    return np.clip((z - SURE) / SURE, 0, 3).astype(np.float32)
+
+
 def _probabilities(net: Network, words: list[str], windows: list[np.ndarray]) -> np.ndarray:
     table = np.concatenate([net.projected(net.inputs(words)), np.zeros((1, 6 * STATE), np.float32)])
     parts = [_pad(windows[k : k + SCORED], len(words)) for k in range(0, len(windows), SCORED)]
