@@ -2,15 +2,20 @@
 
 The file's pre-tokenizer never joins characters across white space, so a text's ids are those of its white-space words one
 after the other. Documents are read in blocks; a block lists its distinct words and writes its documents as positions in
-that list. All blocks' words meet in one table where each distinct word is encoded once and decoded through a join of its
-ids with the vocabulary's pieces; the results go back to the blocks by position.
+that list. The lists of all blocks meet in a table of distinct words, dealt by hash, where each word is encoded once; the ids
+go back to the blocks by position and are joined with the vocabulary's pieces on id.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import sys
+from array import array
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -23,6 +28,8 @@ from cadenza.llm.common import arrow_schema, in_batches, read
 TOKENIZER = "word_bpe_49k.json"
 #: Bytes of text in a block, at most one document more.
 BLOCK_BYTES = 24 << 20
+MARKS = ".,;:!?"
+MOST_CORES = 800_000
 
 
 def tokenizer(path: str | None = None):
@@ -43,23 +50,58 @@ def split_words(text: str | None) -> list[str]:
     return [w for w in flat.split(" ") if w]
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level pre-tokenizers write printable bytes as themselves and number the others from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Words:
-    """Ids of words as little-endian 32-bit integers, remembered within a task; of() takes all texts of a batch."""
+    """Ids of words as little-endian 32-bit integers, remembered within a task; of() takes all texts of a batch.
 
-    def __init__(self, path: str | None = None, most: int = 400_000) -> None:
-        self.tokenizer, self.most, self.known = tokenizer(path), most, {}
+    Ids of plain lower-case words stay with the worker process from one task to the next, MOST_CORES at most.
+    """
 
-    def of(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            words = split_words(text)
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            if len(self.known) + len(new) > self.most:
-                self.known, new = {}, list(dict.fromkeys(words))
-            for i in range(0, len(new), 8192):
-                part = new[i : i + 8192]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    self.known[w] = np.asarray(e.ids, "<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, words))
+    def __init__(self, path: str | None = None, most: int = 500_000) -> None:
+        self.tokenizer, self.most, self.known = tokenizer(path), most, {}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        kept = sys.modules.setdefault("_cadenza_words", ModuleType("_cadenza_words")).__dict__
+        self.cores: dict[str, bytes] = kept.setdefault(path or TOKENIZER, {})
+        self.marks = {"": b""} | dict(zip(MARKS, self._ids(list(MARKS)), strict=True))
+
+    def of(self, texts: list[str | None], together: int = 256) -> Iterator[bytes]:
+        for i in range(0, len(texts), together):
+            lists = [split_words(t) for t in texts[i : i + together]]
+            self.learn(list(chain.from_iterable(lists)))
+            for words in lists:
+                yield b"".join(map(self.known.__getitem__, words))
+
+    def learn(self, words: list[str]) -> None:
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if len(self.known) + len(new) > self.most:
+            self.known, new = {}, list(dict.fromkeys(words))
+        if len(self.cores) > MOST_CORES:
+            self.cores.clear()
+        # letters and perhaps a mark after them are two pre-tokens, and case is dropped
+        rest, cores = [], self.cores
+        for w in new:
+            mark = w[-1] if w[-1] in MARKS else ""
+            core = (w[:-1] if mark else w).lower()
+            ids = cores.get(core)
+            if ids is None:
+                if not core.isalpha() or not (core.isascii() or max(core) < "\u0100"):
+                    rest.append(w)
+                    continue
+                spelled = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+                ids = cores[core] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.known[w] = ids + self.marks[mark]
+        for i in range(0, len(rest), 8192):
+            self.known.update(zip(rest[i : i + 8192], self._ids(rest[i : i + 8192]), strict=True))
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
 
 def _blocks(batches: Iterator[dict[str, list]]) -> Iterator[tuple[int, bool, object, list[str], dict[str, int]]]:
