@@ -104,6 +104,20 @@ class Words:
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, their like bytes together, compressed."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel() if len(raw) else np.empty(0, np.uint32)
+
+
 def _blocks(batches: Iterator[dict[str, list]]) -> Iterator[tuple[int, bool, object, list[str], dict[str, int]]]:
     """(block, whether it ends here, id, words, the block's word positions so far) for each document of a task.
 
@@ -128,49 +142,107 @@ def _blocks(batches: Iterator[dict[str, list]]) -> Iterator[tuple[int, bool, obj
         row = following
 
 
-def _list_words(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-    for block, ends, _, _, places in _blocks(batches):
-        if ends:
-            yield {"block": [block], "words": [list(places)]}
+def _by_part(places: dict[str, int], parts: int) -> list[list[str]]:
+    """A block's distinct words, dealt to parts of the table by hash and sorted."""
+    out: list[list[str]] = [[] for _ in range(parts)]
+    for w in places:
+        out[crc32(w.encode()) % parts].append(w)
+    for words in out:
+        words.sort()
+    return out
 
 
-def _write_places(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-    import zstandard
+def _list_words(parts: int):
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        import zstandard
 
-    pack = zstandard.ZstdCompressor(level=1).compress
-    held: dict[str, list] = {"block": [], "id": [], "places": []}
-    for block, ends, doc_id, words, places in _blocks(batches):
-        at = np.fromiter(map(places.__getitem__, words), "<u4", len(words))
-        held["block"].append(block)
-        held["id"].append(doc_id)
-        held["places"].append(pack(at.view(np.uint8).reshape(-1, 4).T.tobytes()))  # like bytes together
-        if ends or len(held["id"]) >= 512:
-            yield held
-            held = {"block": [], "id": [], "places": []}
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for block, ends, _, _, places in _blocks(batches):
+            if ends:
+                lists = [(p, words) for p, words in enumerate(_by_part(places, parts)) if words]
+                yield {
+                    "block": [block] * len(lists),
+                    "part": [p for p, _ in lists],
+                    "words": [pack("\n".join(words).encode()) for _, words in lists],
+                }
 
+    return run
 
-def _assemble(schema: pa.Schema):
-    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
+
+def _write_places(parts: int):
+    """A row for each document, its words' positions in the block, and one for the block: where the table has each word."""
+
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        held: dict[str, list] = {k: [] for k in ("block", "order", "id", "places")}
+        for block, ends, doc_id, words, places in _blocks(batches):
+            rows = [(block, None, doc_id, _pack(np.fromiter(map(places.__getitem__, words), "<u4", len(words))))]
+            if ends:
+                listed = np.fromiter((places[w] for ws in _by_part(places, parts) for w in ws), np.int64, len(places))
+                order = np.empty(len(places), np.int64)
+                order[listed] = np.arange(len(places))
+                rows.append((block, _pack(order), None, None))
+            for row in rows:
+                for k, v in zip(held, row, strict=True):
+                    held[k].append(v)
+            if ends or len(held["id"]) >= 512:
+                yield held
+                held = {k: [] for k in held}
+
+    return run
+
+
+def _encode_part(path: str | None, schema: pa.Schema):
+    """One part of the distinct-word table: each of its words is encoded once, and every block gets its words' ids."""
+
+    def run(table: pa.Table) -> pa.Table:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        order = np.argsort(words["place"].to_numpy())
-        ids = [s.encode() for s in words["ids"].take(pa.array(order)).to_pylist()]
-        pieces = [s.encode() for s in words["pieces"].take(pa.array(order)).to_pylist()]
-        counts = words["n"].to_numpy()[order]
+        known = Words(path, most=1 << 62)
+        ids = []
+        for data in table["words"].to_pylist():
+            words = unpack(data).decode().split("\n")
+            known.learn(words)
+            got = [known.known[w] for w in words]
+            counts = np.fromiter(map(len, got), np.int64, len(got)) // 4
+            ids.append(_pack(np.concatenate([[len(got)], counts, np.frombuffer(b"".join(got), "<u4")])))
+        columns = [table["block"].combine_chunks(), table["part"].combine_chunks(), pa.array(ids, pa.binary())]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def _assemble(pieces: list[str], schema: pa.Schema):
+    """Documents of a block: the words' ids back in their places, and the vocabulary's pieces joined on id."""
+    vocabulary = [p.encode() for p in pieces]
+    numbers = [str(i).encode() for i in range(len(pieces))]
+
+    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
+        ids: list[bytes] = []
+        decoded: list[bytes] = []
+        counts: list[np.ndarray] = [np.empty(0, np.int64)]
+        for data in words.sort_by("part")["ids"].to_pylist():
+            flat = _unpack(data)
+            n = int(flat[0])
+            counts.append(flat[1 : n + 1].astype(np.int64))
+            stops = np.cumsum(counts[-1]).tolist()
+            own = flat[n + 1 :].tolist()
+            for a, b in zip([0, *stops], stops, strict=False):
+                ids.append(b" ".join([numbers[i] for i in own[a:b]]))
+                decoded.append(b" ".join([vocabulary[i] for i in own[a:b]]))
+        size = np.concatenate(counts)
+        order = next((_unpack(x) for x in documents["order"].to_pylist() if x is not None), np.empty(0, np.int64))
         out: dict[str, list] = {f.name: [] for f in schema}
         for doc_id, packed in zip(documents["id"].to_pylist(), documents["places"].to_pylist(), strict=True):
-            raw = np.frombuffer(unpack(packed), np.uint8)
-            at = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel() if len(raw) else np.empty(0, np.uint32)
-            if len(at):
-                full = at[counts[at] > 0]  # a word of dropped characters has no ids
-                at_list = full.tolist()
-            else:
-                at_list = []
+            if packed is None:
+                continue
+            at = order[_unpack(packed)]
+            n = size[at]
+            at = at[n > 0].tolist()  # a word of dropped characters has no ids
             out["doc_id"].append(doc_id)
-            out["n_tokens"].append(int(counts[at].sum()) if len(at) else 0)
-            out["ids_sha256"].append(hashlib.sha256(b" ".join(map(ids.__getitem__, at_list))).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(b" ".join(map(pieces.__getitem__, at_list))).hexdigest())
+            out["n_tokens"].append(int(n.sum()))
+            out["ids_sha256"].append(hashlib.sha256(b" ".join(map(ids.__getitem__, at))).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(b" ".join(map(decoded.__getitem__, at))).hexdigest())
         return pa.Table.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return run
@@ -215,20 +287,21 @@ def tokens_round_trip(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     An empty table gives none. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    listed = in_batches(rows, _list_words, "block bigint, words array<string>")
-    met = listed.select("block", F.posexplode("words").alias("place", "word"))
-    table = met.groupBy("word").agg(F.collect_list(F.struct("block", "place")).alias("at"))
-    known = decode_words(encode_words(table, path), path)
-    back = known.select(F.explode("at").alias("p"), F.col("ids"), "pieces").select(
-        "p.block", "p.place", F.size("ids").alias("n"), F.array_join("ids", " ").alias("ids"), "pieces"
-    )
-    written = in_batches(rows, _write_places, f"block bigint, id {kind}, places binary")
+    spark, kind = rows.sparkSession, rows.schema["id"].dataType.simpleString()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = in_batches(rows, _list_words(parts), "block bigint, part int, words binary")
+    encoded_as = "block bigint, part int, ids binary"
+    encoded = listed.groupBy("part").applyInArrow(_encode_part(path, arrow_schema(spark, encoded_as)), encoded_as)
+    written = in_batches(rows, _write_places(parts), f"block bigint, order binary, id {kind}, places binary")
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    named = sorted(tokenizer(path).get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
+    by_id = [""] * (named[-1][1] + 1)
+    for piece, i in named:
+        by_id[i] = piece
     return (
         written.groupBy("block")
-        .cogroup(back.groupBy("block"))
-        .applyInArrow(_assemble(arrow_schema(rows.sparkSession, schema)), schema)
+        .cogroup(encoded.groupBy("block"))
+        .applyInArrow(_assemble(by_id, arrow_schema(spark, schema)), schema)
     )
 
 
