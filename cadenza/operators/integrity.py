@@ -64,7 +64,7 @@ def draft_ready(draft: DataFrame, sentences: DataFrame) -> DataFrame:
     have = draft.select(KEY).distinct()
     out = have.join(want, KEY, "left").join(lack, KEY, "left")
     missing = F.coalesce("n_missing", F.lit(0))
-    return out.select(KEY, missing.alias("n_missing"), (F.coalesce("n", F.lit(0)) > 0) .__and__(missing == 0).alias("ready"))
+    return out.select(KEY, missing.alias("n_missing"), ((F.coalesce("n", F.lit(0)) > 0) & (missing == 0)).alias("ready"))
 
 
 def already_built(inventory: DataFrame, built: str, source: str) -> DataFrame:
@@ -81,7 +81,7 @@ def validate_ids(named: DataFrame, sentences: DataFrame) -> DataFrame:
     return j.groupBy(KEY).agg(F.bool_and((F.col("id") >= 0) & (F.col("id") < F.coalesce("n", F.lit(0)))).alias("ok"))
 
 
-def reasons(row: str = "") -> Column:
+def reasons() -> Column:
     """Flags of a report row in order: translation, verification, completeness."""
     return F.concat(F.array_compact(F.array("translate_flag", "verify_flag")), F.coalesce("completeness_flags", F.array().cast("array<string>")))
 
@@ -183,7 +183,7 @@ def gained_tracks(stamp: DataFrame, now: DataFrame) -> DataFrame:
 
 def read_queue_lines(lines: DataFrame, unmatched: str = "hash") -> DataFrame:
     """(pos, video_id) of a queue's lines, each id at its first place; comments and blanks skipped."""
-    clean = F.trim(F.regexp_replace("line", "^﻿", ""))
+    clean = F.trim(F.regexp_replace("line", "^\ufeff", ""))
     q = lines.select("pos", clean.alias("line")).where("line <> '' and line not like '#%'")
     q = q.withColumn("video_id", T.video_id(F.col("line"), unmatched)).where("video_id is not null")
     return q.groupBy("video_id").agg(F.min("pos").alias("pos"), F.count("*").alias("n"))
@@ -193,8 +193,6 @@ def collect_entries(queue: DataFrame, inventory: DataFrame) -> DataFrame:
     """Queue order kept, no row dropped; other directories follow, numbered on, with their state."""
     kinds = directory_kind(inventory)
     q = queue.select("video_id", "pos").join(kinds, "video_id", "left")
-    w = Window.orderBy("queued", "pos", "video_id")
-    del w
     extra = kinds.join(queue.select("video_id"), "video_id", "left_anti")
     return q.select("video_id", F.lit(True).alias("queued"), "pos", F.coalesce("kind", F.lit("missing")).alias("kind")).unionByName(
         extra.select("video_id", F.lit(False).alias("queued"), F.lit(None).cast("bigint").alias("pos"), "kind")

@@ -11,6 +11,11 @@ from cadenza.operators.intervals import KEY
 BROKEN_MILLI = 1800
 
 
+def whole(c: Column) -> Column:
+    """Rounded down, with room for an interpolated value that falls just short of a whole one."""
+    return F.floor(c + 0.01).cast("bigint")
+
+
 def unit_leaders(report: DataFrame) -> DataFrame:
     """First row by id of each unit."""
     group = F.coalesce("group_id", "id")
@@ -22,7 +27,7 @@ def speed_stats(report: DataFrame) -> DataFrame:
     """Median, 95th percentile and maximum of the leaders' factors in thousandths, and how many are broken; null without any."""
     c = F.col("combined_milli")
     return unit_leaders(report).groupBy(KEY).agg(
-        F.floor(F.percentile(c, 0.5)).cast("bigint").alias("median"), F.floor(F.percentile(c, 0.95)).cast("bigint").alias("p95"),
+        whole(F.percentile(c, 0.5)).alias("median"), whole(F.percentile(c, 0.95)).alias("p95"),
         F.max(c).alias("most"), F.when(F.count(c) > 0, F.count_if(c >= BROKEN_MILLI)).alias("n_broken"),
     )
 
@@ -77,9 +82,8 @@ def duration_ladder(stated: DataFrame, probed: DataFrame, sentences: DataFrame)
 def stage_shares(stages: DataFrame) -> DataFrame:
     """Tenths of a percent of a video's wall time in each stage."""
     total = F.sum("wall_ms").over(Window.partitionBy(KEY))
-    return stages.select(KEY, "stage", "wall_ms", F.expr("wall_ms * 1000 div nullif(total, 0)").alias("permille")) if "total" in stages.columns else (
-        stages.withColumn("total", total).select(KEY, "stage", "wall_ms", F.expr("wall_ms * 1000 div nullif(total, 0)").alias("permille"))
-    )
+    with_total = stages.withColumn("total", total)
+    return with_total.select(KEY, "stage", "wall_ms", F.expr("wall_ms * 1000 div nullif(total, 0)").alias("permille"))
 
 
 def triage(report: DataFrame) -> DataFrame:
@@ -155,7 +159,7 @@ def placement_stats(placed: DataFrame) -> DataFrame:
     """Median fill of slots in thousandths, and silence in and between units, in samples."""
     fill = F.when(F.col("slot") > 0, F.expr("placed * 1000 div slot"))
     return placed.groupBy(KEY).agg(
-        F.floor(F.percentile(fill, 0.5)).cast("bigint").alias("fill_median"), F.sum("slot_silence").alias("slot_silence"),
+        whole(F.percentile(fill, 0.5)).alias("fill_median"), F.sum("slot_silence").alias("slot_silence"),
         F.sum("span_silence").alias("span_silence"), F.count("flag").alias("n_bad"), F.count("*").alias("n_units"),
     )
 

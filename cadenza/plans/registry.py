@@ -51,9 +51,6 @@ GROUP BY video_id, g""",
   SELECT *, sum(CASE WHEN start_ms - reach <= 3600000 THEN 0 ELSE 1 END) OVER (PARTITION BY video_id ORDER BY start_ms, end_ms ROWS UNBOUNDED PRECEDING) AS g FROM (
     SELECT *, max(end_ms) OVER (PARTITION BY video_id ORDER BY start_ms, end_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM f_spans))
 GROUP BY video_id, g""",
-    "f_text": """SELECT l_orderkey AS video_id, id, l_comment AS text, id * 1000 AS start_ms, id * 1000 + 900 AS end_ms FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) - 1 AS id
-  FROM lineitem)""",
     "f_reasons": """SELECT *, list_filter([translate_flag, verify_flag], lambda x: x IS NOT NULL) || completeness_flags AS r FROM f_report""",
     "f_queue_ids": r"""SELECT video_id, min(pos) AS pos, count(*) AS n FROM (
   SELECT pos, CASE WHEN found <> '' THEN found ELSE substring(sha1(line), 1, 11) END AS video_id FROM (
@@ -92,19 +89,16 @@ def clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments of orders' lines as sentences."""
+    """Marks of orders' lines as sentences."""
     from pyspark.sql import Window
 
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     w = Window.partitionBy("l_orderkey").orderBy(*order)
     li = V.table(spark, sf_dir, "lineitem").withColumn("id", F.row_number().over(w).cast("bigint") - 1)
     return li.select(
-        F.col("l_orderkey").alias("video_id"), "id", F.col(_comment(li)).alias("text"), (F.col("id") * 1000).alias("start_ms"), (F.col("id") * 1000 + 900).alias("end_ms")
-    )
-
-
-def _comment(li: DataFrame) -> str:
-    return "l_comment" if "l_comment" in li.columns else "l_shipmode"
+        F.col("l_orderkey").alias("video_id"), "id", F.concat("l_returnflag", "l_linestatus").alias("text"),
+        (F.col("id") * 1000).alias("start_ms"), (F.col("id") * 1000 + 900).alias("end_ms"),
+    )
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +146,7 @@ FROM f_floor a LEFT JOIN (SELECT video_id, count(*) FILTER (end_ms - start_ms =
 )
 def _(spark, d):
     w = clamped(spark, d)
-    other = w.groupBy("video_id").agg(F.count_if("end_ms - start_ms = 20 and seq % 3 = 0" if False else (F.col("end_ms") - F.col("start_ms") == 20) & (F.col("seq") % 3 == 0)).alias("n_floor"), F.count("*").alias("n_words"))
+    other = w.groupBy("video_id").agg(F.count_if((F.col("end_ms") - F.col("start_ms") == 20) & (F.col("seq") % 3 == 0)).alias("n_floor"), F.count("*").alias("n_words"))
     return W.choose_decode(W.floor_run_ratio(w), other)
 
 
@@ -568,7 +562,7 @@ def _(spark, d):
     return A.unit_leaders(V.report(spark, d)).select("video_id", "id", "combined_milli")
 
 
-@query("ag3_speed_stats", """SELECT video_id, floor(quantile_cont(combined_milli, 0.5))::BIGINT AS median, floor(quantile_cont(combined_milli, 0.95))::BIGINT AS p95, max(combined_milli) AS most,
+@query("ag3_speed_stats", """SELECT video_id, floor(quantile_cont(combined_milli, 0.5) + 0.01)::BIGINT AS median, floor(quantile_cont(combined_milli, 0.95) + 0.01)::BIGINT AS p95, max(combined_milli) AS most,
   count(*) FILTER (combined_milli >= 1800) AS n_broken FROM f_leaders GROUP BY 1""")
 def _(spark, d):
     return A.speed_stats(V.report(spark, d))
@@ -619,7 +613,7 @@ def _(spark, d):
 
 @query("ag11_run_rollup", f"""SELECT video_id, n_rows, n_units, median, p95, most, n_broken, low_similarity, flags_total, flags_actionable, needs_triage FROM
   (SELECT video_id, count(*) AS n_rows, count(DISTINCT group_id) AS n_units, count(verify_flag) AS low_similarity FROM f_report GROUP BY 1) JOIN
-  (SELECT video_id, floor(quantile_cont(combined_milli, 0.5))::BIGINT AS median, floor(quantile_cont(combined_milli, 0.95))::BIGINT AS p95, max(combined_milli) AS most,
+  (SELECT video_id, floor(quantile_cont(combined_milli, 0.5) + 0.01)::BIGINT AS median, floor(quantile_cont(combined_milli, 0.95) + 0.01)::BIGINT AS p95, max(combined_milli) AS most,
    count(*) FILTER (combined_milli >= 1800) AS n_broken FROM f_leaders GROUP BY 1) USING (video_id) JOIN ({TRIAGE}) USING (video_id)""")
 def _(spark, d):
     return A.run_rollup(V.report(spark, d)).select(
@@ -657,7 +651,7 @@ def _(spark, d):
     return A.clean_stats(s.select("video_id", F.expr("id div 80").alias("chunk"), F.col("text").alias("src"), out.alias("text")))
 
 
-@query("ag18_placement_stats", """SELECT video_id, floor(quantile_cont(CASE WHEN slot > 0 THEN placed * 1000 // slot END, 0.5))::BIGINT AS fill_median, sum(greatest(slot - placed, 0))::BIGINT AS slot_silence,
+@query("ag18_placement_stats", """SELECT video_id, floor(quantile_cont(CASE WHEN slot > 0 THEN placed * 1000 // slot END, 0.5) + 0.01)::BIGINT AS fill_median, sum(greatest(slot - placed, 0))::BIGINT AS slot_silence,
   sum(greatest(span - placed, 0))::BIGINT AS span_silence, count(flag) AS n_bad, count(*) AS n_units FROM f_placed GROUP BY 1""".replace("sum(greatest(slot - placed, 0))", "sum(CASE WHEN slot IS NOT NULL THEN greatest(slot - placed, 0) ELSE 0 END)"))
 def _(spark, d):
     p = I.place_units(V.units(spark, d)).withColumn("slot_silence", F.coalesce("slot_silence", F.lit(0)))

@@ -41,7 +41,7 @@ def sparse_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """video_id, id, text, start_ms, end_ms; ids from 0."""
     parts = F.filter(
-        F.transform(F.regexp_extract_all("text", F.lit(r"[^.!?\n]+[.!?]?"), F.lit(0)), F.trim), lambda x: x != ""
+        F.transform(F.regexp_extract_all("text", F.lit(r"[^.!?\n]+[.!?]?"), F.lit(0)), lambda x: F.trim(x)), lambda x: x != ""
     )
     each = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("video_id"), F.posexplode(parts).alias("id", "text")
