@@ -6,7 +6,7 @@ islands and each island is a group of its own; only chunk plans, which have no s
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -16,15 +16,33 @@ from cadenza.operators.intervals import KEY, islands
 
 
 def fold(df: DataFrame, keys: list[str], order: str, step: Callable[[list], Iterable[tuple]], columns: str) -> DataFrame:
-    """Rows of each group in order through step, whose tuples follow the group's key columns."""
+    """Rows of each group in order through step, whose tuples follow the group's key columns.
+
+    Groups are many and small, so a task reads its sorted partition once and parts it where the key changes, which costs
+    nothing for each group; only one group is held at a time.
+    """
     names = [*keys, *(c.split()[0] for c in columns.split(", "))]
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = step(list(rows.sort_values(order).itertuples(index=False)))
-        return pd.DataFrame([(*key, *t) for t in out], columns=names)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held, out = None, [], []
+        for rows in batches:
+            at = [rows.columns.get_loc(k) for k in keys]
+            for r in rows.itertuples(index=False):
+                now = tuple(r[i] for i in at)
+                if now != key and held:
+                    out += [(*key, *t) for t in step(held)]
+                    held = []
+                key = now
+                held.append(r)
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        if held:
+            out += [(*key, *t) for t in step(held)]
+        yield pd.DataFrame(out, columns=names)
 
-    return df.groupBy(*keys).applyInPandas(run, f"{kinds}, {columns}")
+    return df.repartition(*keys).sortWithinPartitions(*keys, order).mapInPandas(run, f"{kinds}, {columns}")
 
 
 def build_units(sentences: DataFrame, gap: int = 1200, span: int = 20_000, chars: int = 600) -> DataFrame:

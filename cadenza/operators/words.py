@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
+from cadenza.operators.grouping import fold
 from cadenza.operators.intervals import KEY, islands
 
 FLOOR_MS = 20
@@ -182,22 +184,14 @@ def resegment(words: DataFrame) -> DataFrame:
     )
     w = islands(w, F.col("new") & (F.col("pause") > 600), ["seq"])
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("seq")
-        w = list(rows.itertuples(index=False))
+    def step(w: list) -> Iterable[tuple]:
         bounds = [i for i, r in enumerate(w) if not i or r.sentence != w[i - 1].sentence] + [len(w)]
         cut = [p for a, b in zip(bounds, bounds[1:], strict=False) for p in _pieces(w, a, b - 1)]
-        return pd.DataFrame(
-            [
-                (w[0].video_id, w[a].seq, " ".join(x.word for x in w[a : b + 1]), w[a].start_ms, w[b].end_ms)
-                for a, b in _merged(w, cut)
-            ],
-            columns=[KEY, "seq", "text", "start_ms", "end_ms"],
-        )
-
-    kind = words.schema[KEY].dataType.simpleString()
-    out = w.groupBy(KEY, "island").applyInPandas(fold, f"{KEY} {kind}, seq bigint, text string, start_ms bigint, end_ms bigint")
-    return out.withColumn("id", F.row_number().over(IN_ORDER).cast("bigint") - 1).drop("seq")
+        for a, b in _merged(w, cut):
+            yield w[a].seq, " ".join(x.word for x in w[a : b + 1]), w[a].start_ms, w[b].end_ms
+
+    out = fold(w, [KEY, "island"], "seq", step, "seq bigint, text string, start_ms bigint, end_ms bigint")
+    return out.withColumn("id", F.row_number().over(IN_ORDER).cast("bigint") - 1).drop("seq", "island")
 
 
 def decode_windows(durations: DataFrame, whole: int = 900_000, size: int = 600_000, overlap: int = 15_000) -> DataFrame:

@@ -261,7 +261,7 @@ def _(spark, d):
 UNION ALL SELECT doc_id, -1, '# ' || source FROM documents UNION ALL SELECT doc_id, 0, '(no speech)' FROM documents WHERE doc_id NOT IN (SELECT video_id FROM f_sentences)""")
 def _(spark, d):
     info = V.table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), F.col("source").alias("title"))
-    return sinks.transcript_lines(V.sentences(spark, d), info)
+    return sinks.transcript_lines(V.sentences(spark, d), info.withColumn("title", F.col("title").cast("string")))
 
 
 @query("snk8_batch_table")

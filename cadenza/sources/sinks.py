@@ -31,7 +31,7 @@ def write_srt(cues: DataFrame, path: str) -> None:
 
 def transcript_lines(sentences: DataFrame, info: DataFrame) -> DataFrame:
     """(video_id, n, line): a title, then [time] text; a video without sentences says so."""
-    head = info.select(KEY, F.lit(-1).cast("bigint").alias("n"), F.concat(F.lit("# "), F.coalesce("title", KEY)).alias("line"))
+    head = info.select(KEY, F.lit(-1).cast("bigint").alias("n"), F.concat(F.lit("# "), F.coalesce(F.col("title"), F.col(KEY).cast("string"))).alias("line"))
     body = sentences.select(KEY, F.col("id").alias("n"), F.concat(F.lit("["), T.clock(F.col("start_ms")), F.lit("] "), "text").alias("line"))
     none = info.join(sentences.select(KEY).distinct(), KEY, "left_anti").select(KEY, F.lit(0).cast("bigint").alias("n"), F.lit("(no speech)").alias("line"))
     return head.unionByName(body).unionByName(none)
@@ -50,7 +50,7 @@ def clean_markdown(paragraphs: DataFrame, info: DataFrame, every: int = 120_000)
             mark = f"**{s // 3600}:{s // 60 % 60:02d}:{s % 60:02d}** " if s >= 3600 else f"**{s // 60}:{s % 60:02d}** "
             yield n, (mark if due else "") + r.text
 
-    head = info.select(KEY, F.lit(-1).cast("bigint").alias("n"), F.concat(F.lit("# "), F.coalesce("title", KEY)).alias("line"))
+    head = info.select(KEY, F.lit(-1).cast("bigint").alias("n"), F.concat(F.lit("# "), F.coalesce(F.col("title"), F.col(KEY).cast("string"))).alias("line"))
     return head.unionByName(fold(paragraphs, [KEY], "start_ms", step, "n bigint, line string"))
 
 
