@@ -13,16 +13,12 @@ from cadenza.functions import text as T
 from cadenza.operators.intervals import KEY
 
 
-@F.pandas_udf("double")
-def seq_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Twice the characters in matching blocks over all characters; nulls count as empty."""
+def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
         yield pd.Series([SequenceMatcher(None, x or "", y or "", False).ratio() for x, y in zip(a, b, strict=True)])
 
 
-@F.pandas_udf("double")
-def containment(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Longest common substring over the shorter length; 0 if either is empty."""
+def _shares(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
         out = []
         for x, y in zip(a, b, strict=True):
@@ -31,6 +27,16 @@ def containment(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
         yield pd.Series(out)
 
 
+def seq_ratio(a: Column | str, b: Column | str) -> Column:
+    """Twice the characters in matching blocks over all characters; nulls count as empty."""
+    return F.pandas_udf(_ratios, "double")(a, b)
+
+
+def containment(a: Column | str, b: Column | str) -> Column:
+    """Longest common substring over the shorter length; 0 if either is empty."""
+    return F.pandas_udf(_shares, "double")(a, b)
+
+
 def letter_overlap(a: Column, b: Column) -> Column:
     """Letters that two texts can share at most, by an upper bound on lower-case a-z counts and all other characters."""
     other = r"[^a-z]"

@@ -12,7 +12,9 @@ from cadenza.operators.grouping import fold
 from cadenza.operators.intervals import KEY, islands
 
 FLOOR_MS = 20
-IN_ORDER = Window.partitionBy(KEY).orderBy("seq")
+def in_order():
+    return Window.partitionBy(KEY).orderBy("seq")
+
 
 
 def _before(w, n: int = -1):
@@ -39,12 +41,12 @@ def clamp_monotone(words: DataFrame) -> DataFrame:
 
     The recurrence end = max(end, start + floor, end before + floor) is a running maximum once a floor per word is taken off.
     """
-    i = F.row_number().over(IN_ORDER) - 1
+    i = F.row_number().over(in_order()) - 1
     w = words.withColumn("i", i).withColumn(
         "lifted", F.greatest(F.coalesce("end_ms", F.lit(0)), F.coalesce("start_ms", F.lit(0)) + FLOOR_MS, F.lit(FLOOR_MS)) - FLOOR_MS * F.col("i")
     )
-    w = w.withColumn("e", F.max("lifted").over(_before(IN_ORDER, 0)) + FLOOR_MS * F.col("i"))
-    w = w.withColumn("s", F.greatest(F.coalesce("start_ms", F.lit(0)), F.coalesce(F.lag("e").over(IN_ORDER), F.lit(0))))
+    w = w.withColumn("e", F.max("lifted").over(_before(in_order(), 0)) + FLOOR_MS * F.col("i"))
+    w = w.withColumn("s", F.greatest(F.coalesce("start_ms", F.lit(0)), F.coalesce(F.lag("e").over(in_order()), F.lit(0))))
     return w.select(KEY, "seq", "word", F.col("s").cast("bigint").alias("start_ms"), F.col("e").cast("bigint").alias("end_ms"), "seg_end")
 
 
@@ -55,7 +57,7 @@ def collapse_runs(words: DataFrame, most: int = 4) -> DataFrame:
     sentence.
     """
     w = words.withColumn("norm", T.norm_text(F.col("word")))
-    same = (F.col("norm") == F.lag("norm").over(IN_ORDER)) & (F.col("norm") != "")
+    same = (F.col("norm") == F.lag("norm").over(in_order())) & (F.col("norm") != "")
     w = islands(w, ~F.coalesce(same, F.lit(False)), ["seq"], "run")
     run = Window.partitionBy(KEY, "run")
     whole = run.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -75,7 +77,7 @@ def collapse_runs(words: DataFrame, most: int = 4) -> DataFrame:
 
 def floor_run_ratio(words: DataFrame) -> DataFrame:
     """(video_id, n_words, n_floor, longest): words at the floor that start where the last one ended, and their longest run."""
-    chained = (F.col("end_ms") - F.col("start_ms") == FLOOR_MS) & (F.col("start_ms") == F.lag("end_ms").over(IN_ORDER))
+    chained = (F.col("end_ms") - F.col("start_ms") == FLOOR_MS) & (F.col("start_ms") == F.lag("end_ms").over(in_order()))
     w = islands(words.withColumn("hit", F.coalesce(chained, F.lit(False))), ~F.col("hit"), ["seq"], "run")
     runs = w.groupBy(KEY, "run").agg(F.count("*").alias("n"), F.count_if("hit").alias("hits"))
     return runs.groupBy(KEY).agg(F.sum("n").alias("n_words"), F.sum("hits").alias("n_floor"), F.max("hits").alias("longest"))
@@ -91,13 +93,13 @@ def choose_decode(score_a: DataFrame, score_b: DataFrame, limit: float = 0.085)
 
 def sentence_ends(words: DataFrame) -> DataFrame:
     """words with ends: whether a sentence ends there."""
-    return words.withColumn("ends", T.is_sentence_end(F.col("word"), F.lead("word").over(IN_ORDER), F.col("seg_end")))
+    return words.withColumn("ends", T.is_sentence_end(F.col("word"), F.lead("word").over(in_order()), F.col("seg_end")))
 
 
 def assign_sentences(words: DataFrame) -> DataFrame:
     """words with sentence, counted from 0; an unfinished one at the end is kept."""
     w = sentence_ends(words)
-    count = F.sum(F.when(F.col("ends"), 1).otherwise(0)).over(_before(IN_ORDER))
+    count = F.sum(F.when(F.col("ends"), 1).otherwise(0)).over(_before(in_order()))
     return w.withColumn("sentence", F.coalesce(count, F.lit(0)))
 
 
@@ -175,11 +177,11 @@ def resegment(words: DataFrame) -> DataFrame:
     """
     w = assign_sentences(words).withColumns(
         {
-            "may_cut": T.may_cut_after(F.col("word"), F.lead("word").over(IN_ORDER)),
+            "may_cut": T.may_cut_after(F.col("word"), F.lead("word").over(in_order())),
             "clause": F.regexp_like(T.core(F.col("word")), F.lit("[,;:]$"))
-            | F.coalesce(T.bare(F.lead("word").over(IN_ORDER)).isin(T.CLAUSE_OPENERS), F.lit(False)),
-            "new": F.coalesce(F.col("sentence") != F.lag("sentence").over(IN_ORDER), F.lit(True)),
-            "pause": F.coalesce(F.col("start_ms") - F.lag("end_ms").over(IN_ORDER), F.lit(0)),
+            | F.coalesce(T.bare(F.lead("word").over(in_order())).isin(T.CLAUSE_OPENERS), F.lit(False)),
+            "new": F.coalesce(F.col("sentence") != F.lag("sentence").over(in_order()), F.lit(True)),
+            "pause": F.coalesce(F.col("start_ms") - F.lag("end_ms").over(in_order()), F.lit(0)),
         }
     )
     w = islands(w, F.col("new") & (F.col("pause") > 600), ["seq"])
@@ -191,7 +193,7 @@ def resegment(words: DataFrame) -> DataFrame:
             yield w[a].seq, " ".join(x.word for x in w[a : b + 1]), w[a].start_ms, w[b].end_ms
 
     out = fold(w, [KEY, "island"], "seq", step, "seq bigint, text string, start_ms bigint, end_ms bigint")
-    return out.withColumn("id", F.row_number().over(IN_ORDER).cast("bigint") - 1).drop("seq", "island")
+    return out.withColumn("id", F.row_number().over(in_order()).cast("bigint") - 1).drop("seq", "island")
 
 
 def decode_windows(durations: DataFrame, whole: int = 900_000, size: int = 600_000, overlap: int = 15_000) -> DataFrame:
@@ -237,8 +239,8 @@ def claim_metrics(words: DataFrame, sentences: DataFrame) -> DataFrame:
     """
     term = F.regexp_like(T.core(F.col("word")), F.lit("(^|[.!?…])$"))
     w = words.withColumn("term", term)
-    start = F.first("start_ms").over(_before(IN_ORDER, 0))
-    last = F.last(F.when(F.col("term"), F.col("end_ms")), ignorenulls=True).over(_before(IN_ORDER))
+    start = F.first("start_ms").over(_before(in_order(), 0))
+    last = F.last(F.when(F.col("term"), F.col("end_ms")), ignorenulls=True).over(_before(in_order()))
     w = w.withColumn("gap", F.col("end_ms") - F.coalesce(last, start))
     a = w.groupBy(KEY).agg(
         F.count("*").alias("n_words"), F.count_if(F.col("end_ms") - F.col("start_ms") == FLOOR_MS).alias("n_floor"),
@@ -256,7 +258,7 @@ def claim_metrics(words: DataFrame, sentences: DataFrame) -> DataFrame:
 def structure_metrics(words: DataFrame) -> DataFrame:
     """Per video: words, ends, longest pause, time in words and from first to last."""
     term = F.regexp_like(F.regexp_replace(F.trim("word"), r"""["'”’»)\]}]+$""", ""), F.lit("[.!?…]$"))
-    w = words.withColumn("pause", F.lead("start_ms").over(IN_ORDER) - F.col("end_ms"))
+    w = words.withColumn("pause", F.lead("start_ms").over(in_order()) - F.col("end_ms"))
     return w.groupBy(KEY).agg(
         F.count("*").alias("n_words"), F.count_if(term).alias("n_term"), F.coalesce(F.max("pause"), F.lit(0)).alias("gap_max_ms"),
         F.sum(F.col("end_ms") - F.col("start_ms")).alias("speech_ms"),

@@ -172,7 +172,7 @@ def _(spark, d):
   SELECT *, regexp_extract(lower({CORE % "word"}), '^[a-z0-9'']+') AS b, lead(word) OVER (PARTITION BY video_id ORDER BY seq) AS nxt FROM f_words) GROUP BY video_id""",
 )
 def _(spark, d):
-    w = V.words(spark, d).withColumn("cut", T.may_cut_after(F.col("word"), F.lead("word").over(W.IN_ORDER))).withColumn("b", T.bare(F.col("word")))
+    w = V.words(spark, d).withColumn("cut", T.may_cut_after(F.col("word"), F.lead("word").over(W.in_order()))).withColumn("b", T.bare(F.col("word")))
     return w.groupBy("video_id").agg(F.count_if("cut").alias("n_cuts"), F.countDistinct("b").alias("n_bare"))
 
 
