@@ -97,7 +97,7 @@ def _cell(threshold: float, schema: pa.Schema):
         left = np.nonzero(second == 0)[0]
         right = left if same else np.nonzero(second == 1)[0]
         links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        if len(right):
+        if len(left) and len(right):
             a, b = tile_links(vectors[left], vectors[right], same, threshold)
             a, b = left[a], right[b]
             np.add.at(links, a, copies[b])
