@@ -35,7 +35,7 @@ def read_artifact(spark: SparkSession, root: str, name: str, schema: str) -> Dat
 def read_words(spark: SparkSession, root: str) -> DataFrame:
     """video_id, seq, word, start_ms, end_ms, seg_end (false where absent), in the file's order."""
     whole = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "words.json").option("wholetext", True).text(root)
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "words.json").text(root, wholetext=True)
         .select(folder().alias(KEY), F.from_json("value", f"array<struct<{_struct(WORDS)}>>").alias("w"))
     )
     each = whole.select(KEY, F.posexplode("w").alias("seq", "x"))
@@ -92,7 +92,7 @@ def read_clean_chunks(spark: SparkSession, root: str) -> tuple[DataFrame, DataFr
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.split(F.regexp_replace("value", "^﻿", ""), r"\r?\n")).alias("pos", "line"))
 
 
