@@ -24,8 +24,8 @@ LENGTH = 400
 GRAM = 16
 #: Bytes of segments in a shard, about.
 SHARD_BYTES = 2 << 20
-#: An anchor with more distinct segments than this is settled by digests of its single strings instead of in a shard.
-SEGMENTS = 2048
+#: An anchor whose distinct segments hold more bytes than this is settled by digests of its single strings, not in a shard.
+ANCHOR_BYTES = 4 << 20
 _CHUNK = 1 << 19
 
 
@@ -183,8 +183,8 @@ def repeated_places(docs: DataFrame, text: str) -> DataFrame:
     kinds = shared.groupBy(*key).agg(
         F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("k1", "k2", "first", "size"))
     )
-    by_anchor = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("size").alias("bytes"))
-    hot = kept(by_anchor.where(F.col("kinds") > SEGMENTS).select("h"))
+    by_anchor = kinds.groupBy("h").agg(F.sum("size").alias("bytes"))
+    hot = kept(by_anchor.where(F.col("bytes") > ANCHOR_BYTES).select("h"))
     total = shared.agg(F.sum("size")).first()[0] or 0
     wanted = kinds.groupBy("k1", "k2").agg(F.collect_list(F.struct(*key, "n", "first", "size")).alias("wanted"))
     source = docs.select("k1", "k2", F.col(text).alias("text"))
