@@ -101,7 +101,7 @@ def _ranks(names: np.ndarray) -> np.ndarray:
     while True:
         key = rank * (n + 2)
         key[: n - h] += rank[h:] if h < n else 0
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.concatenate([[1], np.diff(key[order]) != 0]))
         rank = new
