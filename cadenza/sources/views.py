@@ -146,7 +146,6 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """run_id, started_ms, finished_ms, ids, audio_n: one run for each user and day."""
-    e = spans(spark, sf_dir).withColumn("day", F.expr("start_ms div 86400000"))
     base = table(spark, sf_dir, "events").select(
         "user_id", "event_id", F.expr("unix_micros(cast(ts as timestamp)) div 1000").alias("ms"), "value"
     )
