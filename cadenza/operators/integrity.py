@@ -282,3 +282,29 @@ def build_translation(sentences: DataFrame, draft: DataFrame) -> DataFrame:
         T.spoken_form(F.col("text_ru")).alias("text_spoken"), status.alias("status"),
         F.when(F.col("text_ru").isNotNull(), flag).alias("flag"),
     )
+
+
+def queue_view(entries: DataFrame, info: DataFrame, scout: DataFrame, summary: DataFrame) -> DataFrame:
+    """Rows to show for entries (video_id, pos, kind): state, title, duration and one line, each from the first source that has it.
+
+    A scouted video with a summary shows as summarized; titles come from the metadata, the scout document, then the id.
+    """
+    i = info.select(KEY, F.col("title").alias("i_title"), F.col("duration").alias("i_duration"))
+    s = scout.select(KEY, F.col("title").alias("s_title"), F.col("duration_sec").alias("s_duration"), F.col("one_liner").alias("s_line"))
+    m = summary.select(KEY, F.col("one_liner").alias("m_line"), F.col("highlight"))
+    j = entries.join(i, KEY, "left").join(s, KEY, "left").join(m, KEY, "left")
+    state = F.when((F.col("kind") == "scout") & F.coalesce("m_line", "s_line").isNotNull(), "summarized").otherwise(F.col("kind"))
+    return j.select(
+        KEY, "pos", state.alias("state"), F.coalesce("i_title", "s_title", F.col(KEY).cast("string")).alias("title"),
+        F.when(F.col("i_duration") > 0, F.col("i_duration")).otherwise(F.col("s_duration")).alias("duration"),
+        F.coalesce("m_line", "s_line").alias("one_liner"), "highlight",
+    )
+
+
+def validate_scout(rows: DataFrame, caps: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose required prose fields all hold text, cut to their caps with the cut ones listed in warnings; and the rejects."""
+    empty = F.array_compact(F.array(*(F.when(F.trim(F.coalesce(c, F.lit(""))) == "", c) for c in caps)))
+    over = F.array_compact(F.array(*(F.when(F.char_length(c) > n, c) for c, n in caps.items())))
+    r = rows.withColumn("missing", empty).withColumn("warnings", over)
+    good = r.where(F.size("missing") == 0).drop("missing").withColumns({c: F.rtrim(F.substring(c, 1, n)) for c, n in caps.items()})
+    return good, r.where(F.size("missing") > 0).select(KEY, "missing")

@@ -206,3 +206,23 @@ def status_counts(items: DataFrame, fail: list[str], stop: list[str]) -> DataFra
     """Items by status, with the class of exit: a failure outranks a stop."""
     s = items.groupBy("status").agg(F.count("*").alias("n"))
     return s.withColumn("exit", F.when(F.col("status").isin(fail), 2).when(F.col("status").isin(stop), 1).otherwise(0))
+
+
+def summarize_time(items: DataFrame) -> DataFrame:
+    """Milliseconds from an item's start, or the draft before it in its wave, to its draft; null where they are the wrong way round.
+
+    items: video_id, marker_ms (the wave's start), draft_ms.
+    """
+    w = Window.partitionBy("marker_ms").orderBy("draft_ms", KEY)
+    begun = F.greatest("marker_ms", F.coalesce(F.lag("draft_ms").over(w), F.col("marker_ms")))
+    took = items.withColumn("begun", begun)
+    known = F.col("marker_ms").isNotNull() & (F.col("draft_ms") >= F.col("marker_ms"))
+    return took.select(KEY, F.when(known, F.col("draft_ms") - F.col("begun")).alias("took_ms"))
+
+
+def detect_lang(sentences: DataFrame, high: float = 0.70, low: float = 0.05) -> DataFrame:
+    """ru from a high share of Cyrillic letters, en up to a low one, null between them and without letters."""
+    c, n = T.cyrillic_and_letters(F.col("text"))
+    s = sentences.groupBy(KEY).agg(F.sum(c).alias("cyrillic"), F.sum(n).alias("letters"))
+    lang = F.when(F.col("letters") == 0, None).when(F.col("cyrillic") >= high * F.col("letters"), "ru")
+    return s.withColumn("lang", lang.when(F.col("cyrillic") <= low * F.col("letters"), "en"))

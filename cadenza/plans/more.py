@@ -405,3 +405,21 @@ def _(spark, d):
 @query("ws8_sentence_count")
 def _(spark, d):
     return W.resegment(clamped(spark, d)).groupBy("video_id").agg(F.count("*").alias("n"))
+
+
+@query("ag15_summarize_time", """SELECT o_orderkey AS video_id, CASE WHEN t >= m THEN t - greatest(m, coalesce(lag(t) OVER (PARTITION BY m ORDER BY t, o_orderkey), m)) END AS took_ms
+FROM (SELECT o_orderkey, o_custkey % 20 * 1000 AS m, o_orderkey % 50 * 1000 + o_orderkey % 7 AS t FROM orders)""")
+def _(spark, d):
+    o = V.table(spark, d, "orders").selectExpr(
+        "o_orderkey as video_id", "o_custkey % 20 * 1000 as marker_ms", "o_orderkey % 50 * 1000 + o_orderkey % 7 as draft_ms"
+    )
+    return A.summarize_time(o)
+
+
+@query("jn15_queue_view", """SELECT page_id % 300 AS video_id, min(page_id) AS pos, CASE WHEN arg_min(kind, page_id) = 'scout' AND any_value(page_id % 300) % 2 = 0 THEN 'summarized' ELSE coalesce(any_value(kind), 'missing') END AS state
+FROM pages LEFT JOIN f_kinds ON video_id = page_id % 300 GROUP BY 1""")
+def _(spark, d):
+    q = V.table(spark, d, "pages").groupBy((F.col("page_id") % 300).alias("video_id")).agg(F.min("page_id").alias("pos"))
+    e = J.collect_entries(q, V.inventory(spark, d)).where("queued")
+    docs = V.table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), F.col("source").alias("title"), F.col("n_chars").alias("duration"), F.lit(None).cast("double").alias("duration_sec"), F.lit("x").alias("one_liner"), F.lit("y").alias("highlight"))
+    return J.queue_view(e, docs, docs.where("video_id < 0"), docs.where("video_id % 2 = 0")).select("video_id", "pos", "state")

@@ -285,10 +285,7 @@ def _(spark, d):
   CASE WHEN sum(len(regexp_extract_all(text, '\p{L}'))) = 0 THEN NULL WHEN sum(len(regexp_extract_all(text, '\p{Cyrillic}'))) >= 0.7 * sum(len(regexp_extract_all(text, '\p{L}'))) THEN 'ru'
        WHEN sum(len(regexp_extract_all(text, '\p{Cyrillic}'))) <= 0.05 * sum(len(regexp_extract_all(text, '\p{L}'))) THEN 'en' END AS lang FROM f_sentences GROUP BY video_id""")
 def _(spark, d):
-    c, n = T.cyrillic_and_letters(F.col("text"))
-    s = V.sentences(spark, d).groupBy("video_id").agg(F.sum(c).alias("cyrillic"), F.sum(n).alias("letters"))
-    lang = F.when(F.col("letters") == 0, None).when(F.col("cyrillic") >= 0.7 * F.col("letters"), "ru").when(F.col("cyrillic") <= 0.05 * F.col("letters"), "en")
-    return s.withColumn("lang", lang)
+    return A.detect_lang(V.sentences(spark, d))
 
 
 @query("fn7_gate", r"""SELECT CASE WHEN trim(tgt) = '' THEN 'empty' WHEN NOT regexp_matches(tgt, '[А-Яа-яЁё]') THEN 'no_cyrillic' END AS reason, count(*) AS n FROM f_pairs GROUP BY 1""")

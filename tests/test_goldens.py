@@ -257,3 +257,11 @@ def test_upsert_overwrites_with_null(spark):
     patch = spark.createDataFrame([(1, 0, None), (1, 5, "z")], "video_id bigint, id bigint, flag string")
     live = spark.createDataFrame([(1, 0), (1, 5)], "video_id bigint, id bigint")
     assert sorted(map(tuple, J.upsert_segments(base, patch, live).collect())) == [(1, 0, None, 1), (1, 5, "z", None)]
+
+
+def test_validate_scout(spark):
+    rows = spark.createDataFrame([("a", "fine", "x" * 30), ("b", " ", "y")], "video_id string, one_liner string, paragraph string")
+    good, bad = J.validate_scout(rows, {"one_liner": 10, "paragraph": 20})
+    g = good.first()
+    assert (g["video_id"], len(g["paragraph"]), g["warnings"]) == ("a", 20, ["paragraph"])
+    assert [(r["video_id"], r["missing"]) for r in bad.collect()] == [("b", ["one_liner"])]
