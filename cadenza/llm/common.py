@@ -44,6 +44,11 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(*columns: str, text: str = "text") -> Column:
+    """A struct, never null, of columns and the text's digest: equal for rows that agree in them, null agreeing with null."""
+    return F.struct(*columns, F.md5(F.col(text).cast("binary")).alias("digest"))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

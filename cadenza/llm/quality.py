@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import SPACE, WORD, cut, read
+from cadenza.llm.common import SPACE, WORD, cut, read, row_key
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -243,6 +243,8 @@ def op2_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    gone = quality_verdicts(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    """Rows that the rules reject go: of rows that share an id each is judged by itself."""
+    keyed = docs.withColumn("__key", row_key("doc_id", "lang", "source"))
+    judged = keyed.select(F.col("__key").alias("doc_id"), "lang", "source", "text")
+    gone = quality_verdicts(judged).where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct()
+    return keyed.join(gone, "__key", "left_anti").select(*docs.columns)

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import cut, in_batches
+from cadenza.llm.common import cut, in_batches, row_key
 from cadenza.llm.graph import components
 
 SHINGLE = 3
@@ -120,6 +120,19 @@ def op8_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
-    first = simhash_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
+    """One row of each group stays: the one with the smallest id, null last, then the smallest digest; of equal rows one.
+
+    Groups are those of simhash_groups, except that fingerprints name them, so that rows without an id link like any other.
+    """
+    full = docs.withColumns({"__none": F.col("doc_id").isNull(), "__row": F.xxhash64(*docs.columns)})
+    full = full.withColumn("__key", row_key("__none", "doc_id", "__row"))
+    flat = full.select("__key.*", "text")
+    key = ("__none", "doc_id", "digest", "__row")
+    rows = cut(fingerprints(flat, keep=key))
+    classes = cut(rows.groupBy("fp").agg(F.min(F.struct("__none", "doc_id", "__row", "digest")).alias("__key")))
+    again = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("hi"))
+    bridges = again.where("a <> hi").join(rows, "doc_id").select("a", F.col("fp").alias("b")).where("a <> b").distinct()
+    found = components(near_links(classes.select("fp", F.col("fp").alias("id"))).unionByName(bridges))
+    named = classes.join(found, classes["fp"] == found["node"], "left")
+    first = named.groupBy(F.coalesce("component", "fp")).agg(F.min("__key").alias("__key")).select("__key")
+    return full.dropDuplicates(["__key"]).join(first, "__key", "left_semi").select(*docs.columns)

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -386,7 +387,15 @@ def op3_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
+    """Rows predicted toxic go; each is judged by its own text."""
     net = learn(docs, read(spark, sf_dir, "labels").where(~_held_out()))
-    gone = toxicity_scores(docs, net).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    if net is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(net)
+        for b in batches:
+            yield b.filter(pa.array([s < THRESHOLD for s in scorer(b.column(at).to_pylist())], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -326,3 +326,33 @@ def test_stages_keep_columns_and_clean_documents(spark, sf):
         assert d.columns == columns and d.count() <= n, name
         n = d.count()
     assert packing.packing_stage(spark, d, sf).count() >= n
+
+
+def test_dedup_stage_keeps_one_row_of_each_group(spark):
+    a, b, c = prose(31, 120), prose(32, 120), prose(33, 120)
+    rows = docs(spark, [a, a, a, b, b, c, c, LONG], ids=[3, 3, None, None, None, None, 9, 3]).repartition(3)
+    got = sorted((str(r["doc_id"]), r["text"]) for r in simhash.dedup_stage(spark, rows, "").collect())
+    first = min(got)[1]  # a and LONG share id 3: one group
+    assert first in (a, LONG) and got == sorted([("3", first), ("None", b), ("9", c)])
+    none = docs(spark, [a, b, c], ids=[None] * 3)
+    assert sorted(r["text"] for r in simhash.dedup_stage(spark, none, "").collect()) == sorted([a, b, c])
+    kept = simhash.dedup_stage(spark, docs(spark, [a, a], ids=[3, 3]), "")
+    assert [r["text"] for r in passages.passages_stage(spark, kept, "").collect()] == [a]
+
+
+def test_stages_reject_rows_not_ids(spark, monkeypatch):
+    good = [prose(40 + i, 150) for i in range(4)]
+    rows = docs(spark, [*good, "too short", "vilewort"], ids=[None, None, 7, 7, None, 7]).withColumn("lang", F.lit("en"))
+    kept = quality.quality_stage(spark, rows, "")
+    assert kept.columns == rows.columns and sorted(r["text"] for r in kept.collect()) == sorted(good)
+
+    texts = [" ".join(["vilewort"] * (i % 2) + prose(60 + i, 40).split()) for i in range(60)]
+    net = toxicity.train(texts, [i % 2 for i in range(60)])
+    monkeypatch.setattr(toxicity, "read", lambda spark, *_: spark.createDataFrame([(0, 0)], "doc_id bigint, toxic int"))
+    monkeypatch.setattr(toxicity, "learn", lambda *_: net)
+    mixed = docs(spark, [*texts[:4], None, ""], ids=[None, None, 7, 7, None, 7])
+    flags = [s >= toxicity.THRESHOLD for s in toxicity.Scorer(net)([*texts[:4], None, ""])]
+    assert True in flags and flags[4:] == [False, False]
+    out = toxicity.toxicity_stage(spark, mixed, "")
+    want = [str(t) for t, f in zip([*texts[:4], None, ""], flags) if not f]
+    assert out.columns == mixed.columns and sorted(str(r["text"]) for r in out.collect()) == sorted(want)
