@@ -38,11 +38,26 @@ SPREAD = 3
 THRESHOLD = 0.7
 #: Windows scored at once, and distinct words remembered in a task.
 SCORED, KNOWN = 2048, 200_000
+#: Letters of the longest word read as one, of the pieces of a longer one, and those shared by neighbours: more than an n-gram has.
+LONGEST, PIECE, OVERLAP = 24, 12, 8
 _WORD = re.compile(r"\w+")
 
 
 def tokens(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Words in order; a run of more than LONGEST letters, as in text without blanks, is cut at underscores, and what is still
+    longer gives overlapping pieces that cover it."""
+    words = _WORD.findall((text or "").lower())
+    if not words or max(map(len, words)) <= LONGEST:
+        return words
+    return [p for w in words for p in ([w] if len(w) <= LONGEST else _pieces(w))]
+
+
+def _pieces(run: str) -> Iterator[str]:
+    for w in filter(None, run.split("_")):
+        if len(w) <= LONGEST:
+            yield w
+        else:
+            yield from (w[i : i + PIECE] for i in range(0, len(w) - OVERLAP, PIECE - OVERLAP))
 
 
 def window_starts(n: int) -> range:
@@ -55,7 +70,7 @@ def hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     grams, starts = [], []
     for w in words:
         starts.append(len(grams))
-        b = f"^{w[:24]}$".encode()
+        b = f"^{w}$".encode()
         grams += [crc32(b[i : i + k]) for k in (3, 4, 5) for i in range(max(1, len(b) - k + 1))]
     own = [crc32(w.encode()) for w in words]
     return np.asarray(own) % WORDS, np.asarray(grams) % GRAMS, np.asarray(starts)

@@ -356,3 +356,21 @@ def test_stages_reject_rows_not_ids(spark, monkeypatch):
     out = toxicity.toxicity_stage(spark, mixed, "")
     want = [str(t) for t, f in zip([*texts[:4], None, ""], flags) if not f]
     assert out.columns == mixed.columns and sorted(str(r["text"]) for r in out.collect()) == sorted(want)
+
+
+def test_toxicity_reads_all_of_long_runs():
+    assert toxicity.tokens("Two words " + "x" * 24) == ["two", "words", "x" * 24]
+    for n in (25, 36, 37, 48, 49, 500):
+        run = "".join(chr(0x4E00 + i) for i in range(n))
+        pieces = toxicity.tokens(run)
+        grams = {p[i : i + 5] for p in pieces for i in range(len(p) - 4)}
+        assert grams == {run[i : i + 5] for i in range(n - 4)} and max(map(len, pieces)) <= 24
+    long = ["a" * 30 + "b", "a" * 30 + "c"]
+    assert len({tuple(toxicity.hashed([w])[1]) for w in long}) == 2
+
+    texts = [" ".join(["vilewort"] * (i % 2) + prose(60 + i, 40).split()) for i in range(200)]
+    scorer = toxicity.Scorer(toxicity.train(texts, [i % 2 for i in range(200)]))
+    for mark in ("_", ""):
+        run = mark.join(prose(900, 40).split())
+        clean, late = scorer([run, run + mark + "vilewort" + mark + run])
+        assert clean < toxicity.THRESHOLD <= late
