@@ -374,3 +374,16 @@ def test_toxicity_reads_all_of_long_runs():
         run = mark.join(prose(900, 40).split())
         clean, late = scorer([run, run + mark + "vilewort" + mark + run])
         assert clean < toxicity.THRESHOLD <= late
+
+
+def test_language_learns_every_language(spark):
+    r = random.Random(8)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    kinds = {f"l{k:02}": ["".join(r.choice(abc) for _ in range(6)) for _ in range(12)] for k in range(70)}
+    rows = [(100 * k + i, " ".join(r.choice(w) for _ in range(40)), n, "s") for k, (n, w) in enumerate(kinds.items()) for i in range(3 + (k < 64))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    content = language.learn(df, F.col("doc_id") % 100 > 0)
+    assert sorted(content) == sorted(kinds)
+    found = language.identify(df.where("doc_id % 100 = 0"), content).join(df, "doc_id").collect()
+    assert len(found) == 70 and all(x["lang_pred"] == x["lang"] for x in found)
+    assert [x["lang_pred"] for x in language.identify(docs(spark, [None, "12"]), content).collect()] == ["und"] * 2
