@@ -308,8 +308,8 @@ def _(spark, d):
 
 @query("ag20_ab_summary")
 def _(spark, d):
-    t = V.table(spark, d, "documents").where("doc_id % 25 = doc_id div 40 % 25 or n_chars < 200").select(
-        (F.col("doc_id") % 20).alias("video"), F.concat(F.lit("v"), (F.col("doc_id") % 2).cast("string")).alias("variant"), F.col("doc_id").alias("repeat"), F.substring("text", 1, 400).alias("text")
+    t = V.table(spark, d, "documents").select(
+        F.expr("doc_id div 4").alias("video"), F.concat(F.lit("v"), (F.col("doc_id") % 2).cast("string")).alias("variant"), F.expr("doc_id % 4 div 2").alias("repeat"), "text"
     )
     return S.ab_summary(t)
 

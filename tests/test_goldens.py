@@ -265,3 +265,22 @@ def test_validate_scout(spark):
     g = good.first()
     assert (g["video_id"], len(g["paragraph"]), g["warnings"]) == ("a", 20, ["paragraph"])
     assert [(r["video_id"], r["missing"]) for r in bad.collect()] == [("b", ["one_liner"])]
+
+
+def test_ab_summary_takes_all_documents_and_whole_texts(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    from cadenza.plans import more  # noqa: F401
+    from cadenza.plans.registry import QUERIES
+
+    same = "abcd efgh " * 60
+    texts = [same + "x" * 100, same + "y" * 300, same + "z" * 50, None, same, "ab", same + "w" * 700, ""]
+    rows = [(i, t, len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["video"]: (r["worst_same"], r["worst_cross"]) for r in QUERIES["ag20_ab_summary"](spark, str(tmp_path)).collect()}
+    ratio = lambda i, j: SequenceMatcher(None, texts[i] or "", texts[j] or "", autojunk=False).ratio()
+    want = {}
+    for v in (0, 1):
+        pairs = [(4 * v + i, 4 * v + j) for i in range(4) for j in range(i + 1, 4)]
+        want[v] = tuple(min(ratio(*sorted(p, key=lambda k: (k % 2, k))) for p in pairs if (sum(p) % 2 == 0) == s) for s in (True, False))
+    assert {k: pytest.approx(v) for k, v in want.items()} == got
