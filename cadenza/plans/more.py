@@ -160,8 +160,8 @@ def _(spark, d):
 
 @query("fn24_spell_numbers")
 def _(spark, d):
-    n = V.table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\d+"), F.lit(0))).alias("number"))
-    return P.spell_numbers(n.where("length(number) < 12").distinct())
+    n = V.table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\d+(?:[.,]\d+)?"), F.lit(0))).alias("number"))
+    return P.spell_numbers(n.distinct())
 
 
 @query("jn18_rederive_diff")

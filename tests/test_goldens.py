@@ -284,3 +284,15 @@ def test_ab_summary_takes_all_documents_and_whole_texts(spark, tmp_path):
         pairs = [(4 * v + i, 4 * v + j) for i in range(4) for j in range(i + 1, 4)]
         want[v] = tuple(min(ratio(*sorted(p, key=lambda k: (k % 2, k))) for p in pairs if (sum(p) % 2 == 0) == s) for s in (True, False))
     assert {k: pytest.approx(v) for k, v in want.items()} == got
+
+
+def test_spell_numbers_takes_long_ones_and_decimals(spark, tmp_path):
+    from cadenza.plans import more  # noqa: F401
+    from cadenza.plans.registry import QUERIES
+
+    text = "card 123456789012, 3.5 and 2,25; 7. 1000000000 " + "9" * 5000
+    spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["number"]: r["spoken"] for r in QUERIES["fn24_spell_numbers"](spark, str(tmp_path)).collect()}
+    digits = "ноль один два три четыре пять шесть семь восемь девять".split()
+    spelled = {n: " ".join(digits[int(c)] for c in n) for n in ("123456789012", "1000000000", "9" * 5000)}
+    assert got == spelled | {"3.5": "три целых пять", "2,25": "два целых двадцать пять", "7": "семь"}
