@@ -11,17 +11,14 @@ from __future__ import annotations
 import numpy as np
 
 
-def s_types(text: np.ndarray) -> np.ndarray:
-    """Whether each suffix is smaller than the one after it; the empty suffix is the smallest of all."""
+def s_types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each suffix is smaller than the one after it (the empty suffix is the smallest of all), and how many equal
+    letters follow on from each position, itself included."""
     n = len(text)
-    differs = np.flatnonzero(text[1:] != text[:-1])
-    out = np.zeros(n, bool)
-    if len(differs):
-        at = np.searchsorted(differs, np.arange(n))
-        inside = at < len(differs)
-        i = differs[at[inside]]
-        out[inside] = text[i] < text[i + 1]
-    return out
+    starts = np.concatenate([[0], np.flatnonzero(text[1:] != text[:-1]) + 1])
+    ends = np.append(starts[1:], n)
+    rising = np.append(text[starts[:-1]] < text[starts[1:]], False)
+    return np.repeat(rising, ends - starts), np.repeat(ends, ends - starts) - np.arange(n)
 
 
 def _deal(buckets: list[list[np.ndarray]], items: np.ndarray, keys: np.ndarray) -> None:
@@ -95,19 +92,58 @@ def _names(text: np.ndarray, order: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], differs])
 
 
-def _ranks(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names, by doubling the length that ranks stand for."""
-    n, rank, h = len(names), names.astype(np.int64) + 1, 1
-    while True:
-        key = rank * (n + 2)
-        key[: n - h] += rank[h:] if h < n else 0
-        order = np.argsort(key)
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate([[1], np.diff(key[order]) != 0]))
-        rank = new
-        if rank.max() == n or h >= n:
-            return order
-        h *= 2
+def _refined(
+    at: np.ndarray, key: np.ndarray, runs: np.ndarray, last: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions sorted by the keys of their own and of the following runs, and for each place the first of its equals.
+
+    key ends with -1, the end of the text. A position's keys end with the next one marked in last; without it they go on
+    until they differ.
+    """
+    at = at[np.argsort(key[at], kind="stable")]
+    live, group, here, first = np.arange(len(at)), np.zeros(len(at), np.int64), at.copy(), True
+    while len(live):
+        k, own = key[here], group[live]
+        fresh = np.ones(len(live), bool)
+        fresh[1:] = (k[1:] != k[:-1]) | (own[1:] != own[:-1])
+        group[live] = live[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+        tied = ~(fresh & np.append(fresh[1:], True))
+        if last is not None and not first:
+            tied &= ~last[here]
+        live, here, first = live[tied], here[tied], False
+        here = here + runs[here]
+        order = np.lexsort((key[here], group[live]))
+        at[live], here = at[live][order], here[order]
+    return at, group
+
+
+def _sort_names(text: np.ndarray) -> np.ndarray:
+    """Positions of a string of names in the order of their suffixes; LMS substrings are named and sorted recursively."""
+    n = len(text)
+    if n < 2:
+        return np.arange(n)
+    is_s, runs = s_types(text)
+    is_lms = np.zeros(n + 1, bool)
+    is_lms[1:n] = is_s[1:] & ~is_s[:-1]
+    lms = np.flatnonzero(is_lms)
+    # keys of a letter: L by run, the shorter first, then S, the longer first; an order already known takes a run's place
+    first = text.astype(np.int64) * (2 * n + 2)
+    key = np.append(first + np.where(is_s, 2 * n + 1 - runs, runs), -1)
+    if len(lms) > 1:
+        order, group = _refined(lms, key, runs, is_lms)
+        fresh = np.append(False, np.diff(group) > 0)
+        if not fresh[1:].all():
+            names = np.zeros(n, np.int64)
+            names[order] = np.cumsum(fresh)
+            order = lms[_sort_names(names[lms])]
+        lms = order
+    with_lms = key.copy()
+    with_lms[lms] = first[lms] + n + 1 + np.arange(len(lms))
+    large, _ = _refined(np.flatnonzero(~is_s), with_lms, runs)
+    key[large] = first[large] + np.arange(len(large))
+    small, _ = _refined(np.flatnonzero(is_s), key, runs)
+    both = np.concatenate([large, small])
+    return both[np.argsort(text[both], kind="stable")]
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -115,7 +151,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    is_s = s_types(text)
+    is_s, _ = s_types(text)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = is_s[1:] & ~is_s[:-1]
     lms = np.flatnonzero(is_lms).astype(np.int32)
@@ -126,8 +162,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         ends[lms] = np.concatenate([lms[1:], [n]])
         names = np.zeros(n, np.int32)
         names[order] = np.cumsum(_names(text, order, ends)) - 1
-        reduced = names[lms]
-        lms = order if reduced.max() == len(lms) - 1 else lms[_ranks(reduced)]
+        lms = order if names[order[-1]] == len(lms) - 1 else lms[_sort_names(names[lms])]
     return induce(text, is_s, lms)
 
 
