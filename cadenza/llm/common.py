@@ -20,28 +20,61 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there.
+def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one that is set, else that of spark.checkpoint.dir, which all machines must reach.
 
-    The cluster names that folder in spark.checkpoint.dir; only where it is unset, as in tests on one machine, a
-    temporary folder takes its place.
+    Only where all runs in one process, as in tests, a temporary folder may take its place; on a cluster it is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cadenza-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and context.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="cadenza-")
+        if not named:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write df to the shared checkpoint folder and go on from there."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def kept(df: DataFrame) -> DataFrame:
     """Like cut, as Parquet in a folder of its own under the checkpoint folder: for larger tables, read by column."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cadenza-"))
-    path = f"{context.getCheckpointDir()}/{uuid.uuid4()}.parquet"
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4()}.parquet"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Keys with more than one in so many of all rows are heavy: fewer than this many can be.
+HEAVY = 2000
+
+
+def heavy_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    times: str,
+    total: int,
+    rest: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    hot: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """Inner join of rows with a lookup table, unique by keys, whose column times counts the rows of a key, of total in all.
+
+    Heavy keys are joined where their rows stand: their share of the lookup, fewer than HEAVY rows, is broadcast. The other
+    keys are joined by a shuffle, in which no key has more than one row in HEAVY. rest and hot put something else in place of
+    the join of light rows with the light lookup and behind that of heavy ones.
+    """
+    bar = total / HEAVY
+    heavy = lookup.where(F.col(times) > bar)
+    light = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    join = rest or (lambda some, table: some.join(table, keys))
+    return hot(rows.join(F.broadcast(heavy), keys)).unionByName(
+        join(light, lookup.where(F.col(times) <= bar)), allowMissingColumns=True
+    )
 
 
 def row_key(*columns: str, text: str = "text") -> Column:

@@ -232,31 +232,57 @@ def test_suffix_array(letters):
             assert before[y] == x and common[y] == n
 
 
-def plain_removed(texts):
+def plain_removed(texts, length=400):
     raw = [(t or "").encode() for t in texts]
-    n = Counter(b[i : i + 400] for b in raw for i in range(len(b) - 399))
+    n = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
     out = []
     for b in raw:
         gone = np.zeros(len(b), bool)
-        for i in range(len(b) - 399):
-            if n[b[i : i + 400]] > 1:
-                gone[i : i + 400] = True
+        for i in range(len(b) - length + 1):
+            if n[b[i : i + length]] > 1:
+                gone[i : i + length] = True
         runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        out.append((len(b), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
+        left = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        out.append((len(b), int(gone.sum()), runs, hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
     return out
 
 
-@pytest.mark.parametrize("most", [4 << 20, 1])
-def test_passages_against_brute_force(spark, monkeypatch, most):
+@pytest.mark.parametrize("most,heavy,length", [(4 << 20, 2000, 400), (1, 2000, 400), (4 << 20, 4, 400), (4 << 20, 2000, 200)])
+def test_passages_against_brute_force(spark, monkeypatch, most, heavy, length):
+    from cadenza.llm import common
+
     monkeypatch.setattr(passages, "ANCHOR_BYTES", most)
     monkeypatch.setattr(passages, "SHARD_BYTES", 4096)
+    monkeypatch.setattr(common, "HEAVY", heavy)
     shared, other = prose(11, 200), prose(12, 150)
     texts = [
         shared, prose(13, 100) + shared + prose(14, 90), shared[:300] + "é" + shared[300:], other + other, other[5:405], "ab" * 900, prose(15, 400),
-        prose(15, 400), None, "", "z" * 399, "y" * 401, prose(16, 50) + shared[:450] + "ß" + other[:399],
+        prose(15, 400), None, "", "z" * 399, "y" * 401, prose(16, 50) + shared[:450] + "ß" + other[:399], *[prose(17, 90)] * 9, *["short"] * 8,
     ]
-    got = {r["doc_id"]: tuple(r["__clear"])[:4] for r in passages.remove_repeated(docs(spark, texts)).select("doc_id", "__clear").collect()}
-    assert got == dict(enumerate(plain_removed(texts)))
+    clashing = docs(spark, texts).withColumns({k: F.lit(7) for k in ("k1", "k2", "places", "h", "copies", "__clear")})
+    out = passages.remove_repeated(clashing, length=length)
+    assert sorted(out.columns) == sorted(clashing.columns)
+    rows = out.select("doc_id", "__clear", "k1", "places", "copies", "row").collect()
+    assert {r["doc_id"]: tuple(r["__clear"]) for r in rows} == dict(enumerate(plain_removed(texts, length)))
+    assert all((r["k1"], r["places"], r["copies"], r["row"]) == (7, 7, 7, "r") for r in rows)
+
+
+def test_passages_in_texts_of_several_chunks(spark):
+    long = prose(18, 180_000)
+    assert len(long.encode()) > passages._CHUNK + 50_000
+    at = passages._CHUNK - 200
+    texts = [long, prose(19, 60) + long[at : at + 700] + prose(20, 60), prose(21, 200)]
+    got = {r["doc_id"]: r["__clear"] for r in passages.remove_repeated(docs(spark, texts)).select("doc_id", "__clear").collect()}
+    assert got[0]["kept_text"] + "|" == long[:at] + long[at + 700 :] + "|" and got[0]["n_removed"] == len(long[at : at + 700].encode())
+    assert got[1]["n_spans"] == 1 and got[2]["n_removed"] == 0
+
+
+def test_passages_stage_takes_passages_of_fifty_words(spark):
+    passage = prose(22, 60)
+    assert 200 <= len(passage.encode()) < 400
+    texts = [prose(23 + i, 80) + " " + passage + " " + prose(33 + i, 80) for i in range(4)] + [prose(43, 300), None]
+    out = {r["doc_id"]: r["text"] for r in passages.passages_stage(spark, docs(spark, texts), "").collect()}
+    assert all(passage[20:-20] not in out[i] and len(out[i]) < len(texts[i]) for i in range(4)) and [out[4], out[5]] == texts[4:]
 
 
 def test_language(spark):
