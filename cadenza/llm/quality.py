@@ -1,38 +1,59 @@
 """Quality rules: text statistics and robust multivariate outliers, in DataFrame functions only.
 
-Each text gets a vector of transformed statistics. Per language and source, minimum-covariance-determinant estimates of
-centre and covariance come from concentration steps, and a text whose Mahalanobis distance is too large is rejected.
+Each text gets a vector of transformed statistics. Per language and source, concentration steps from several starts run until
+they are stable, and the centre and covariance of least determinant stand. They lean on those of the whole language the more
+the fewer texts a group has. A text whose Mahalanobis distance from its group's centre is too large is rejected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import SPACE, WORD, cut, read, row_key
+from cadenza.llm.common import SPACE, WORD, cut, heavy_join, read, row_key
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 #: Statistics are whole multiples of 1/UNIT, so that sums are exact whatever the order of rows.
 UNIT = 1024
 #: The vector, and for each part the standard deviation below which a spread is not believed. Most texts have no
-#: symbols or repeated lines, so without a floor the tightest half would have none of either and no covariance.
+#: symbols or repeated lines, so without a least spread the tightest part of them would have none of either and no covariance.
 FEATURES = {"x_length": 0.5, "x_word": 0.6, "x_symbol": 0.35, "x_line": 0.8, "x_repeat": 0.9}
 #: Part of a group that the estimates rest on.
 CORE = 0.75
-STEPS = 3
-#: Groups with fewer texts are estimated together.
-MIN_GROUP = 400
-#: Rejected: squared distances, over the one expected at the median, beyond this many times the median of chi-squared.
-CUTOFF = 18.0
-#: Median of chi-squared with five degrees of freedom.
-CHI2_MEDIAN = 4.351
-#: Parameters of up to so many groups (about 200 bytes each) are broadcast; more are joined by a shuffle.
+#: Starts of the concentration steps besides quartiles and all texts: so many samples by hash, one text in SAMPLE each.
+SAMPLES, SAMPLE = 2, 8
+#: Steps end when no determinant changes any more; distances are counted in bins, which could in theory alternate.
+MOST_STEPS = 12
+#: The language's estimate counts as so many texts beside a group's own.
+LEAN = 60
+#: Rejected are texts whose distance a normal vector exceeds with this probability. The statistics have heavier tails than
+#: normal ones, so the rule leaves room for them and speaks only of texts far outside their group.
+TAIL = 1e-16
+#: Parameters of up to so many groups (about 300 bytes for each start) are broadcast whole; of more, only those of heavy groups.
 BROADCAST_GROUPS = 4096
 #: Distances are counted in bins of this many to a unit of their logarithm, BINS at most.
 BINS_PER_LOG, BINS = 64, 2000
 
 
+def chi2_tail(x: float) -> float:
+    """Probability that chi-squared with five degrees of freedom, one for each part of the vector, exceeds x."""
+    return math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+
+
+def chi2_quantile(tail: float) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_tail(middle) > tail else (low, middle)
+    return high
+
+
+CHI2_MEDIAN, CUTOFF = chi2_quantile(0.5), chi2_quantile(TAIL)
+
+
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs' columns and __stats: struct<n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines> (bigint).
 
@@ -102,34 +123,23 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def _with_group(rows: DataFrame) -> DataFrame:
-    """gid: language and source, or the common group of all small ones."""
-    none = F.lit("\x00")
-    named = rows.withColumn("gid", F.concat(F.coalesce("lang", none), F.lit("\x01"), F.coalesce("source", none)))
-    sizes = cut(named.groupBy("gid").agg(F.count_if(~F.col("base_failed")).alias("n")).where(F.col("n") >= MIN_GROUP))
-    large = _hint(sizes.select("gid", F.lit(True).alias("__large")), sizes.count())
-    return named.join(large, "gid", "left").withColumn("gid", F.when(F.col("__large"), F.col("gid"))).drop("__large")
-
-
-def _hint(groups: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(groups) if n <= BROADCAST_GROUPS else groups
+def _pairs() -> list[tuple[int, int]]:
+    return [(i, j) for i in range(len(FEATURES)) for j in range(i + 1)]
 
 
-def _joined(rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
-    """rows with their group's parameters; the common group has a null gid."""
-    return rows.join(
-        _hint(groups.withColumnRenamed("gid", "__gid"), n), F.col("gid").eqNullSafe(F.col("__gid")), "left"
-    ).drop("__gid")
+def _joined(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: int) -> DataFrame:
+    """rows with the parameters of their group, once for each of its starts; groups has the size of each in of."""
+    if n_groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(groups), key)
+    return heavy_join(rows, groups, [key], "of", total)
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _quartiles(rows: DataFrame, key: str) -> DataFrame:
     """Medians and interquartile ranges of each part per group, from counts of bins a sixteenth wide, as mean and diagonal."""
     width = UNIT // 16
     parts = F.array(*(F.struct(F.lit(k).alias("k"), F.floor(F.col(k) / width).alias("bin")) for k in FEATURES))
-    counts = rows.select("gid", F.explode(parts).alias("p")).groupBy("gid", "p.k", "p.bin").agg(F.count("*").alias("n"))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("gid", "k")
+    counts = rows.select(key, F.explode(parts).alias("p")).groupBy(key, "p.k", "p.bin").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(key, "k")
     ranked = counts.withColumn("total", F.sum("n").over(w)).withColumn(
         "upto", F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -137,19 +147,69 @@ def _start(rows: DataFrame) -> DataFrame:
     def quantile(q: float) -> Column:
         return F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin"))) * width + width / 2
 
-    by_part = ranked.groupBy("gid", "k").agg(
-        quantile(0.5).alias("m"), ((quantile(0.75) - quantile(0.25)) / 1.349).alias("s")
+    by_part = ranked.groupBy(key, "k").agg(
+        F.first("total").alias("of"),
+        quantile(0.5).alias("m"),
+        ((quantile(0.75) - quantile(0.25)) / 1.349).alias("s"),
     )
     each = [
         F.max(F.when(F.col("k") == k, v)).alias(name)
-        for i, (k, floor) in enumerate(FEATURES.items())
-        for v, name in (
-            (F.col("m"), f"m{i}"),
-            (F.sqrt(F.col("s") * F.col("s") + (floor * UNIT) ** 2), f"l{i}{i}"),
-        )
+        for i, (k, least) in enumerate(FEATURES.items())
+        for v, name in ((F.col("m"), f"m{i}"), (F.greatest("s", F.lit(least * UNIT)), f"l{i}{i}"))
     ]
-    zero = [F.lit(0.0).alias(f"l{i}{j}") for i in range(len(FEATURES)) for j in range(i)]
-    return by_part.groupBy("gid").agg(*each).select("*", *zero)
+    rest = [F.lit(0.0).alias(f"l{i}{j}") for i, j in _pairs() if i != j]
+    found = by_part.groupBy(key).agg(F.first("of").alias("of"), *each)
+    return found.select("*", *rest, F.lit("quartiles").alias("start"), F.lit(math.inf).alias("volume"))
+
+
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    """Numbers of rows, sums and sums of products of the vector's parts: exact whatever the order of rows."""
+    names = list(FEATURES)
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        *(F.sum(F.col(k).cast("decimal(19,0)")).alias(f"s{i}") for i, k in enumerate(names)),
+        *(F.sum((F.col(names[i]) * F.col(names[j])).cast("decimal(19,0)")).alias(f"q{i}{j}") for i, j in _pairs()),
+    )
+
+
+def _estimate(sums: DataFrame, *keep: str) -> DataFrame:
+    """keep, mean m and Cholesky factor l of the covariance, and volume, the logarithm of its determinant.
+
+    sums may hold a prior centre p and covariance c, which then count as LEAN rows.
+    """
+    size = len(FEATURES)
+    n = F.col("n").cast("double")
+    own = {f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(size)}
+    out = sums.withColumns({f"o{i}": own[f"m{i}"] for i in range(size)})
+    prior = "p0" in sums.columns
+    w = n / (n + LEAN) if prior else F.lit(1.0)
+    means = {f"m{i}": w * F.col(f"o{i}") + ((1 - w) * F.col(f"p{i}") if prior else 0.0) for i in range(size)}
+    for i, j in _pairs():
+        v = F.col(f"q{i}{j}").cast("double") / n - F.col(f"o{i}") * F.col(f"o{j}")
+        if prior:
+            apart = (F.col(f"o{i}") - F.col(f"p{i}")) * (F.col(f"o{j}") - F.col(f"p{j}"))
+            v = w * v + (1 - w) * F.col(f"c{i}{j}") + w * (1 - w) * apart
+        if i == j:
+            v = F.greatest(v, F.lit((list(FEATURES.values())[i] * UNIT) ** 2))
+        means[f"v{i}{j}"] = v
+    out = out.withColumns(means)
+    for i, j in _pairs():  # Cholesky, a row at a time
+        v = F.col(f"v{i}{j}")
+        for k in range(j):
+            v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1.0))) if i == j else v / F.col(f"l{j}{j}"))
+    volume = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, size)), F.log("l00")) * 2
+    return out.select(*keep, *(f"m{i}" for i in range(size)), *(f"l{i}{j}" for i, j in _pairs()), volume.alias("volume"))
+
+
+def _starts(rows: DataFrame, key: str) -> DataFrame:
+    """Quartiles, all texts, and samples by the hash of the vector, of each group; a sample without texts is left out."""
+    first = _quartiles(rows, key)
+    sizes = first.select(key, "of")
+    draw = F.pmod(F.xxhash64(*FEATURES), F.lit(SAMPLE))
+    chosen = F.explode(F.array(F.lit("all"), *(F.when(draw == k, F.lit(f"sample {k}")) for k in range(SAMPLES))))
+    sums = _sums(rows.withColumn("start", chosen).where("start is not null"), key, "start")
+    return first.unionByName(_estimate(sums, key, "start").join(sizes, key))
 
 
 def _squared_distance() -> Column:
@@ -166,76 +226,83 @@ def _squared_distance() -> Column:
     return total
 
 
-def _step(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
+def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: int, prior: DataFrame | None) -> DataFrame:
     """One concentration step: mean and covariance of the CORE of each group with the smallest distances.
 
     Rows are summed per group and distance bin before the shuffle; the core is as many whole bins as hold it.
     """
-    from pyspark.sql import Window
-
-    names = list(FEATURES)
-    near = _joined(rows, groups, n_groups).withColumn(
+    near = _joined(rows, groups, key, n_groups, total).withColumn(
         "bin", F.least(F.floor(BINS_PER_LOG * F.log1p(_squared_distance())), F.lit(BINS)).cast("int")
     )
-    exact = {k: F.col(k).cast("decimal(19,0)") for k in names}
-    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
-    bins = near.groupBy("gid", "bin").agg(
-        F.count("*").alias("n"),
-        *(F.sum(exact[k]).alias(f"s{i}") for i, k in enumerate(names)),
-        *(F.sum((F.col(names[i]) * F.col(names[j])).cast("decimal(19,0)")).alias(f"q{i}{j}") for i, j in pairs),
-    )
-    w = Window.partitionBy("gid")
+    bins = _sums(near, key, "start", "bin")
+    w = Window.partitionBy(key, "start")
     before = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = bins.withColumn("all", F.sum("n").over(w)).withColumn("before", before)
-    middle = F.min(F.when(F.col("before") + F.col("n") >= 0.5 * F.col("all"), F.col("bin")))
-    inner = F.col("before") < CORE * F.col("all")
-    sums = marked.groupBy("gid").agg(
-        middle.alias("middle"),
-        F.sum(F.when(inner, F.col("n"))).cast("double").alias("n"),
-        *(F.sum(F.when(inner, F.col(f"s{i}"))).cast("double").alias(f"s{i}") for i in range(len(names))),
-        *(F.sum(F.when(inner, F.col(f"q{i}{j}"))).cast("double").alias(f"q{i}{j}") for i, j in pairs),
+    marked = bins.withColumn("of", F.sum("n").over(w)).withColumn("before", before)
+    middle = F.min(F.when(F.col("before") + F.col("n") >= 0.5 * F.col("of"), F.col("bin")))
+    inner = F.col("before") < CORE * F.col("of")
+    added = ["n", *(f"s{i}" for i in range(len(FEATURES))), *(f"q{i}{j}" for i, j in _pairs())]
+    sums = marked.groupBy(key, "start").agg(
+        F.first("of").alias("of"), middle.alias("middle"), *(F.sum(F.when(inner, F.col(c))).alias(c) for c in added)
+    )
+    sums = sums.join(groups.select(key, "start", F.col("volume").alias("was"), *([] if prior is None else ["lang"])), [key, "start"])
+    if prior is not None:
+        sums = sums.join(F.broadcast(prior) if n_groups <= BROADCAST_GROUPS else prior, "lang")
+    return _estimate(sums, key, "start", "of", "middle", "was", *([] if prior is None else ["lang"]))
+
+
+def _least_determinants(rows: DataFrame, key: str, prior: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """For each group its size of, middle bin of distances, m, l and volume, from the start that led to the least
+    determinant (of equal ones the first by name); and the number of groups. prior has those of the languages."""
+    groups = _starts(rows, key)
+    if prior is not None:
+        groups = groups.join(rows.groupBy(key).agg(F.first("lang").alias("lang")), key)
+    groups = cut(groups)
+    total, n_groups = rows.count(), groups.where("start = 'quartiles'").count()
+    for _ in range(MOST_STEPS):
+        groups = cut(_step(rows, groups, key, n_groups, total, prior))
+        if groups.where(F.abs(F.col("volume") - F.col("was")) > 1e-9).isEmpty():
+            break
+    best = groups.groupBy(key).agg(F.min_by(F.struct("*"), F.struct("volume", "start")).alias("best"))
+    return cut(best.select("best.*").drop("was")), n_groups
+
+
+def _as_prior(languages: DataFrame) -> DataFrame:
+    """Centre p and covariance c of each language."""
+    size = len(FEATURES)
+    covariance = {(i, j): sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(1, j + 1)), F.col(f"l{i}0") * F.col(f"l{j}0")) for i, j in _pairs()}
+    return languages.select(
+        "lang", *(F.col(f"m{i}").alias(f"p{i}") for i in range(size)), *(v.alias(f"c{i}{j}") for (i, j), v in covariance.items())
     )
-    means = sums.select("*", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(len(names))))
-    out = means
-    for i, j in pairs:  # Cholesky, a column at a time
-        v = F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
-        if i == j:
-            v = v + (FEATURES[names[i]] * UNIT) ** 2
-        for k in range(j):
-            v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1.0))) if i == j else v / F.col(f"l{j}{j}"))
-    return out.select("gid", "middle", *(f"m{i}" for i in range(len(names))), *(f"l{i}{j}" for i, j in pairs))
 
 
 def quality_verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, statistics, base_failed, distance, kept) for each row of docs; needs doc_id, lang, source and text.
 
     kept is false where the base rules fail or where distance, the squared Mahalanobis distance from the group's robust
-    centre in multiples of the group's median, exceeds CUTOFF times. Texts that fail the base rules take no part in the
-    estimates. Null lang or source is a value of its own; groups of fewer than MIN_GROUP texts are estimated together.
-    Null text is empty and fails. Repeated rows count as often as they stand there. An empty table gives none.
+    centre, scaled so that the group's median is that of chi-squared, exceeds CUTOFF. Texts that fail the base rules take
+    no part in the estimates. Null lang or source is a value of its own. Every group of a language and a source has
+    its own estimate, in which the language's counts as LEAN texts. Null text is empty and fails. Repeated rows count as
+    often as they stand there. An empty table gives none.
     """
     picked = docs.select(F.col("doc_id"), F.col("lang"), F.col("source"), F.col(text).alias("text"))
     stats = text_statistics(picked).select("doc_id", "lang", "source", "__stats.*")
-    vector = _vector()
+    none = F.lit("\x00")
+    language = F.coalesce("lang", none)
     rows = cut(
-        _with_group(
-            cut(stats.withColumns(vector).withColumn("base_failed", base_failed()))
-        )
+        stats.withColumns(_vector())
+        .withColumns({"base_failed": base_failed(), "gid": F.concat(language, F.lit("\x01"), F.coalesce("source", none)), "lang": language})
+        .drop("source")
     )
-    fit = rows.where(~F.col("base_failed"))
-    groups = cut(_start(fit))
-    n_groups = groups.count()
-    for _ in range(STEPS):
-        groups = cut(_step(fit, groups, n_groups))
+    fit = rows.where(~F.col("base_failed")).select("gid", "lang", *FEATURES)
+    languages, _ = _least_determinants(fit.drop("gid"), "lang")
+    groups, n_groups = _least_determinants(fit, "gid", cut(_as_prior(languages)))
     usual = F.greatest(F.expm1(F.col("middle") / BINS_PER_LOG), F.lit(0.25 * CHI2_MEDIAN)) / CHI2_MEDIAN
-    scored = _joined(rows, groups.withColumn("usual", usual), n_groups)
-    distance = _squared_distance() / (F.col("usual") * CHI2_MEDIAN)
-    return scored.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        distance.alias("distance"),
-        (~F.col("base_failed") & F.coalesce(distance <= CUTOFF, F.lit(True))).alias("kept"),
-    )
+    judged = _joined(rows.where(~F.col("base_failed")), groups.withColumn("usual", usual).drop("lang"), "gid", n_groups, rows.count())
+    out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    distance = _squared_distance() / F.col("usual")
+    passed = judged.select(*out, distance.alias("distance"), F.coalesce(distance <= CUTOFF, F.lit(True)).alias("kept"))
+    failed = rows.where("base_failed").select(*out, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
+    return passed.unionByName(failed)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
@@ -243,7 +310,10 @@ def op2_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the rules reject go: of rows that share an id each is judged by itself."""
+    """Rows that the rules reject go: of rows that share an id, or have none, each is judged by its own text.
+
+    Rows that agree in id, language, source and text stay or go together. Null text goes.
+    """
     keyed = docs.withColumn("__key", row_key("doc_id", "lang", "source"))
     judged = keyed.select(F.col("__key").alias("doc_id"), "lang", "source", "text")
     gone = quality_verdicts(judged).where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct()

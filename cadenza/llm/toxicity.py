@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input is the sum of an embedding of the word and the mean of those of its character n-grams, both hashed, so that
-unseen forms of a known stem are recognised. Two recurrent layers read a window of words in either direction, attention
+A word's input is the sum of an embedding of the word and those of its character n-grams over the root of their number, both
+hashed, so that unseen forms of a known stem are recognised. Two recurrent layers read a window of words in either direction, attention
 weighs their states, and a document's score is that of its most toxic window.
 """
 
@@ -28,8 +28,8 @@ TOXIC, CLEAN, CHARS, WINDOWS = 600, 1800, 12_000, {1: 40, 0: 40}
 EPOCHS, UPDATES = 4, 120
 #: Standard errors by which a feature must be commoner in toxic documents to start with an embedding.
 SURE = 3.0
-#: Share of the clean documents of the sample whose worst window must stay below THRESHOLD, if most toxic ones do not.
-SPARED = 0.997
+#: One labelled document in so many sets the bias; a clean one above the threshold weighs as much as FALSE toxic ones below.
+CALIBRATION, FALSE = 5, 3.0
 BATCH, RATE, SEED = 192, 0.01, 7
 #: Windows of a clean document used in an epoch: those that look most toxic, and others at random.
 HARD, EASY = 3, 2
@@ -175,12 +175,43 @@ def _pad(rows: list[np.ndarray], none: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
-    """Adam on windows with their document's label.
+    """Adam on windows with their document's label, then a bias from documents that were not trained on.
 
     Features that are surely commoner in toxic documents start with that in their embedding. Of a toxic document the windows
     that look toxic count, by those features at first and by the network later; of a clean one the worst and some others.
-    In the end the bias is lowered until nearly all clean documents of the sample are below the threshold.
+    One document in CALIBRATION of either label is kept out, and the bias is set so that THRESHOLD parts those best.
     """
+    place = {y: 0 for y in set(labels)}
+    fitted, judged = [], []
+    for i, y in enumerate(labels):
+        place[y] += 1
+        (fitted if place[y] % CALIBRATION else judged).append(i)
+    net = _fit([texts[i] for i in fitted], [labels[i] for i in fitted], seed)
+    found = np.asarray(list(Scorer(net)([texts[i] for i in judged])), np.float64)
+    truth = np.asarray([labels[i] for i in judged], bool)
+    if truth.any() and not truth.all():
+        net.weights["c"] -= np.float32(_parting(_logit(found), truth) - _logit(np.float64(THRESHOLD)))
+    return net
+
+
+def _logit(x: np.ndarray) -> np.ndarray:
+    return np.log(x + 1e-7) - np.log(1 - x + 1e-7)
+
+
+def _parting(scores: np.ndarray, toxic: np.ndarray) -> float:
+    """The middle of the gap between scores that loses least: of toxic documents below it, and FALSE as much of clean ones above."""
+    order = np.argsort(scores, kind="stable")
+    s, t = scores[order], toxic[order]
+    missed = np.append(0, np.cumsum(t)) / t.sum()
+    wrong = np.append((~t).sum(), (~t).sum() - np.cumsum(~t)) / (~t).sum()
+    edges = np.concatenate([[s[0] - 1], s, [s[-1] + 1]])
+    loss = missed + FALSE * wrong
+    best = np.flatnonzero(loss <= loss.min() + 1e-9)
+    widest = best[np.argmax(np.diff(edges)[best])]
+    return float((edges[widest] + edges[widest + 1]) / 2)
+
+
+def _fit(texts: list[str], labels: list[int], seed: int) -> Network:
     rng, net = np.random.default_rng(seed), Network.new(seed)
     place: dict[str, int] = {}
     windows, owner = [], []
@@ -255,12 +286,6 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network:
             of_gram = np.repeat(np.arange(len(seen)), counts[seen])
             d_gram = (d_x * scale[seen, None])[of_gram] * gram_known[flat_grams, None]
             _adagrad(net.weights["gram"], moments["gram"][1], flat_grams, d_gram)
-    logit = lambda x: np.log(x + 1e-7) - np.log(1 - x + 1e-7)
-    scores = logit(_probabilities(net, words, windows).astype(np.float64))
-    worst = np.asarray([scores[g].max() for g in groups])
-    if toxic.any() and not toxic.all():
-        bar = min(np.quantile(worst[~toxic], SPARED) + 0.5, np.quantile(worst[toxic], 0.25))
-        net.weights["c"] -= np.float32(max(0.0, bar - logit(np.float64(THRESHOLD))))
     return net
 
 

@@ -1,6 +1,7 @@
 """The training-data operators against plain versions, and on odd inputs."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -113,6 +114,57 @@ def test_quality_rejects_the_odd_one(spark):
     assert not kept[60] and all(kept[i] for i in range(60))
 
 
+def plain_mcd(x, least, starts=300):
+    """Least log-determinant over concentration steps from many random starts, with exact cores."""
+    r, h = np.random.default_rng(0), int(np.ceil(quality.CORE * len(x)))
+
+    def estimate(rows):
+        c = np.cov(rows.T, bias=True)
+        return rows.mean(axis=0), c - np.diag(np.diag(c)) + np.diag(np.maximum(np.diag(c), least**2))
+
+    best = (np.inf,)
+    for _ in range(starts):
+        core = x[r.choice(len(x), 12, replace=False)]
+        for _ in range(30):
+            m, c = estimate(core)
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            core = x[np.argsort(d, kind="stable")[:h]]
+        best = min(best, (np.linalg.slogdet(estimate(core)[1])[1], *d.tolist()))
+    return best[0], np.asarray(best[1:])
+
+
+def test_least_determinant_against_many_random_starts(spark):
+    r = np.random.default_rng(4)
+    least = np.asarray(list(quality.FEATURES.values())) * quality.UNIT
+    for share in (0.0, 0.2):
+        mix = r.standard_normal((5, 5))
+        x = r.standard_normal((200, 5)) @ mix * 3 * quality.UNIT
+        far = int(share * 200)
+        x[:far] = r.standard_normal((far, 5)) * 300 + 40 * quality.UNIT
+        x = np.rint(x).astype(np.int64)
+        rows = spark.createDataFrame([("en", *map(int, v)) for v in x], ["lang", *quality.FEATURES])
+        found, n = quality._least_determinants(rows, "lang")
+        got = found.first()
+        want, distance = plain_mcd(x.astype(float), least)
+        assert n == 1 and got["of"] == 200 and got["volume"] <= want + 0.35
+        own = {v: k for k, v in enumerate(map(tuple, x.tolist()))}
+        near = {own[tuple(q[k] for k in quality.FEATURES)]: q["d"] for q in rows.join(found, "lang").withColumn("d", quality._squared_distance()).collect()}
+        assert far == 0 or min(near[i] for i in range(far)) > 3 * max(near[i] for i in range(far, 200))
+        assert far == 0 or distance[:far].min() > 3 * distance[far:].max()
+
+
+def test_chi_squared():
+    assert quality.CHI2_MEDIAN == pytest.approx(4.35146, abs=1e-4) and quality.chi2_quantile(0.01) == pytest.approx(15.0863, abs=1e-3)
+
+
+def test_small_groups_lean_on_their_language(spark):
+    clean = [prose(i, 120 + 3 * i) for i in range(60)]
+    odd = " ".join(w + "$$$###" for w in prose(99, 200).split())
+    rows = docs(spark, [*clean, odd, odd + " x"]).withColumn("lang", F.lit("en")).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 30))
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_verdicts(rows).collect()}
+    assert all(kept[i] for i in range(60)) and not kept[60] and not kept[61]
+
+
 def test_packing_is_a_partition_of_the_tokens(spark):
     texts = ODD * 3
     p = packing.pack_documents(docs(spark, texts).repartition(3)).toPandas()
@@ -299,6 +351,50 @@ def test_language(spark):
     assert [odd[i]["lang_pred"] for i in range(3)] == ["und"] * 3 and odd[3]["lang_pred"] == "b"
 
 
+def plain_score(net, text):
+    """The network word by word, in double precision."""
+    w, s = {k: v.astype(float) for k, v in net.weights.items()}, toxicity.STATE
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    words, best = toxicity.tokens(text), 0.0
+    for start in toxicity.window_starts(len(words)) if words else ():
+        x = []
+        for word in words[start : start + toxicity.WINDOW]:
+            own, grams, _ = toxicity.hashed([word])
+            x.append(w["word"][own[0]] + w["gram"][grams].sum(axis=0) / np.sqrt(len(grams)))
+        states = {}
+        for d in "fb":
+            h, out = np.zeros(s), []
+            for v in x if d == "f" else x[::-1]:
+                g, m = v @ w[f"w{d}"] + w[f"b{d}"], h @ w[f"u{d}"]
+                z, r = sigmoid(g[:s] + m[:s]), sigmoid(g[s : 2 * s] + m[s : 2 * s])
+                n = np.tanh(g[2 * s :] + r * m[2 * s :])
+                h = (1 - z) * n + z * h
+                out.append(h)
+            states[d] = out if d == "f" else out[::-1]
+        h = np.concatenate([states["f"], states["b"]], axis=1)
+        weight = np.exp(h @ w["a"] - (h @ w["a"]).max())
+        best = max(best, float(sigmoid((weight / weight.sum()) @ h @ w["o"] + w["c"][0])))
+    return best
+
+
+def test_toxicity_scores_equal_a_plain_forward_pass():
+    r = np.random.default_rng(2)
+    net = toxicity.Network.new(3)
+    net.weights = {k: (0.5 * r.standard_normal(v.shape)).astype(np.float32) for k, v in net.weights.items()}
+    texts = [None, "", "one", prose(5, 48), prose(6, 49), prose(7, 200), "x" * 100, "日本語" * 30]
+    assert list(toxicity.Scorer(net)(texts)) == pytest.approx([plain_score(net, t) for t in texts], abs=1e-4)
+
+
+def test_toxicity_on_held_out_documents(spark):
+    path = "/root/testdata/sf0.01"
+    if not os.path.isdir(path):
+        pytest.skip("no test tables here")
+    found = toxicity.op3_toxicity(spark, path).join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").where("held_out")
+    n = {(r["toxic"], r["predicted"]): r["count"] for r in found.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] >= 13 and n[1, 1] + n.get((1, 0), 0) == 18  # the others hold stems of one or two documents
+    assert n.get((0, 1), 0) <= 5 and sum(n.values()) == 113
+
+
 def test_toxicity_learns_planted_words(spark):
     r = random.Random(6)
     texts, labels = [], []
