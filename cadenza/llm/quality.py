@@ -25,8 +25,8 @@ FEATURES = {"x_length": 0.5, "x_word": 0.6, "x_symbol": 0.35, "x_line": 0.8, "x_
 CORE = 0.75
 #: Starts of the concentration steps besides quartiles and all texts: so many samples by hash, one text in SAMPLE each.
 SAMPLES, SAMPLE = 2, 8
-#: Steps end when no determinant changes any more; distances are counted in bins, which could in theory alternate.
-MOST_STEPS = 12
+#: Steps from every start; steps from the best one, which end when no logarithm of a determinant falls by more than FALLS.
+FEW, MOST_STEPS, FALLS = 2, 10, 0.01
 #: The language's estimate counts as so many texts beside a group's own.
 LEAN = 60
 #: Rejected are texts whose distance a normal vector exceeds with this probability. The statistics have heavier tails than
@@ -167,39 +167,33 @@ def _sums(rows: DataFrame, *keys: str) -> DataFrame:
     names = list(FEATURES)
     return rows.groupBy(*keys).agg(
         F.count("*").alias("n"),
-        *(F.sum(F.col(k).cast("decimal(19,0)")).alias(f"s{i}") for i, k in enumerate(names)),
-        *(F.sum((F.col(names[i]) * F.col(names[j])).cast("decimal(19,0)")).alias(f"q{i}{j}") for i, j in _pairs()),
+        *(F.expr(f"sum(cast({k} AS decimal(19,0))) AS s{i}") for i, k in enumerate(names)),
+        *(F.expr(f"sum(cast({names[i]} * {names[j]} AS decimal(19,0))) AS q{i}{j}") for i, j in _pairs()),
     )
 
 
 def _estimate(sums: DataFrame, *keep: str) -> DataFrame:
     """keep, mean m and Cholesky factor l of the covariance, and volume, the logarithm of its determinant.
 
-    sums may hold a prior centre p and covariance c, which then count as LEAN rows.
+    sums may hold a prior centre p and covariance c, which then count as LEAN rows. Each expression may name those before it.
     """
-    size = len(FEATURES)
-    n = F.col("n").cast("double")
-    own = {f"m{i}": F.col(f"s{i}").cast("double") / n for i in range(size)}
-    out = sums.withColumns({f"o{i}": own[f"m{i}"] for i in range(size)})
-    prior = "p0" in sums.columns
-    w = n / (n + LEAN) if prior else F.lit(1.0)
-    means = {f"m{i}": w * F.col(f"o{i}") + ((1 - w) * F.col(f"p{i}") if prior else 0.0) for i in range(size)}
+    size, least, prior = len(FEATURES), list(FEATURES.values()), "p0" in sums.columns
+    out = [*keep, "cast(n AS double) AS __n", f"{f'__n / (__n + {LEAN})' if prior else '1.0D'} AS __w"]
+    for i in range(size):
+        out.append(f"cast(s{i} AS double) / __n AS __o{i}")
+        out.append(f"{f'__w * __o{i} + (1 - __w) * p{i}' if prior else f'__o{i}'} AS m{i}")
     for i, j in _pairs():
-        v = F.col(f"q{i}{j}").cast("double") / n - F.col(f"o{i}") * F.col(f"o{j}")
+        v = f"cast(q{i}{j} AS double) / __n - __o{i} * __o{j}"
         if prior:
-            apart = (F.col(f"o{i}") - F.col(f"p{i}")) * (F.col(f"o{j}") - F.col(f"p{j}"))
-            v = w * v + (1 - w) * F.col(f"c{i}{j}") + w * (1 - w) * apart
+            v = f"__w * ({v}) + (1 - __w) * c{i}{j} + __w * (1 - __w) * (__o{i} - p{i}) * (__o{j} - p{j})"
         if i == j:
-            v = F.greatest(v, F.lit((list(FEATURES.values())[i] * UNIT) ** 2))
-        means[f"v{i}{j}"] = v
-    out = out.withColumns(means)
+            v = f"greatest({v}, {(least[i] * UNIT) ** 2}D)"
+        out.append(f"{v} AS __v{i}{j}")
     for i, j in _pairs():  # Cholesky, a row at a time
-        v = F.col(f"v{i}{j}")
-        for k in range(j):
-            v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1.0))) if i == j else v / F.col(f"l{j}{j}"))
-    volume = sum((F.log(F.col(f"l{i}{i}")) for i in range(1, size)), F.log("l00")) * 2
-    return out.select(*keep, *(f"m{i}" for i in range(size)), *(f"l{i}{j}" for i, j in _pairs()), volume.alias("volume"))
+        v = " - ".join([f"__v{i}{j}", *(f"l{i}{k} * l{j}{k}" for k in range(j))])
+        out.append(f"sqrt(greatest({v}, 1.0D)) AS l{i}{j}" if i == j else f"({v}) / l{j}{j} AS l{i}{j}")
+    out.append("2 * (" + " + ".join(f"ln(l{i}{i})" for i in range(size)) + ") AS volume")
+    return sums.selectExpr(*out).select(*keep, *(f"m{i}" for i in range(size)), *(f"l{i}{j}" for i, j in _pairs()), "volume")
 
 
 def _starts(rows: DataFrame, key: str) -> DataFrame:
@@ -212,18 +206,14 @@ def _starts(rows: DataFrame, key: str) -> DataFrame:
     return first.unionByName(_estimate(sums, key, "start").join(sizes, key))
 
 
-def _squared_distance() -> Column:
-    """Of a row's vector from the group's mean, by forward substitution in the Cholesky factor l."""
-    ys: list[Column] = []
+def _with_distance(rows: DataFrame) -> DataFrame:
+    """rows and d2, the squared distance of the vector from the group's mean, by forward substitution in the factor l."""
+    ys = []
     for i, k in enumerate(FEATURES):
-        rest = F.col(k) - F.col(f"m{i}")
-        for j in range(i):
-            rest = rest - F.col(f"l{i}{j}") * ys[j]
-        ys.append(rest / F.col(f"l{i}{i}"))
-    total = ys[0] * ys[0]
-    for y in ys[1:]:
-        total = total + y * y
-    return total
+        rest = " - ".join([f"{k} - m{i}", *(f"l{i}{j} * __y{j}" for j in range(i))])
+        ys.append(f"({rest}) / l{i}{i} AS __y{i}")
+    names = [f"__y{i}" for i in range(len(FEATURES))]
+    return rows.selectExpr("*", *ys, " + ".join(f"{y} * {y}" for y in names) + " AS d2").drop(*names)
 
 
 def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: int, prior: DataFrame | None) -> DataFrame:
@@ -231,18 +221,17 @@ def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: in
 
     Rows are summed per group and distance bin before the shuffle; the core is as many whole bins as hold it.
     """
-    near = _joined(rows, groups, key, n_groups, total).withColumn(
-        "bin", F.least(F.floor(BINS_PER_LOG * F.log1p(_squared_distance())), F.lit(BINS)).cast("int")
+    near = _with_distance(_joined(rows, groups, key, n_groups, total)).withColumn(
+        "bin", F.expr(f"cast(least(floor({BINS_PER_LOG} * log1p(d2)), {BINS}) AS int)")
     )
     bins = _sums(near, key, "start", "bin")
     w = Window.partitionBy(key, "start")
     before = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     marked = bins.withColumn("of", F.sum("n").over(w)).withColumn("before", before)
     middle = F.min(F.when(F.col("before") + F.col("n") >= 0.5 * F.col("of"), F.col("bin")))
-    inner = F.col("before") < CORE * F.col("of")
     added = ["n", *(f"s{i}" for i in range(len(FEATURES))), *(f"q{i}{j}" for i, j in _pairs())]
     sums = marked.groupBy(key, "start").agg(
-        F.first("of").alias("of"), middle.alias("middle"), *(F.sum(F.when(inner, F.col(c))).alias(c) for c in added)
+        F.first("of").alias("of"), middle.alias("middle"), *(F.expr(f"sum(CASE WHEN before < {CORE} * of THEN {c} END) AS {c}") for c in added)
     )
     sums = sums.join(groups.select(key, "start", F.col("volume").alias("was"), *([] if prior is None else ["lang"])), [key, "start"])
     if prior is not None:
@@ -251,19 +240,25 @@ def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: in
 
 
 def _least_determinants(rows: DataFrame, key: str, prior: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """For each group its size of, middle bin of distances, m, l and volume, from the start that led to the least
-    determinant (of equal ones the first by name); and the number of groups. prior has those of the languages."""
+    """For each group its size of, middle bin of distances, m, l and volume; and the number of groups.
+
+    After FEW steps from every start, the one with the least determinant (of equal ones the first by name) goes on until
+    no group's determinant falls any more. prior has the estimates of the languages.
+    """
     groups = _starts(rows, key)
     if prior is not None:
         groups = groups.join(rows.groupBy(key).agg(F.first("lang").alias("lang")), key)
     groups = cut(groups)
     total, n_groups = rows.count(), groups.where("start = 'quartiles'").count()
+    for _ in range(FEW):
+        groups = cut(_step(rows, groups, key, n_groups, total, prior))
+    best = groups.groupBy(key).agg(F.min_by(F.struct("*"), F.struct("volume", "start")).alias("best"))
+    groups = best.select("best.*")
     for _ in range(MOST_STEPS):
         groups = cut(_step(rows, groups, key, n_groups, total, prior))
-        if groups.where(F.abs(F.col("volume") - F.col("was")) > 1e-9).isEmpty():
+        if groups.where(F.col("volume") < F.col("was") - FALLS).isEmpty():
             break
-    best = groups.groupBy(key).agg(F.min_by(F.struct("*"), F.struct("volume", "start")).alias("best"))
-    return cut(best.select("best.*").drop("was")), n_groups
+    return groups.drop("was"), n_groups
 
 
 def _as_prior(languages: DataFrame) -> DataFrame:
@@ -297,9 +292,9 @@ def quality_verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
     languages, _ = _least_determinants(fit.drop("gid"), "lang")
     groups, n_groups = _least_determinants(fit, "gid", cut(_as_prior(languages)))
     usual = F.greatest(F.expm1(F.col("middle") / BINS_PER_LOG), F.lit(0.25 * CHI2_MEDIAN)) / CHI2_MEDIAN
-    judged = _joined(rows.where(~F.col("base_failed")), groups.withColumn("usual", usual).drop("lang"), "gid", n_groups, rows.count())
+    judged = _with_distance(_joined(rows.where(~F.col("base_failed")), groups.withColumn("usual", usual).drop("lang"), "gid", n_groups, rows.count()))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    distance = _squared_distance() / F.col("usual")
+    distance = F.col("d2") / F.col("usual")
     passed = judged.select(*out, distance.alias("distance"), F.coalesce(distance <= CUTOFF, F.lit(True)).alias("kept"))
     failed = rows.where("base_failed").select(*out, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
     return passed.unionByName(failed)

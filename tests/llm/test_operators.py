@@ -148,7 +148,7 @@ def test_least_determinant_against_many_random_starts(spark):
         want, distance = plain_mcd(x.astype(float), least)
         assert n == 1 and got["of"] == 200 and got["volume"] <= want + 0.35
         own = {v: k for k, v in enumerate(map(tuple, x.tolist()))}
-        near = {own[tuple(q[k] for k in quality.FEATURES)]: q["d"] for q in rows.join(found, "lang").withColumn("d", quality._squared_distance()).collect()}
+        near = {own[tuple(q[k] for k in quality.FEATURES)]: q["d2"] for q in quality._with_distance(rows.join(found, "lang")).collect()}
         assert far == 0 or min(near[i] for i in range(far)) > 3 * max(near[i] for i in range(far, 200))
         assert far == 0 or distance[:far].min() > 3 * distance[far:].max()
 
