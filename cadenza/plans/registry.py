@@ -261,7 +261,9 @@ def _(spark, d):
     return p.select("video_id", "id", T.length_ratio_milli(F.col("src"), F.col("tgt")).alias("milli"), T.length_short(F.col("src"), F.col("tgt")).alias("short"))
 
 
-@query("fn14_completeness")
+@query("fn14_completeness", r"""SELECT video_id, id, array_to_string(list_filter([CASE WHEN length(src) >= 30 AND length(tgt) < 0.45 * length(src) THEN 'length_short' END,
+  CASE WHEN regexp_matches(replace(replace(replace(replace(replace(replace(replace(lower(src), 'more often than not', ' '), 'not to mention', ' '), 'not only', ' '), 'no doubt', ' '), 'no wonder', ' '), 'why not', ' '), 'whether or not', ' '),
+  '\b(not|never|no|none|nobody|noone|nothing|nowhere|without|cannot|neither|nor)\b|n[''’]t\b') THEN 'neg_loss' END, CASE WHEN len(list_filter(regexp_extract_all(src, '\d+'), lambda x: NOT contains(tgt, x))) > 0 THEN 'number_loss' END], lambda x: x IS NOT NULL), ',') AS flags FROM f_pairs""")
 def _(spark, d):
     p = V.pairs(spark, d)
     return p.select("video_id", "id", F.array_join(T.completeness_flags(F.col("src"), F.col("tgt")), ",").alias("flags"))

@@ -228,7 +228,36 @@ def test_resolve():
     assert P.resolve("HTTPS")[0] == "acronym" and P.resolve("GPUs") == ("acronym", "джи-пи-ю")
     assert P.resolve("brb") == ("letters", "би-ар-би") and P.resolve("It")[0] == "fallback"
     assert P.transliterate("gamer") == "геймер" and P.transliterate("nation") == "нейшн" and P.transliterate("sky") == "скай"
-    assert P.apply_stress("реддит", 1) == "редд+ит" and P.apply_stress("р+еддит", 0) == "р+еддит" and P.apply_stress("да", 4) == "да"
+    words = {
+        "takes": "тейкс", "league": "лиг", "unique": "уник", "agent": "эйджент", "age": "эйдж", "builder": "билдер", "fortnite": "фортнайт",
+        "gaming": "гейминг", "call": "кол", "gallery": "галлери", "movie": "мови", "movies": "мовис", "need": "нид", "trees": "трис",
+        "started": "стартед", "boxes": "боксес", "goes": "гос", "new": "нью", "show": "шоу", "power": "пауер", "knight": "найт", "city": "сити", "my": "май",
+    }
+    assert {w: P.transliterate(w) for w in words} == words
+
+
+def test_stress(spark):
+    for w, i, want in (("реддит", 1, "редд+ит"), ("р+еддит", 0, "р+еддит"), ("да", 4, "да"), ("ютуб", 0, "+ютуб")):
+        assert one(spark, P.apply_stress(F.col("a"), F.col("b")), a=w, b=i) == want
+    stress = spark.createDataFrame([("gamer", 0), ("gpu", 0)], "word string, stress int")
+    df = spark.createDataFrame([(1, 0, "gamer GPU gaming")], "video_id bigint, id bigint, t string")
+    assert P.normalize_spoken(df, "t", stress=stress).first()["spoken"] == "г+еймер джи-пи-ю гейминг"
+
+
+def test_numbers_spelled_out(spark):
+    for src, tgt, lost in (
+        ("I have 2 cats", "у меня два кота", []), ("these 10", "этих десяти", []), ("the 5", "пятёрку", []), ("50 years", "пятидесятилетней", []),
+        ("7 and 8", "семь", ["8"]), ("21000", "двадцать одна тысяча", []), ("0", "ноль", []), ("100", "сто", []), ("3 of 12345678901", "два", ["3"]), ("5", "none", ["5"]),
+    ):
+        assert one(spark, T.missing_numbers(F.col("a"), F.col("b")), a=src, b=tgt) == lost, (src, tgt)
+
+
+def test_negation(spark):
+    for src, tgt, lost in (
+        ("I do not know", "я не знаю", False), ("I do not know", "я знаю", True), ("without it", "без него", False), ("It is not safe", "это безопасно", True),
+        ("not only this", "это", False), ("I don’t", "да", True), ("nothing", "ничего", False),
+    ):
+        assert one(spark, T.negation_lost(F.col("a"), F.col("b")), a=src, b=tgt) is lost, (src, tgt)
 
 
 def test_adjacent_duplicates(spark):
