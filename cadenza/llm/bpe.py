@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import arrow_schema, in_batches, read
+from cadenza.llm.common import arrow_schema, in_batches, kept, read
 
 TOKENIZER = "word_bpe_49k.json"
 #: Bytes of text in a block, at most one document more.
@@ -66,8 +66,8 @@ class Words:
     def __init__(self, path: str | None = None, most: int = 500_000) -> None:
         self.tokenizer, self.most, self.known = tokenizer(path), most, {}
         self.model, self.letters = self.tokenizer.model, _byte_letters()
-        kept = sys.modules.setdefault("_cadenza_words", ModuleType("_cadenza_words")).__dict__
-        self.cores: dict[str, bytes] = kept.setdefault(path or TOKENIZER, {})
+        workers = sys.modules.setdefault("_cadenza_words", ModuleType("_cadenza_words")).__dict__
+        self.cores: dict[str, bytes] = workers.setdefault(path or TOKENIZER, {})
         self.marks = {"": b""} | dict(zip(MARKS, self._ids(list(MARKS)), strict=True))
 
     def of(self, texts: list[str | None], together: int = 256) -> Iterator[bytes]:
@@ -191,23 +191,26 @@ def _write_places(parts: int):
     return run
 
 
-def _encode_part(path: str | None, schema: pa.Schema):
-    """One part of the distinct-word table: each of its words is encoded once, and every block gets its words' ids."""
+def _encode_lists(path: str | None, schema: pa.Schema):
+    """The distinct-word table, a stream of lists sorted by part: words of a part are encoded once, and each block gets its ids.
 
-    def run(table: pa.Table) -> pa.Table:
+    What is known of a part is dropped with it, or when it grows beyond the bound of Words; memory does not follow the data.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        known = Words(path, most=1 << 62)
-        ids = []
-        for data in table["words"].to_pylist():
-            words = unpack(data).decode().split("\n")
-            known.learn(words)
-            got = [known.known[w] for w in words]
-            counts = np.fromiter(map(len, got), np.int64, len(got)) // 4
-            ids.append(_pack(np.concatenate([[len(got)], counts, np.frombuffer(b"".join(got), "<u4")])))
-        columns = [table["block"].combine_chunks(), table["part"].combine_chunks(), pa.array(ids, pa.binary())]
-        return pa.Table.from_arrays(columns, schema=schema)
+        unpack, at, known = zstandard.ZstdDecompressor().decompress, None, Words(path)
+        for batch in batches:
+            for block, part, data in zip(*(batch[c].to_pylist() for c in ("block", "part", "words")), strict=True):
+                if part != at:
+                    at, known.known = part, {}
+                words = unpack(data).decode().split("\n")
+                known.learn(words)
+                got = [known.known[w] for w in words]
+                counts = np.fromiter(map(len, got), np.int64, len(got)) // 4
+                ids = _pack(np.concatenate([[len(got)], counts, np.frombuffer(b"".join(got), "<u4")]))
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((block, part, ids), schema, strict=True)], schema=schema)
 
     return run
 
@@ -279,19 +282,26 @@ def decode_words(words: DataFrame, path: str | None = None) -> DataFrame:
     return named.groupBy("word").agg(*(F.first(c).alias(c) for c in rest), text.alias("pieces"))
 
 
-def tokens_round_trip(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str | None = None) -> DataFrame:
+def tokens_round_trip(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str | None = None, from_files: bool = False
+) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row of docs.
 
+    Rows are read twice and must come in the same order both times. Files do; from_files says that docs is a plain table of
+    files, else it is written first.
+
     ids_sha256 is over the decimal ids joined by a blank, decoded_sha256 over the file's own decoding of them. Null text is
     empty: no tokens, and the hashes of nothing. A text without white space is one word. Repeated rows are encoded each.
     An empty table gives none. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = rows if from_files else kept(rows)
     spark, kind = rows.sparkSession, rows.schema["id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = in_batches(rows, _list_words(parts), "block bigint, part int, words binary")
     encoded_as = "block bigint, part int, ids binary"
-    encoded = listed.groupBy("part").applyInArrow(_encode_part(path, arrow_schema(spark, encoded_as)), encoded_as)
+    dealt = listed.repartition(parts, "part").sortWithinPartitions("part")
+    encoded = dealt.mapInArrow(_encode_lists(path, arrow_schema(spark, encoded_as)), encoded_as)
     written = in_batches(rows, _write_places(parts), f"block bigint, order binary, id {kind}, places binary")
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     named = sorted(tokenizer(path).get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
@@ -306,4 +316,4 @@ def tokens_round_trip(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:
-    return tokens_round_trip(read(spark, sf_dir, "documents"))
+    return tokens_round_trip(read(spark, sf_dir, "documents"), from_files=True)

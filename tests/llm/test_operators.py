@@ -266,10 +266,41 @@ def test_quantised_products_respect_their_bounds():
     x = r.standard_normal((200, 24))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     q, step, error = embeddings.quantise(x)
-    approx = (q @ q.T) * step[:, None] * step[None]
+    assert q.dtype == np.int8
+    approx = embeddings._products(q, q) * step[:, None] * step[None]
     assert (np.abs(approx - x @ x.T) <= error[:, None] + error[None] + error[:, None] * error[None] + embeddings.SLACK).all()
 
 
+def test_products_of_wide_vectors_are_exact():
+    q = np.full((3, 5000), 127, np.int8)
+    q[1, ::2] = -126
+    assert (embeddings._products(q, q) == q.astype(np.int64) @ q.astype(np.int64).T).all()
+
+
+def test_embeddings_odd_tables(spark):
+    empty = spark.createDataFrame([], "vec_id bigint, embedding array<double>")
+    assert embeddings.near_vectors(empty).count() == 0
+    wide = [1.0] * 2000
+    rows = [(1, wide), (1, wide), (2, [*wide[:-1], 1.5]), (None, wide), (3, [1e-200] * 4), (4, [1e200] * 4)]
+    got = sorted((str(r["vec_id"]), r["n_links"], r["component_id"]) for r in embeddings.near_vectors(spark.createDataFrame(rows, empty.schema)).collect())
+    assert got == [("1", 2, 1), ("1", 2, 1), ("2", 2, 1), ("3", 1, 3), ("4", 1, 3), ("None", 0, None)]
+
+
+@pytest.mark.parametrize("name", ["op5_embeddings", "op6_urls"])
+def test_sql_twins(spark, sf, name):
+    import duckdb
+
+    from cadenza.llm import registry
+
+    con = duckdb.connect()
+    for t in ("embeddings", "pages"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    out = registry.QUERIES[name](spark, sf)
+    columns = sorted(registry.QUERIES[name](spark, sf).columns)
+    want = con.execute(f"select {', '.join(columns)} from ({registry.SQL[name]})").fetchall()
+    assert sorted(map(str, map(tuple, out.select(*columns).collect()))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("letters", [b"a", b"ab", b"abc", bytes(range(256))])
 def test_suffix_array(letters):
     r = random.Random(len(letters))
