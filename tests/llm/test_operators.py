@@ -244,6 +244,58 @@ def test_licenses(spark):
     assert any(r["first"] == 0 and r["stands"] for r in d) and any(not r["stands"] for r in d)
 
 
+def plain_detections(text):
+    """(first, last, order, priority, label, base) of all matches, and of those that stand."""
+    import re
+
+    words = re.findall(licenses.WORD, "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    whole, found = " " + " ".join(words) + " ", []
+    for order, priority, label, _, keyword, pattern, base in licenses.rules():
+        if keyword in words:
+            for m in re.finditer(f"(?<= )(?:{pattern})(?= )", whole):
+                first = whole[: m.start()].count(" ") - 1
+                found.append((first, first + m[0].count(" "), order, priority, label, base))
+    found.sort(key=lambda x: (x[0], -x[1], x[2]))
+    outer = [f for i, f in enumerate(found) if not any(g[1] >= f[1] for g in found[:i])]
+    crossing = lambda f: any(g[3] < f[3] and g[0] <= f[1] and f[0] <= g[1] for g in outer)
+    return found, [f for f in outer if not crossing(f)]
+
+
+def test_licenses_against_a_plain_matcher(spark):
+    r = random.Random(12)
+    bits = [
+        "This program is free software; you can redistribute it and/or modify it", "GNU General Public License, version 2 or later", "mit license", "Apache License, Version 2.0",
+        "licensed under the terms of the Mozilla Public License 2.0", "SPDX-License-Identifier: GPL-3.0-only", "All rights reserved.", "CC BY-NC-SA 4.0", "cc by", "Creative Commons Attribution-ShareAlike",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted", "in the public domain", "Copyright (c) 2019", "the license", "BSD 3-Clause", prose(3, 5),
+    ]
+    texts = [*(" ".join(r.choice(bits) for _ in range(r.randrange(1, 12))) for _ in range(40)), *bits, None, "", "mit license " * 500]
+    got = {}
+    for x in licenses.detections(docs(spark, texts)).where("order is not null").collect():
+        got.setdefault(x["doc_id"], []).append((x["first"], x["last"], x["order"], x["priority"], x["label"], x["base"], x["stands"]))
+    labels = {x["doc_id"]: x for x in licenses.license_labels(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        every, stand = plain_detections(t)
+        assert sorted(g[:6] for g in got.get(i, [])) == sorted(every)
+        assert sorted(g[:6] for g in got.get(i, []) if g[6]) == sorted(stand)
+        assert labels[i]["labels"] == ",".join(sorted({f[4] for f in stand} | {f[4] for f in every if f[5]}))
+
+
+def test_license_rules_are_many_and_hold_their_keywords():
+    rules = licenses.rules()
+    assert len({r[5] for r in rules}) == len(rules) > 300
+    assert len(licenses.NAMES) + len(licenses.PASSAGES) >= 200
+
+
+def test_licenses_base_sql(spark, sf):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    want = con.execute(licenses.OP4_BASE_SQL).fetchall()
+    out = licenses.op4_licenses(spark, sf).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+
+
 def test_embeddings_against_brute_force(spark):
     r = np.random.default_rng(1)
     x = r.standard_normal((150, 16))
