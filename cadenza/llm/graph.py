@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import cut
+from cadenza.llm.common import cut, heavy_join
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each linked node can reach. Nodes without links are left out.
 
     Links that are null or lead back to their node are dropped; repeated ones count once. Every round is two
-    aggregations with map-side combining and two equi-joins, so a hub with a third of all links is split by adaptive
-    skew handling rather than gathered. The links shrink to stars in O(log^2 n) rounds; lineage is cut after each.
+    aggregations with map-side combining and two equi-joins, in which hubs with a great share of all links are joined where
+    their links stand, not gathered. The links shrink to stars in O(log^2 n) rounds; lineage is cut after each.
     """
     state = cut(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -36,13 +36,19 @@ def _stars(state: DataFrame) -> bool:
     return not row["deep"]
 
 
+def _with_least(links: DataFrame) -> DataFrame:
+    """links with m, the least v of their u."""
+    least = cut(links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("times")))
+    total = least.agg(F.sum("times")).first()[0] or 0
+    return heavy_join(links, least, ["u"], "times", total).drop("times")
+
+
 def _large_star(state: DataFrame) -> DataFrame:
     both = state.select("u", "v").unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(state: DataFrame) -> DataFrame:
-    least = state.groupBy("u").agg(F.min("v").alias("m"))
-    moved = state.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    known = _with_least(state.select("u", "v"))
+    moved = known.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(known.select("u", F.col("m").alias("v"))).distinct()

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import cut, in_batches, row_key
+from cadenza.llm.common import cut, heavy_join, in_batches, row_key
 from cadenza.llm.graph import components
 
 SHINGLE = 3
@@ -73,8 +73,9 @@ def near_links(classes: DataFrame) -> DataFrame:
 
     keys = F.array(*(F.struct(F.lit(t).alias("t"), key(b).alias("k")) for t, b in enumerate(tables)))
     blocks = classes.select("fp", "id", F.explode(keys).alias("e")).select("fp", "id", "e.t", "e.k")
-    sizes = blocks.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut(blocks.join(sizes, ["t", "k"]))
+    sizes = cut(blocks.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    shared = cut(heavy_join(blocks, sizes, ["t", "k"], "n", total))
 
     few = shared.where(F.col("n") <= BUCKET)
     left, right = few.alias("l"), few.alias("r")
