@@ -1,8 +1,8 @@
 """Quality rules: text statistics and robust multivariate outliers, in DataFrame functions only.
 
 Each text gets a vector of transformed statistics. Per language and source, concentration steps from several starts run until
-they are stable, and the centre and covariance of least determinant stand. They lean on those of the whole language the more
-the fewer texts a group has. A text whose Mahalanobis distance from its group's centre is too large is rejected.
+they are stable, and the centre and covariance of least determinant stand; then they lean on those of the whole language, the
+more the fewer texts a group has. A text whose Mahalanobis distance from its group's centre is too large is rejected.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ FEATURES = {"x_length": 0.5, "x_word": 0.6, "x_symbol": 0.35, "x_line": 0.8, "x_
 CORE = 0.75
 #: Starts of the concentration steps besides quartiles and all texts: so many samples by hash, one text in SAMPLE each.
 SAMPLES, SAMPLE = 2, 8
-#: Steps from every start; steps from the best one, which end when no logarithm of a determinant falls by more than FALLS.
+#: Steps from every start; steps from the best one, which end when logarithms of determinants fall by no more than FALLS.
 FEW, MOST_STEPS, FALLS = 2, 10, 0.01
 #: The language's estimate counts as so many texts beside a group's own.
 LEAN = 60
@@ -172,38 +172,39 @@ def _sums(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _estimate(sums: DataFrame, *keep: str) -> DataFrame:
-    """keep, mean m and Cholesky factor l of the covariance, and volume, the logarithm of its determinant.
-
-    sums may hold a prior centre p and covariance c, which then count as LEAN rows. Each expression may name those before it.
-    """
-    size, least, prior = len(FEATURES), list(FEATURES.values()), "p0" in sums.columns
-    out = [*keep, "cast(n AS double) AS __n", f"{f'__n / (__n + {LEAN})' if prior else '1.0D'} AS __w"]
-    for i in range(size):
-        out.append(f"cast(s{i} AS double) / __n AS __o{i}")
-        out.append(f"{f'__w * __o{i} + (1 - __w) * p{i}' if prior else f'__o{i}'} AS m{i}")
+def _cholesky(names: dict[tuple[int, int], str]) -> list[str]:
+    """The factor l of a covariance whose parts are named, and volume, the logarithm of its determinant: a row at a time, each
+    expression naming those before it."""
+    out = []
     for i, j in _pairs():
-        v = f"cast(q{i}{j} AS double) / __n - __o{i} * __o{j}"
-        if prior:
-            v = f"__w * ({v}) + (1 - __w) * c{i}{j} + __w * (1 - __w) * (__o{i} - p{i}) * (__o{j} - p{j})"
-        if i == j:
-            v = f"greatest({v}, {(least[i] * UNIT) ** 2}D)"
-        out.append(f"{v} AS __v{i}{j}")
-    for i, j in _pairs():  # Cholesky, a row at a time
-        v = " - ".join([f"__v{i}{j}", *(f"l{i}{k} * l{j}{k}" for k in range(j))])
+        v = " - ".join([names[i, j], *(f"l{i}{k} * l{j}{k}" for k in range(j))])
         out.append(f"sqrt(greatest({v}, 1.0D)) AS l{i}{j}" if i == j else f"({v}) / l{j}{j} AS l{i}{j}")
-    out.append("2 * (" + " + ".join(f"ln(l{i}{i})" for i in range(size)) + ") AS volume")
-    return sums.selectExpr(*out).select(*keep, *(f"m{i}" for i in range(size)), *(f"l{i}{j}" for i, j in _pairs()), "volume")
+    out.append("2 * (" + " + ".join(f"ln(l{i}{i})" for i in range(len(FEATURES))) + ") AS volume")
+    return out
+
+
+def _parameters() -> list[str]:
+    return [*(f"m{i}" for i in range(len(FEATURES))), *(f"l{i}{j}" for i, j in _pairs()), "volume"]
+
+
+def _estimate(sums: DataFrame, *keep: str) -> DataFrame:
+    """keep, mean m, Cholesky factor l of the covariance and volume, the logarithm of its determinant."""
+    least = list(FEATURES.values())
+    out = [*keep, *(f"cast(s{i} AS double) / n AS m{i}" for i in range(len(FEATURES)))]
+    for i, j in _pairs():
+        v = f"cast(q{i}{j} AS double) / n - m{i} * m{j}"
+        out.append(f"{f'greatest({v}, {(least[i] * UNIT) ** 2}D)' if i == j else v} AS __v{i}{j}")
+    out += _cholesky({(i, j): f"__v{i}{j}" for i, j in _pairs()})
+    return sums.selectExpr(*out).select(*keep, *_parameters())
 
 
 def _starts(rows: DataFrame, key: str) -> DataFrame:
     """Quartiles, all texts, and samples by the hash of the vector, of each group; a sample without texts is left out."""
-    first = _quartiles(rows, key)
-    sizes = first.select(key, "of")
     draw = F.pmod(F.xxhash64(*FEATURES), F.lit(SAMPLE))
     chosen = F.explode(F.array(F.lit("all"), *(F.when(draw == k, F.lit(f"sample {k}")) for k in range(SAMPLES))))
     sums = _sums(rows.withColumn("start", chosen).where("start is not null"), key, "start")
-    return first.unionByName(_estimate(sums, key, "start").join(sizes, key))
+    both = _quartiles(rows, key).unionByName(_estimate(sums, key, "start"), allowMissingColumns=True)
+    return both.withColumn("of", F.max("of").over(Window.partitionBy(key)))
 
 
 def _with_distance(rows: DataFrame) -> DataFrame:
@@ -216,58 +217,65 @@ def _with_distance(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("*", *ys, " + ".join(f"{y} * {y}" for y in names) + " AS d2").drop(*names)
 
 
-def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: int, prior: DataFrame | None) -> DataFrame:
+def _binned(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: int) -> DataFrame:
+    """rows with bin, that of their distance in their group, once for each start."""
+    near = _with_distance(_joined(rows, groups, key, n_groups, total))
+    return near.withColumn("bin", F.expr(f"cast(least(floor({BINS_PER_LOG} * log1p(d2)), {BINS}) AS int)"))
+
+
+def _ranked(bins: DataFrame, *keys: str) -> DataFrame:
+    """bins with of, the rows of all bins of the keys, and before, those of lower ones."""
+    w = Window.partitionBy(*keys)
+    lower = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    return bins.withColumn("of", F.sum("n").over(w)).withColumn("before", F.coalesce(F.sum("n").over(lower), F.lit(0)))
+
+
+def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: int) -> DataFrame:
     """One concentration step: mean and covariance of the CORE of each group with the smallest distances.
 
     Rows are summed per group and distance bin before the shuffle; the core is as many whole bins as hold it.
     """
-    near = _with_distance(_joined(rows, groups, key, n_groups, total)).withColumn(
-        "bin", F.expr(f"cast(least(floor({BINS_PER_LOG} * log1p(d2)), {BINS}) AS int)")
-    )
-    bins = _sums(near, key, "start", "bin")
-    w = Window.partitionBy(key, "start")
-    before = F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = bins.withColumn("of", F.sum("n").over(w)).withColumn("before", before)
-    middle = F.min(F.when(F.col("before") + F.col("n") >= 0.5 * F.col("of"), F.col("bin")))
+    bins = _ranked(_sums(_binned(rows, groups, key, n_groups, total), key, "start", "bin"), key, "start")
     added = ["n", *(f"s{i}" for i in range(len(FEATURES))), *(f"q{i}{j}" for i, j in _pairs())]
-    sums = marked.groupBy(key, "start").agg(
-        F.first("of").alias("of"), middle.alias("middle"), *(F.expr(f"sum(CASE WHEN before < {CORE} * of THEN {c} END) AS {c}") for c in added)
+    sums = bins.groupBy(key, "start").agg(
+        F.first("of").alias("of"), *(F.expr(f"sum(CASE WHEN before < {CORE} * of THEN {c} END) AS {c}") for c in added)
     )
-    sums = sums.join(groups.select(key, "start", F.col("volume").alias("was"), *([] if prior is None else ["lang"])), [key, "start"])
-    if prior is not None:
-        sums = sums.join(F.broadcast(prior) if n_groups <= BROADCAST_GROUPS else prior, "lang")
-    return _estimate(sums, key, "start", "of", "middle", "was", *([] if prior is None else ["lang"]))
+    return _estimate(sums, key, "start", "of")
 
 
-def _least_determinants(rows: DataFrame, key: str, prior: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """For each group its size of, middle bin of distances, m, l and volume; and the number of groups.
+def _least_determinants(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """For each group its size of, m, l and volume; and the number of groups.
 
     After FEW steps from every start, the one with the least determinant (of equal ones the first by name) goes on until
-    no group's determinant falls any more. prior has the estimates of the languages.
+    the logarithms of the determinants fall by no more than FALLS a group.
     """
-    groups = _starts(rows, key)
-    if prior is not None:
-        groups = groups.join(rows.groupBy(key).agg(F.first("lang").alias("lang")), key)
-    groups = cut(groups)
-    total, n_groups = rows.count(), groups.where("start = 'quartiles'").count()
+    groups, total = cut(_starts(rows, key)), rows.count()
+    n_groups = groups.where("start = 'quartiles'").count()
     for _ in range(FEW):
-        groups = cut(_step(rows, groups, key, n_groups, total, prior))
+        groups = cut(_step(rows, groups, key, n_groups, total))
     best = groups.groupBy(key).agg(F.min_by(F.struct("*"), F.struct("volume", "start")).alias("best"))
-    groups = best.select("best.*")
+    groups, was = best.select("best.*"), math.inf
     for _ in range(MOST_STEPS):
-        groups = cut(_step(rows, groups, key, n_groups, total, prior))
-        if groups.where(F.col("volume") < F.col("was") - FALLS).isEmpty():
+        groups = cut(_step(rows, groups, key, n_groups, total))
+        volume = groups.agg(F.avg("volume")).first()[0]
+        if volume is None or volume >= was - FALLS:
             break
-    return groups.drop("was"), n_groups
+        was = volume
+    return groups, n_groups
 
 
-def _as_prior(languages: DataFrame) -> DataFrame:
-    """Centre p and covariance c of each language."""
+def _leaning(groups: DataFrame, languages: DataFrame, n_groups: int) -> DataFrame:
+    """The estimates of groups (with lang), in which the language's counts as LEAN texts."""
     size = len(FEATURES)
-    covariance = {(i, j): sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(1, j + 1)), F.col(f"l{i}0") * F.col(f"l{j}0")) for i, j in _pairs()}
-    return languages.select(
-        "lang", *(F.col(f"m{i}").alias(f"p{i}") for i in range(size)), *(v.alias(f"c{i}{j}") for (i, j), v in covariance.items())
-    )
+    prior = languages.selectExpr("lang", *(f"m{i} AS p{i}" for i in range(size)), *(f"l{i}{j} AS k{i}{j}" for i, j in _pairs()))
+    joined = groups.join(F.broadcast(prior) if n_groups <= BROADCAST_GROUPS else prior, "lang")
+    out = ["gid", "of", f"of / cast(of + {LEAN} AS double) AS __w", *(f"m{i} AS __o{i}" for i in range(size))]
+    for i, j in _pairs():
+        own, its = (" + ".join(f"{f}{i}{k} * {f}{j}{k}" for k in range(j + 1)) for f in "lk")
+        apart = f"__w * (1 - __w) * (__o{i} - p{i}) * (__o{j} - p{j})"
+        out.append(f"__w * ({own}) + (1 - __w) * ({its}) + {apart} AS __v{i}{j}")
+    means = joined.selectExpr(*out, *(f"__w * __o{i} + (1 - __w) * p{i} AS m{i}" for i in range(size)))
+    return means.selectExpr("gid", "of", *(f"m{i}" for i in range(size)), *_cholesky({(i, j): f"__v{i}{j}" for i, j in _pairs()}))
 
 
 def quality_verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -282,7 +290,7 @@ def quality_verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
     picked = docs.select(F.col("doc_id"), F.col("lang"), F.col("source"), F.col(text).alias("text"))
     stats = text_statistics(picked).select("doc_id", "lang", "source", "__stats.*")
     none = F.lit("\x00")
-    language = F.coalesce("lang", none)
+    language = F.translate(F.coalesce("lang", none), "\x01", "\x02")  # the first of the two parts it from the source
     rows = cut(
         stats.withColumns(_vector())
         .withColumns({"base_failed": base_failed(), "gid": F.concat(language, F.lit("\x01"), F.coalesce("source", none)), "lang": language})
@@ -290,9 +298,15 @@ def quality_verdicts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     fit = rows.where(~F.col("base_failed")).select("gid", "lang", *FEATURES)
     languages, _ = _least_determinants(fit.drop("gid"), "lang")
-    groups, n_groups = _least_determinants(fit, "gid", cut(_as_prior(languages)))
+    own, n_groups = _least_determinants(fit, "gid")
+    named = own.withColumn("lang", F.substring_index("gid", "\x01", 1))
+    groups = cut(_leaning(named, languages, n_groups))
+    total = fit.count()
+    counted = _binned(fit.drop("lang"), groups, "gid", n_groups, total).groupBy("gid", "bin").agg(F.count("*").alias("n"))
+    middle = _ranked(counted, "gid").where(F.col("before") + F.col("n") >= 0.5 * F.col("of")).groupBy("gid").agg(F.min("bin").alias("middle"))
     usual = F.greatest(F.expm1(F.col("middle") / BINS_PER_LOG), F.lit(0.25 * CHI2_MEDIAN)) / CHI2_MEDIAN
-    judged = _with_distance(_joined(rows.where(~F.col("base_failed")), groups.withColumn("usual", usual).drop("lang"), "gid", n_groups, rows.count()))
+    known = cut(groups.join(middle.withColumn("usual", usual), "gid"))
+    judged = _with_distance(_joined(rows.where(~F.col("base_failed")), known, "gid", n_groups, total))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     distance = F.col("d2") / F.col("usual")
     passed = judged.select(*out, distance.alias("distance"), F.coalesce(distance <= CUTOFF, F.lit(True)).alias("kept"))
