@@ -7,6 +7,7 @@ weighs their states, and a document's score is that of its most toxic window.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -302,7 +303,7 @@ def _excess(docs: list[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarray:
 
 def _probabilities(net: Network, words: list[str], windows: list[np.ndarray]) -> np.ndarray:
     table = np.concatenate([net.projected(net.inputs(words)), np.zeros((1, 6 * STATE), np.float32)])
-    parts = [_pad(windows[k : k + SCORED], len(words)) for k in range(0, len(windows), SCORED)]
+    parts = (_pad(windows[k : k + SCORED], len(words)) for k in range(0, len(windows), SCORED))
     return np.concatenate([net.forward(table[at], mask)[0] for at, mask in parts])
 
 
@@ -377,23 +378,31 @@ class Scorer:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Network | None:
-    """Trained on a hash sample of at most TOXIC and CLEAN labelled documents of up to CHARS characters; None without both."""
+    """Trained on a hash sample of at most TOXIC and CLEAN labelled documents of up to CHARS characters, in one task of an
+    executor; None without both."""
     chosen = None
     for label, most in ((1, TOXIC), (0, CLEAN)):
         some = labels.where(F.col("toxic") == label).select("doc_id", F.col("toxic").alias("toxic"))
         some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = some if chosen is None else chosen.unionByName(some)
-    rows = (
+    place = F.xxhash64("doc_id")
+    sample = (
         docs.select("doc_id", "text")
         .where(F.length("text").between(1, CHARS))
         .join(F.broadcast(chosen), "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+        .select(place.alias("place"), "doc_id", "text", "toxic")
+        .orderBy("place", "doc_id", "text")
         .limit(TOXIC + CLEAN)
-        .collect()
     )
-    if len({r["toxic"] for r in rows}) < 2:
-        return None
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["place"], r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist())
+        if len({r[3] for r in rows}) == 2:
+            net = train([r[2] for r in rows], [r[3] for r in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net.weights)], pa.binary())], names=["weights"])
+
+    found = sample.mapInArrow(fit, "weights binary").collect()  # one task: the sample is bounded
+    return Network(pickle.loads(found[0]["weights"])) if found else None
 
 
 def toxicity_scores(docs: DataFrame, net: Network | None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
