@@ -70,6 +70,31 @@ def stage_overhead(stages: DataFrame) -> DataFrame:
     )
 
 
+def stage_coverage(timed: DataFrame, measured: DataFrame) -> DataFrame:
+    """Per video of either: timed stages without work, measured ones without a time, and whether both are one set and not empty."""
+    both = timed.select(KEY, F.col("stage").alias("t"), F.lit(None).cast("string").alias("m")).unionByName(
+        measured.select(KEY, F.lit(None).cast("string").alias("t"), F.col("stage").alias("m"))
+    )
+    s = both.groupBy(KEY).agg(F.collect_set("t").alias("t"), F.collect_set("m").alias("m"))
+    lack = lambda a, b: F.size(F.array_except(a, b)).cast("bigint")
+    s = s.select(KEY, "t", lack("t", "m").alias("unmeasured"), lack("m", "t").alias("unknown"))
+    return s.select(KEY, "unmeasured", "unknown", ((F.size("t") > 0) & (F.col("unmeasured") + F.col("unknown") == 0)).alias("complete"))
+
+
+def run_timing(stages: DataFrame, durations: DataFrame) -> DataFrame:
+    """Wall time of all stages, work (wall less every known overhead; null where none is known), whether all overheads are known,
+    duration, and both over the duration in thousandths; an unknown duration or one of zero leaves these null."""
+    over = F.col("wall_ms") - F.col("work_ms")
+    s = stages.groupBy(KEY).agg(
+        F.sum("wall_ms").alias("wall_ms"), F.sum(F.when(over >= 0, over)).alias("over"), F.bool_and(F.coalesce(over >= 0, F.lit(False))).alias("complete")
+    )
+    j = s.withColumn("work_ms", F.col("wall_ms") - F.col("over")).join(durations.select(KEY, "dur_ms"), KEY, "left")
+    return j.select(
+        KEY, "wall_ms", "work_ms", "complete", "dur_ms", F.expr("wall_ms * 1000 div nullif(dur_ms, 0)").alias("rtf_milli"),
+        F.expr("work_ms * 1000 div nullif(dur_ms, 0)").alias("rtf_work_milli"),
+    )
+
+
 def duration_ladder(stated: DataFrame, probed: DataFrame, sentences: DataFrame) -> DataFrame:
     """Duration stated, else probed, else the last sentence's end, with its source."""
     last = sentences.groupBy(KEY).agg(F.max("end_ms").alias("last"))
@@ -99,12 +124,15 @@ def triage(report: DataFrame) -> DataFrame:
     return r.select("*", (F.col("flags_total") - F.col("flags_actionable")).alias("flags_advisory"), (F.col("flags_actionable") > 0).alias("needs_triage"))
 
 
-def run_rollup(report: DataFrame) -> DataFrame:
-    """One row for each video: rows, units, speed, flags and triage."""
+def run_rollup(report: DataFrame, *more: DataFrame) -> DataFrame:
+    """One row for each video: rows, units, speed, flags and triage; with the columns of more, such as run_timing, source_rollup,
+    unit_counters or placement_stats, of one row per video and no names in common. A video only in more stands too."""
     size = report.groupBy(KEY).agg(F.count("*").alias("n_rows"), F.countDistinct(F.coalesce("group_id", "id")).alias("n_units"))
     out = size
     for part in (speed_stats(report), flag_histogram(report, "verify_flag", T.VERIFY_FLAGS), completeness_rollup(report), triage(report)):
         out = out.join(part, KEY, "left")
+    for part in more:
+        out = out.join(part, KEY, "full")
     return out
 
 

@@ -146,14 +146,15 @@ def diff_hunks(a: DataFrame, b: DataFrame, context: int = 6) -> DataFrame:
 def verify_units(units: DataFrame, hypotheses: DataFrame, threshold: float = 0.9, enabled: bool = True) -> DataFrame:
     """(video_id, id, flag, similarity, hypothesis) for each sentence of units (lead, ids, ref) against what was heard.
 
-    Flags: empty_ref, missing_wav, empty_hyp, low_similarity, null where all is well; members share their unit's, the heard text
+    Flags: empty_ref, missing_wav, unreadable_wav (a row with a null hyp), empty_hyp, low_similarity, null where all is well; members share their unit's, the heard text
     stands with the leader only. Not enabled: all null.
     """
     j = units.join(hypotheses.select(KEY, "lead", "hyp", F.lit(True).alias("heard")), [KEY, "lead"], "left")
     ref, hyp = (F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(c), F.lit(""))), r"[^\p{L}\p{N}_]+", " ")) for c in ("ref", "hyp"))
     j = j.withColumn("r", ref).withColumn("h", hyp).withColumn("similarity", seq_ratio("r", "h"))
     flag = (
-        F.when(F.col("r") == "", "empty_ref").when(F.col("heard").isNull(), "missing_wav").when(F.col("h") == "", "empty_hyp")
+        F.when(F.col("r") == "", "empty_ref").when(F.col("heard").isNull(), "missing_wav")
+        .when(F.col("hyp").isNull(), "unreadable_wav").when(F.col("h") == "", "empty_hyp")
         .when(F.col("similarity") < threshold, "low_similarity")
     )
     on = F.lit(enabled)

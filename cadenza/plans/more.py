@@ -12,7 +12,7 @@ from cadenza.operators import rollup as A
 from cadenza.operators import similarity as S
 from cadenza.operators import spoken as P
 from cadenza.operators import words as W
-from cadenza.plans.registry import clamped, query
+from cadenza.plans.registry import RUN_ROLLUP, clamped, query
 from cadenza.sources import sinks
 from cadenza.sources import views as V
 
@@ -116,18 +116,18 @@ NORM = r"regexp_replace(lower(%s), '[^\p{L}\p{N}\p{M}_]', '', 'g')"
 
 
 @query("sm4_readings_agree", f"""SELECT video_id, lo, coalesce(a = b AND a <> '', false) AS agree FROM (
-  SELECT video_id, lo, {NORM % "string_agg(word, '' ORDER BY seq)"} AS a, {NORM % "string_agg(CASE WHEN video_id % 3 = 0 AND seq % 40 = 7 THEN word || 'x' ELSE upper(word) END, '' ORDER BY seq)"} AS b
-  FROM (SELECT *, seq // 20 * 20 AS lo FROM f_words WHERE word SIMILAR TO '[A-Za-z.,]+') GROUP BY ALL)""")
+  SELECT video_id, lo, {NORM % "string_agg(word, '' ORDER BY seq)"} AS a, {NORM % "string_agg(CASE WHEN video_id % 3 = 0 AND seq % 40 = 7 THEN word || 'x' WHEN regexp_full_match(word, '[ -~]+') THEN upper(word) ELSE word || '.' END, '' ORDER BY seq)"} AS b
+  FROM (SELECT *, seq // 20 * 20 AS lo FROM f_words) GROUP BY ALL)""")
 def _(spark, d):
-    w = V.words(spark, d).where(F.col("word").rlike("^[A-Za-z.,]+$")).withColumn("lo", F.expr("seq div 20 * 20"))
-    b = w.withColumn("word", F.expr("case when video_id % 3 = 0 and seq % 40 = 7 then word || 'x' else upper(word) end"))
+    w = V.words(spark, d).withColumn("lo", F.expr("seq div 20 * 20"))
+    b = w.withColumn("word", F.expr("case when video_id % 3 = 0 and seq % 40 = 7 then word || 'x' when word rlike '^[ -~]+$' then upper(word) else word || '.' end"))
     return S.readings_agree(w, b)
 
 
 @query("sm6_repair_decisions", f"""SELECT video_id, id, CASE WHEN end_ms - start_ms <= 0 THEN 'empty_span' WHEN id % 11 = 0 THEN 'error' WHEN {NORM % "src"} <> {NORM % "tgt"} THEN 'readings_differ'
-  WHEN {NORM % "src"} = '' THEN 'empty_reading' ELSE 'accepted' END AS outcome FROM (SELECT *, text AS src, CASE WHEN id % 5 = 0 THEN text || ' more' ELSE lower(text) END AS tgt FROM f_sentences WHERE text SIMILAR TO '[A-Za-z ., ]+')""")
+  WHEN {NORM % "src"} = '' THEN 'empty_reading' ELSE 'accepted' END AS outcome FROM (SELECT *, text AS src, CASE WHEN id % 5 = 0 THEN text || ' more' ELSE lower(text) END AS tgt FROM f_sentences)""")
 def _(spark, d):
-    s = V.sentences(spark, d).where(F.col("text").rlike("^[A-Za-z ., ]+$"))
+    s = V.sentences(spark, d)
     w = s.select("video_id", "id", (F.col("end_ms") - F.col("start_ms")).alias("span_ms"), F.expr("case when id % 11 = 0 then 'x' end").alias("error"),
                  F.col("text").alias("reading_a"), F.expr("case when id % 5 = 0 then text || ' more' else lower(text) end").alias("reading_b"), F.col("text").alias("old"))
     return S.repair_decisions(w).select("video_id", "id", "outcome")
@@ -136,7 +136,7 @@ def _(spark, d):
 @query("sm9_verify_units")
 def _(spark, d):
     u = G.build_units(V.sentences(spark, d)).select("video_id", "lead", "ids", F.col("text").alias("ref"))
-    hyp = u.where("lead % 7 <> 0").select("video_id", "lead", F.when(F.col("lead") % 5 == 0, F.substring("ref", 1, 20)).otherwise(F.upper("ref")).alias("hyp"))
+    hyp = u.where("lead % 7 <> 0").select("video_id", "lead", F.when(F.col("lead") % 5 == 0, F.substring("ref", 1, 20)).when(F.col("lead") % 11 != 0, F.upper("ref")).alias("hyp"))
     return S.verify_units(u, hyp).select("video_id", "id", "flag")
 
 
@@ -176,16 +176,15 @@ def _(spark, d):
 
 @query("jn1_build_translation", """SELECT s.video_id, s.id, CASE WHEN d.id IS NULL THEN 'pending' ELSE 'failed' END AS status,
   CASE WHEN d.id IS NOT NULL THEN CASE WHEN trim(d.text) = '' THEN 'empty' ELSE 'no_cyrillic' END END AS flag
-FROM f_sentences s LEFT JOIN f_draft d USING (video_id, id) WHERE s.video_id IN (SELECT doc_id FROM labels)""")
+FROM f_sentences s LEFT JOIN f_draft d USING (video_id, id)""")
 def _(spark, d):
-    s = V.sentences(spark, d).join(V.table(spark, d, "labels").select(F.col("doc_id").alias("video_id")).distinct(), "video_id", "left_semi")
-    return J.build_translation(s, V.draft(spark, d).withColumnRenamed("text", "text_ru")).select("video_id", "id", "status", "flag")
+    return J.build_translation(V.sentences(spark, d), V.draft(spark, d).withColumnRenamed("text", "text_ru")).select("video_id", "id", "status", "flag")
 
 
 @query("fn8_dual_form", r"""SELECT video_id, id, md5(regexp_replace(t, '\[\[([^\[\]|]*)\|([^\[\]|]*)\]\]', '\1', 'g')) AS written, md5(regexp_replace(t, '\[\[([^\[\]|]*)\|([^\[\]|]*)\]\]', '\2', 'g')) AS spoken,
-  len(regexp_extract_all(t, '\[\[[^\[\]|]*\|[^\[\]|]*\]\]')) AS n FROM (SELECT video_id, id, '[[' || id || '|' || text || ']] and ' || text AS t FROM f_sentences WHERE NOT regexp_matches(text, '[\[\]|]'))""")
+  len(regexp_extract_all(t, '\[\[[^\[\]|]*\|[^\[\]|]*\]\]')) AS n FROM (SELECT video_id, id, '[[' || id || '|' || text || ']] and ' || text AS t FROM f_sentences)""")
 def _(spark, d):
-    s = V.sentences(spark, d).where(~F.col("text").rlike(r"[\[\]|]"))
+    s = V.sentences(spark, d)
     t = F.concat(F.lit("[["), F.col("id").cast("string"), F.lit("|"), "text", F.lit("]] and "), "text")
     return s.withColumn("t", t).select("video_id", "id", F.md5(T.written_form(F.col("t"))).alias("written"), F.md5(T.spoken_form(F.col("t"))).alias("spoken"), T.dual_count(F.col("t")).cast("bigint").alias("n"))
 
@@ -265,7 +264,8 @@ def _(spark, d):
     return sinks.transcript_lines(V.sentences(spark, d), info.withColumn("title", F.col("title").cast("string")))
 
 
-@query("snk8_batch_table")
+@query("snk8_batch_table", f"""SELECT video_id, n_rows::VARCHAR AS "rows", n_units::VARCHAR AS units, coalesce(median::VARCHAR, '—') || '/' || coalesce(p95::VARCHAR, '—') AS speed,
+  CASE WHEN needs_triage THEN 'listen' ELSE 'ok' END AS triage, flags_actionable || ' of ' || flags_total AS flags FROM ({RUN_ROLLUP})""")
 def _(spark, d):
     return sinks.batch_table(A.run_rollup(V.report(spark, d)))
 

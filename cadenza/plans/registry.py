@@ -433,10 +433,9 @@ def _(spark, d):
 # Joins and integrity
 
 
-@query("jn2_missing_ids", "SELECT video_id, id FROM f_sentences WHERE video_id IN (SELECT doc_id FROM labels) AND (video_id, id) NOT IN (SELECT video_id, id FROM f_draft)")
+@query("jn2_missing_ids", "SELECT video_id, id FROM f_sentences WHERE (video_id, id) NOT IN (SELECT video_id, id FROM f_draft)")
 def _(spark, d):
-    dr = V.draft(spark, d)
-    return J.missing_ids(V.sentences(spark, d).join(V.table(spark, d, "labels").select(F.col("doc_id").alias("video_id")), "video_id", "left_semi"), dr)
+    return J.missing_ids(V.sentences(spark, d), V.draft(spark, d))
 
 
 @query("jn3_extra_ids", "SELECT video_id, id FROM f_draft WHERE (video_id, id) NOT IN (SELECT video_id, id FROM f_sentences)")
@@ -610,16 +609,34 @@ def _(spark, d):
     return A.triage(V.report(spark, d))
 
 
-@query("ag11_run_rollup", f"""SELECT video_id, n_rows, n_units, median, p95, most, n_broken, low_similarity, flags_total, flags_actionable, needs_triage FROM
+RUN_ROLLUP = f"""SELECT video_id, n_rows, n_units, median, p95, most, n_broken, low_similarity, flags_total, flags_actionable, needs_triage FROM
   (SELECT video_id, count(*) AS n_rows, count(DISTINCT group_id) AS n_units, count(verify_flag) AS low_similarity FROM f_report GROUP BY 1) JOIN
   (SELECT video_id, floor(quantile_cont(combined_milli, 0.5) + 0.01)::BIGINT AS median, floor(quantile_cont(combined_milli, 0.95) + 0.01)::BIGINT AS p95, max(combined_milli) AS most,
-   count(*) FILTER (combined_milli >= 1800) AS n_broken FROM f_leaders GROUP BY 1) USING (video_id) JOIN ({TRIAGE}) USING (video_id)""")
+   count(*) FILTER (combined_milli >= 1800) AS n_broken FROM f_leaders GROUP BY 1) USING (video_id) JOIN ({TRIAGE}) USING (video_id)"""
+
+
+@query("ag11_run_rollup", RUN_ROLLUP)
 def _(spark, d):
     return A.run_rollup(V.report(spark, d)).select(
         "video_id", "n_rows", "n_units", "median", "p95", "most", "n_broken", "low_similarity", "flags_total", "flags_actionable", "needs_triage"
     )
 
 
+@query("ag11_run_timing", """SELECT video_id, w AS wall_ms, CASE WHEN k > 0 THEN w - coalesce(o, 0) END AS work_ms, k = n AS complete, d AS dur_ms,
+  w * 1000 // nullif(d, 0) AS rtf_milli, CASE WHEN k > 0 THEN (w - coalesce(o, 0)) * 1000 // nullif(d, 0) END AS rtf_work_milli FROM (
+  SELECT video_id, sum(wall_ms)::BIGINT AS w, (sum(wall_ms - work_ms) FILTER (wall_ms >= work_ms))::BIGINT AS o, count(*) FILTER (wall_ms >= work_ms) AS k, count(*) AS n FROM f_stage_wall GROUP BY 1)
+  LEFT JOIN (SELECT video_id, max(end_ms) AS d FROM f_sentences GROUP BY 1) USING (video_id)""")
+def _(spark, d):
+    last = V.sentences(spark, d).groupBy("video_id").agg(F.max("end_ms").alias("dur_ms"))
+    return A.run_timing(V.stage_wall(spark, d), last)
+
+
+@query("st4_stage_coverage", """SELECT video_id, count(*) FILTER (work_ms IS NULL) AS unmeasured, 0::BIGINT AS unknown, bool_and(work_ms IS NOT NULL) AS complete FROM f_stage_wall GROUP BY 1""")
+def _(spark, d):
+    s = V.stage_wall(spark, d)
+    return A.stage_coverage(s, s.where("work_ms is not null"))
+
+
 @query("ag12_batch_totals", """SELECT stage, sum(wall_ms)::BIGINT AS wall_ms, count(DISTINCT video_id) AS n_videos, sum(wall_ms)::BIGINT * 1000 // (SELECT sum(wall_ms)::BIGINT FROM f_stage_wall) AS permille FROM f_stage_wall GROUP BY ROLLUP (stage)""")
 def _(spark, d):
     return A.batch_totals(V.stage_wall(spark, d))

@@ -7,6 +7,7 @@ from cadenza.functions import text as T
 from cadenza.operators import grouping as G
 from cadenza.operators import integrity as J
 from cadenza.operators import intervals as I
+from cadenza.operators import rollup as A
 from cadenza.operators import similarity as S
 from cadenza.operators import spoken as P
 from cadenza.operators import words as W
@@ -325,3 +326,50 @@ def test_spell_numbers_takes_long_ones_and_decimals(spark, tmp_path):
     digits = "ноль один два три четыре пять шесть семь восемь девять".split()
     spelled = {n: " ".join(digits[int(c)] for c in n) for n in ("123456789012", "1000000000", "9" * 5000)}
     assert got == spelled | {"3.5": "три целых пять", "2,25": "два целых двадцать пять", "7": "семь"}
+
+
+def test_verify_units(spark):
+    units = spark.createDataFrame(
+        [(1, i, [i, i + 1], r) for i, r in ((0, "one two"), (2, "one two"), (4, "one two"), (6, "one two"), (8, "?!"), (10, "one two"))],
+        "video_id long, lead long, ids array<long>, ref string",
+    )
+    heard = spark.createDataFrame([(1, 0, "One, two!"), (1, 4, None), (1, 6, " "), (1, 8, "x"), (1, 10, "nothing alike")], "video_id long, lead long, hyp string")
+    flags = {r["id"]: (r["flag"], r["hypothesis"]) for r in S.verify_units(units, heard).collect()}
+    assert [flags[i][0] for i in range(0, 12, 2)] == [None, "missing_wav", "unreadable_wav", "empty_hyp", "empty_ref", "low_similarity"]
+    assert all(flags[i + 1] == (flags[i][0], None) for i in range(0, 12, 2)) and flags[0][1] == "One, two!"
+    assert {r["flag"] for r in S.verify_units(units, heard, enabled=False).collect()} == {None}
+
+
+def test_stage_coverage(spark):
+    timed = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "a")], "video_id long, stage string")
+    measured = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c"), (4, "a")], "video_id long, stage string")
+    got = {tuple(r) for r in A.stage_coverage(timed, measured).collect()}
+    assert got == {(1, 0, 0, True), (2, 1, 1, False), (3, 1, 0, False), (4, 0, 1, False)}
+    assert A.stage_coverage(timed.limit(0), measured.limit(0)).count() == 0
+
+
+def test_run_timing(spark):
+    stages = spark.createDataFrame(
+        [(1, "a", 100, 90), (1, "b", 50, 50), (2, "a", 100, 120), (2, "b", 40, 30), (3, "a", 10, None)],
+        "video_id long, stage string, wall_ms long, work_ms long",
+    )
+    lasts = spark.createDataFrame([(1, 300), (2, 0), (4, 5)], "video_id long, dur_ms long")
+    got = sorted(map(tuple, A.run_timing(stages, lasts).collect()))
+    assert got == [(1, 150, 140, True, 300, 500, 466), (2, 140, 130, False, 0, None, None), (3, 10, None, False, None, None, None)]
+
+
+def test_rollup_takes_more_parts(spark):
+    report = spark.createDataFrame(
+        [(1, 0, 0, 1900, None, None, ["number_loss"])],
+        "video_id long, id long, group_id long, combined_milli long, verify_flag string, translate_flag string, completeness_flags array<string>",
+    )
+    extra = spark.createDataFrame([(1, 7), (2, 8)], "video_id long, wall_ms long")
+    rows = {r["video_id"]: r for r in A.run_rollup(report, extra).collect()}
+    assert (rows[1]["n_rows"], rows[1]["wall_ms"], rows[2]["n_rows"], rows[2]["wall_ms"]) == (1, 7, None, 8)
+
+
+def test_readings_agree_on_all_letters(spark):
+    rows = [(1, 0, 1, "Straße"), (1, 0, 0, "Кот,"), (1, 20, 20, "日本"), (1, 40, 40, "--")]
+    a = spark.createDataFrame(rows, "video_id long, lo long, seq long, word string")
+    b = spark.createDataFrame([(1, 0, 0, "кот"), (1, 0, 1, "straße!"), (1, 20, 20, "日木"), (1, 40, 40, "--")], a.schema)
+    assert sorted(map(tuple, S.readings_agree(a, b).collect())) == [(1, 0, True), (1, 20, False), (1, 40, False)]
