@@ -38,10 +38,14 @@ def flag_histogram(df: DataFrame, flag: str, vocabulary: list[str]) -> DataFrame
     return df.withColumn("__flag", known).groupBy(KEY).agg(*(F.count_if(F.col("__flag") == v).alias(v) for v in vocabulary))
 
 
+def actionable(flags: Column) -> Column:
+    """Flags that are not advisory ones, each once."""
+    return F.array_except(flags, F.array(*map(F.lit, T.ADVISORY_COMPLETENESS)))
+
+
 def completeness_rollup(report: DataFrame) -> DataFrame:
     """Rows with any flag, with one to act on, and with advisory ones only."""
-    advisory = F.array(*map(F.lit, T.ADVISORY_COMPLETENESS))
-    act = F.size(F.array_except("completeness_flags", advisory)) > 0
+    act = F.size(actionable(F.col("completeness_flags"))) > 0
     any_ = F.size("completeness_flags") > 0
     return report.groupBy(KEY).agg(
         F.count_if(any_).alias("n_flagged"), F.count_if(act).alias("n_actionable"), F.count_if(any_ & ~act).alias("n_advisory")
