@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from cadenza.functions import text as T
 from cadenza.operators.intervals import KEY
 
+#: Letters that letter_counts counts one by one.
+FREQUENT = "etaoinsrhldcu"
+
 
 def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
@@ -37,29 +40,53 @@ def containment(a: Column | str, b: Column | str) -> Column:
     return F.pandas_udf(_shares, "double")(a, b)
 
 
+def letter_counts(c: Column) -> Column:
+    """A struct of counts: frequent letters, the other ones of a-z, and all other characters."""
+    count = lambda x: F.char_length(c) - F.char_length(F.replace(c, F.lit(x), F.lit("")))
+    rest = {"rare": F.regexp_count(c, F.lit(r"[bfgjkmpqvwxyz]")), "other": F.regexp_count(c, F.lit(r"[^a-z]"))}
+    return F.struct(*(count(x).alias(x) for x in FREQUENT), *(v.alias(k) for k, v in rest.items()))
+
+
 def letter_overlap(a: Column, b: Column) -> Column:
-    """Letters that two texts can share at most, by an upper bound on lower-case a-z counts and all other characters."""
-    other = r"[^a-z]"
-    count = lambda c, x: F.char_length(c) - F.char_length(F.replace(c, F.lit(x), F.lit("")))
-    total = F.least(F.regexp_count(a, F.lit(other)), F.regexp_count(b, F.lit(other)))
-    for x in "etaoinsrhldcu":
-        total = total + F.least(count(a, x), count(b, x))
-    rest = r"[bfgjkmpqvwxyz]"
-    return total + F.least(F.regexp_count(a, F.lit(rest)), F.regexp_count(b, F.lit(rest)))
+    """Characters that two texts can share at most, from their letter_counts."""
+    total = F.least(a["rare"], b["rare"]) + F.least(a["other"], b["other"])
+    for x in FREQUENT:
+        total = total + F.least(a[x], b[x])
+    return total
+
+
+def _alike(ratio: float, inside: float):
+    def run(pairs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b, middle in pairs:
+            out = []
+            for x, y, held in zip(a, b, middle, strict=True):
+                m = SequenceMatcher(None, x, y, False)
+                near = x == y or m.quick_ratio() > ratio and m.ratio() > ratio
+                out.append(near or held and m.find_longest_match(0, len(x), 0, len(y)).size / min(len(x), len(y)) > inside)
+            yield pd.Series(out, dtype=bool)
+
+    return F.pandas_udf(run, "boolean")
 
 
 def duplicate_adjacent(sentences: DataFrame, least: int = 25, ratio: float = 0.80, inside: float = 0.85) -> DataFrame:
     """(video_id, id, twin): neighbours that are nearly equal or of which one holds the other; both are listed.
 
-    Pairs that cannot reach either threshold by their letters never reach Python. In a run, inner members keep the later twin.
+    Pairs reach Python only if their letters allow the ratio, or if the longer one holds the middle of the shorter one: any
+    common part over the share inside, which is above a half, covers it. In a run, inner members keep the later twin.
     """
     w = Window.partitionBy(KEY).orderBy("id")
-    p = sentences.select(KEY, "id", F.col("text").alias("a"), F.lead("text").over(w).alias("b"), F.lead("id").over(w).alias("next"))
+    s = sentences.select(KEY, "id", F.col("text").alias("a"), letter_counts(F.col("text")).alias("ca"))
+    p = s.select(KEY, "id", "a", "ca", *(F.lead(c).over(w).alias(n) for c, n in (("a", "b"), ("ca", "cb"), ("id", "next"))))
     la, lb = F.char_length("a"), F.char_length("b")
-    shared = letter_overlap(F.col("a"), F.col("b"))
-    may = (2 * shared > ratio * (la + lb)) | (shared > inside * F.least(la, lb))
-    p = p.where((la > least) & (lb > 0) & may)
-    hit = p.where((F.col("a") == F.col("b")) | (seq_ratio("a", "b") > ratio) | (containment("a", "b") > inside))
+    n = F.least(la, lb)
+    start, stop = F.floor(n * (1 - inside)).cast("int") + 1, F.ceil(n * inside).cast("int") - 1  # a character less on each side
+    first = la <= lb
+    middle = F.substring(F.when(first, F.col("a")).otherwise(F.col("b")), start + 1, stop - start)
+    p = p.where((la > least) & (lb > 0)).select(
+        KEY, "id", "next", "a", "b", (2 * letter_overlap(F.col("ca"), F.col("cb")) > ratio * (la + lb)).alias("close"),
+        F.contains(F.when(first, F.col("b")).otherwise(F.col("a")), middle).alias("held"),
+    )
+    hit = p.where("close or held").where(_alike(ratio, inside)("a", "b", "held"))
     both = hit.select(KEY, F.explode(F.array(F.struct(F.col("id").alias("id"), F.col("next").alias("twin")), F.struct(F.col("next").alias("id"), F.col("id").alias("twin")))).alias("x"))
     return both.groupBy(KEY, "x.id").agg(F.max("x.twin").alias("twin"))
 
