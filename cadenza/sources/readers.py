@@ -1,6 +1,6 @@
 """Readers of per-video JSON artifacts, queues, run logs and dictionaries.
 
-root holds one folder for each video; its name is the video_id. A missing or torn file gives no rows or null, never an error;
+root holds one folder for each video; its name, or what follows video_id= as partitioned writers call it, is the video_id. A missing or torn file gives no rows or null, never an error;
 inconsistent content is refused or listed.
 """
 
@@ -18,7 +18,7 @@ RUNS = "run_id string, started timestamp, finished timestamp, elapsed_s double,
 
 
 def folder() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    return F.regexp_extract(F.col("_metadata.file_path"), r"(?:video_id=)?([^/]+)/[^/]+$", 1)
 
 
 def ms(c: str) -> Column:
@@ -32,10 +32,10 @@ def read_artifact(spark: SparkSession, root: str, name: str, schema: str) -> Dat
     return reader.schema(f"{schema}, _corrupt string").json(root).withColumn(KEY, folder())
 
 
-def read_words(spark: SparkSession, root: str) -> DataFrame:
+def read_words(spark: SparkSession, root: str, name: str = "words.json") -> DataFrame:
     """video_id, seq, word, start_ms, end_ms, seg_end (false where absent), in the file's order."""
     whole = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "words.json").text(root, wholetext=True)
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
         .select(folder().alias(KEY), F.from_json("value", f"array<struct<{_struct(WORDS)}>>").alias("w"))
     )
     each = whole.select(KEY, F.posexplode("w").alias("seq", "x"))
@@ -49,9 +49,9 @@ def _struct(ddl: str) -> str:
     return ", ".join(f"{c.split()[0]}: {c.split()[1]}" for c in ddl.split(", "))
 
 
-def read_sentences(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
+def read_sentences(spark: SparkSession, root: str, strict: bool = True, name: str = "sentences.json") -> DataFrame:
     """video_id, id, text, start_ms, end_ms; strict: reading fails unless ids are 0 to n - 1."""
-    s = read_artifact(spark, root, "sentences.json", SENTENCES).where("_corrupt is null and id is not null")
+    s = read_artifact(spark, root, name, SENTENCES).where("_corrupt is null and id is not null")
     s = s.select(KEY, "id", "text", ms("start").alias("start_ms"), ms("end").alias("end_ms"))
     return require_contiguous(s) if strict else s
 
@@ -130,14 +130,14 @@ def read_inventory(spark: SparkSession, root: str) -> DataFrame:
     """video_id, artifact, modified, bytes of every file; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).drop("content")
     return files.select(
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias(KEY), F.regexp_extract("path", r"([^/]+)$", 1).alias("artifact"),
+        F.regexp_extract("path", r"(?:video_id=)?([^/]+)/[^/]+$", 1).alias(KEY), F.regexp_extract("path", r"([^/]+)$", 1).alias("artifact"),
         F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"),
     )
 
 
-def read_video_info(spark: SparkSession, root: str) -> DataFrame:
+def read_video_info(spark: SparkSession, root: str, name: str = "source.info.json") -> DataFrame:
     """Title, duration (null unless a positive number) and channel; the date as year-month-day."""
-    raw = read_artifact(spark, root, "source.info.json", "title string, duration variant, channel string, uploader string, upload_date string")
+    raw = read_artifact(spark, root, name, "title string, duration variant, channel string, uploader string, upload_date string")
     number = F.when(F.schema_of_variant("duration") != "BOOLEAN", F.try_variant_get("duration", "$", "double"))
     date = F.regexp_replace("upload_date", r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
     return raw.where("_corrupt is null").select(

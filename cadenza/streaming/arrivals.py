@@ -50,15 +50,19 @@ def completeness_gate(arrivals: DataFrame, deadline_ms: int = 600_000) -> DataFr
     )
 
 
-def upsert_into(path: str) -> Callable[[DataFrame, int], None]:
+def upsert_into(path: str, stamp: str = "at") -> Callable[[DataFrame, int], None]:
     """For foreachBatch: each micro-batch's fields over the table at path, in a new version folder, so that a reader or a failure
-    between two batches finds a whole table; a batch that is run again writes the same folder again.
+    between two batches finds a whole table; a batch that is run again writes the same folder again. Of several values of a field
+    in one batch the one with the greatest stamp stays, the greatest one among equals or where the batch has no stamp column.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         last = f"{path}/v{epoch - 1}"
-        patch = batch.groupBy(KEY, "id").agg(*(F.last(c, ignorenulls=True).alias(c) for c in batch.columns if c not in (KEY, "id")))
+        fields = [c for c in batch.columns if c not in (KEY, "id", stamp)]
+        age = F.col(stamp) if stamp in batch.columns else F.lit(0)
+        newest = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct(age.alias("age"), F.col(c).alias("value"))))["value"]
+        patch = batch.groupBy(KEY, "id").agg(*(newest(c).alias(c) for c in fields))
         if epoch:
             base = spark.read.parquet(last)
             live = base.select(KEY, "id").union(patch.select(KEY, "id"))
@@ -69,9 +73,14 @@ def upsert_into(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def run_ingest(runs: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Runs once each, with elapsed seconds and the ratio to their audio; repeated ids within the watermark are dropped."""
-    once = runs.where("run_id is not null and started is not null").withWatermark("started", late)
-    once = once.dropDuplicatesWithinWatermark(["run_id"])
+    """Runs once each, with elapsed seconds: of a stream, repeated ids within the watermark are dropped; of a table, all but the
+    row that started first, the least one among equals."""
+    once = runs.where("run_id is not null and started is not null")
+    if runs.isStreaming:
+        once = once.withWatermark("started", late).dropDuplicatesWithinWatermark(["run_id"])
+    else:
+        rest = [c for c in runs.columns if c != "started"]
+        once = once.groupBy("run_id").agg(F.min(F.struct("started", *rest)).alias("first")).select("first.*").select(*runs.columns)
     seconds = F.unix_timestamp("finished") - F.unix_timestamp("started")
     return once.withColumn("seconds", F.when(seconds >= 0, seconds))
 
