@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadenza.llm import bpe, embeddings, language, licenses, packing, passages, quality, simhash, toxicity, urls
+from cadenza.llm import bpe, embeddings, language, licenses, mixing, packing, passages, quality, repair, simhash, toxicity, trie, urls
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_passages": passages.op9_passages,
     "op10_language": language.op10_language,
+    "op11_mixing": mixing.op11_mixing,
+    "op12_trie": trie.op12_trie,
+    "op13_repair": repair.op13_repair,
 }
 
 SQL: dict[str, str] = {
     "op5_embeddings": embeddings.OP5_SQL,
     "op6_urls": urls.OP6_SQL,
+    "op12_trie": trie.OP12_SQL,
+    "op13_repair": repair.OP13_SQL,
 }
