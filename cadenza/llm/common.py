@@ -82,6 +82,20 @@ def row_key(*columns: str, text: str = "text") -> Column:
     return F.struct(*columns, F.md5(F.col(text).cast("binary")).alias("digest"))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of docs as one struct, so that no name of theirs can clash with a new one; select("row.*") gives them back."""
+    return F.struct(*(docs["`" + c.replace("`", "``") + "`"] for c in docs.columns)).alias("row")
+
+
+def row_digest(docs: DataFrame) -> Column:
+    """64 bits of all columns, of which maps count as they are written."""
+    parts = []
+    for field in docs.schema.fields:
+        c = docs["`" + field.name.replace("`", "``") + "`"]
+        parts.append(F.to_json(F.struct(c.alias("m"))) if "map<" in field.dataType.simpleString() else c)
+    return F.xxhash64(*parts)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

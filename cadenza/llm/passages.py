@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import arrow_schema, heavy_join, in_batches, kept, read
+from cadenza.llm.common import arrow_schema, heavy_join, in_batches, kept, read, whole_row
 from cadenza.llm.suffix import repeated_starts
 
 #: Bytes of a repeated string of op 9, and of one of the pipeline's stage: passages of over 50 words have 200 bytes or more
@@ -249,9 +249,14 @@ def remove_repeated(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     Null text is empty. Rows that repeat a text are found twice, so both lose it. Texts under length bytes stay whole.
     An empty table gives none. Other columns are passed on, whatever their names; one called __clear is replaced.
     """
+    return _with_clear(docs.drop("__clear"), text, length).select("row.*", F.col("clear").alias("__clear"))
+
+
+def _with_clear(docs: DataFrame, text: str, length: int) -> DataFrame:
+    """(row, clear): all columns of docs in one struct, and what remove_repeated finds."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.drop("__clear").select(
-        F.struct("*").alias("row"),
+    keyed = docs.select(
+        whole_row(docs),
         whole.alias("text"),
         F.xxhash64(whole).alias("k1"),
         F.xxhash64(F.lit(length), whole, F.lit(1)).alias("k2"),
@@ -279,7 +284,7 @@ def remove_repeated(docs: DataFrame, text: str = "text", length: int = LENGTH) -
                 )
             yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    return joined.withColumn("__clear", clear("text", "places")).select("row.*", "__clear")
+    return joined.select("row", clear("text", "places").alias("clear"))
 
 
 def op9_passages(spark, sf_dir: str) -> DataFrame:
@@ -296,9 +301,9 @@ def passages_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null text stays null, and so does a null n_chars. Rows that repeat a text lose it, all of them.
     """
-    cleared = remove_repeated(docs, length=STAGE_LENGTH)
-    new = {"text": F.when(F.col("text").isNotNull(), F.col("__clear.kept_text"))}
+    cleared = _with_clear(docs, "text", STAGE_LENGTH)
+    kept_text, row = F.col("clear.kept_text"), F.col("row")
+    new = {"text": F.when(row["text"].isNotNull(), kept_text)}
     if "n_chars" in docs.columns:
-        size = F.char_length("__clear.kept_text").cast(docs.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(F.col("n_chars").isNotNull(), size)
-    return cleared.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.when(row["n_chars"].isNotNull(), F.char_length(kept_text).cast(docs.schema["n_chars"].dataType))
+    return cleared.select(*(new.get(c, row.getField(c)).alias(c) for c in docs.columns))

@@ -8,11 +8,12 @@ more the fewer texts a group has. A text whose Mahalanobis distance from its gro
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import SPACE, WORD, cut, heavy_join, read, row_key
+from cadenza.llm.common import SPACE, WORD, cut, heavy_join, read, row_key, whole_row
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -26,7 +27,7 @@ CORE = 0.75
 #: Starts of the concentration steps besides quartiles and all texts: so many samples by hash, one text in SAMPLE each.
 SAMPLES, SAMPLE = 2, 8
 #: Steps from every start; steps from the best one, which end when logarithms of determinants fall by no more than FALLS.
-FEW, MOST_STEPS, FALLS = 2, 10, 0.01
+FEW, FALLS = 2, 0.01
 #: The language's estimate counts as so many texts beside a group's own.
 LEAN = 60
 #: Rejected are texts whose distance a normal vector exceeds with this probability. The statistics have heavier tails than
@@ -246,22 +247,23 @@ def _step(rows: DataFrame, groups: DataFrame, key: str, n_groups: int, total: in
 def _least_determinants(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
     """For each group its size of, m, l and volume; and the number of groups.
 
-    After FEW steps from every start, the one with the least determinant (of equal ones the first by name) goes on until
-    the logarithms of the determinants fall by no more than FALLS a group.
+    After FEW steps from every start, the one with the least determinant (of equal ones the first by name) goes on. Each
+    group stops by itself, when a step lowers the logarithm of its determinant by FALLS or less; the others go on until
+    the last has stopped.
     """
     groups, total = cut(_starts(rows, key)), rows.count()
     n_groups = groups.where("start = 'quartiles'").count()
     for _ in range(FEW):
         groups = cut(_step(rows, groups, key, n_groups, total))
     best = groups.groupBy(key).agg(F.min_by(F.struct("*"), F.struct("volume", "start")).alias("best"))
-    groups, was = best.select("best.*"), math.inf
-    for _ in range(MOST_STEPS):
-        groups = cut(_step(rows, groups, key, n_groups, total))
-        volume = groups.agg(F.avg("volume")).first()[0]
-        if volume is None or volume >= was - FALLS:
-            break
-        was = volume
-    return groups, n_groups
+    moving, stopped = cut(best.select("best.*")), []
+    while not moving.isEmpty():
+        was = moving.select(key, F.col("volume").alias("was"))
+        stepped = cut(_step(rows, moving, key, n_groups, total).join(was, key))
+        falls = F.col("volume") < F.col("was") - FALLS
+        stopped.append(stepped.where(~falls).drop("was"))
+        moving = stepped.where(falls).drop("was")
+    return reduce(DataFrame.unionByName, stopped, moving), n_groups
 
 
 def _leaning(groups: DataFrame, languages: DataFrame, n_groups: int) -> DataFrame:
@@ -323,7 +325,7 @@ def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that agree in id, language, source and text stay or go together. Null text goes.
     """
-    keyed = docs.withColumn("__key", row_key("doc_id", "lang", "source"))
-    judged = keyed.select(F.col("__key").alias("doc_id"), "lang", "source", "text")
-    gone = quality_verdicts(judged).where(~F.col("kept")).select(F.col("doc_id").alias("__key")).distinct()
-    return keyed.join(gone, "__key", "left_anti").select(*docs.columns)
+    keyed = docs.select(whole_row(docs), row_key("doc_id", "lang", "source").alias("key"))
+    judged = keyed.select(F.col("key").alias("doc_id"), "row.lang", "row.source", "row.text")
+    gone = quality_verdicts(judged).where(~F.col("kept")).select(F.col("doc_id").alias("key")).distinct()
+    return keyed.join(gone, "key", "left_anti").select("row.*")

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import cut, heavy_join, in_batches, row_key
+from cadenza.llm.common import cut, heavy_join, in_batches, row_digest, row_key, whole_row
 from cadenza.llm.graph import components
 
 SHINGLE = 3
@@ -125,15 +125,17 @@ def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Groups are those of simhash_groups, except that fingerprints name them, so that rows without an id link like any other.
     """
-    full = docs.withColumns({"__none": F.col("doc_id").isNull(), "__row": F.xxhash64(*docs.columns)})
-    full = full.withColumn("__key", row_key("__none", "doc_id", "__row"))
-    flat = full.select("__key.*", "text")
-    key = ("__none", "doc_id", "digest", "__row")
-    rows = cut(fingerprints(flat, keep=key))
-    classes = cut(rows.groupBy("fp").agg(F.min(F.struct("__none", "doc_id", "__row", "digest")).alias("__key")))
+    key = ("none", "doc_id", "digest", "other")
+    full = docs.select(whole_row(docs), row_key("doc_id").alias("k"), row_digest(docs).alias("other"), "text")
+    full = full.select(
+        "row", "text", F.struct(F.col("k.doc_id").isNull().alias("none"), "k.doc_id", "k.digest", "other").alias("key")
+    )
+    rows = cut(fingerprints(full.select("key.*", "text"), keep=key))
+    classes = cut(rows.groupBy("fp").agg(F.min(F.struct("none", "doc_id", "other", "digest")).alias("first")))
     again = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("hi"))
     bridges = again.where("a <> hi").join(rows, "doc_id").select("a", F.col("fp").alias("b")).where("a <> b").distinct()
     found = components(near_links(classes.select("fp", F.col("fp").alias("id"))).unionByName(bridges))
     named = classes.join(found, classes["fp"] == found["node"], "left")
-    first = named.groupBy(F.coalesce("component", "fp")).agg(F.min("__key").alias("__key")).select("__key")
-    return full.dropDuplicates(["__key"]).join(first, "__key", "left_semi").select(*docs.columns)
+    first = named.groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+    chosen = first.select(F.struct(*(F.col(f"first.{c}") for c in key)).alias("key"))
+    return full.drop("text").dropDuplicates(["key"]).join(chosen, "key", "left_semi").select("row.*")

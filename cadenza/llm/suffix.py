@@ -3,7 +3,7 @@
 Positions are classified as S or L, leftmost S positions (LMS) cut the text into substrings, these are sorted by one round of
 induction and named, the string of names is ranked, and a second round induces the whole array from the LMS order. A round
 takes each bucket of a first byte in waves: every wave is a few array operations, and a position is touched once.
-Names are ranked by doubling: they have as many values as a shard has substrings, too many to go bucket by bucket.
+Names are ranked by the same recursion, a level refined run by run: they have too many values to go bucket by bucket.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import in_batches, read
+from cadenza.llm.common import in_batches, read, whole_row
 
 WINDOW, STRIDE = 48, 36
 #: Hash buckets of words and of n-grams, width of an input, width of a state.
@@ -377,31 +377,40 @@ class Scorer:
         return out.tolist()
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Network | None:
-    """Trained on a hash sample of at most TOXIC and CLEAN labelled documents of up to CHARS characters, in one task of an
-    executor; None without both."""
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(place, doc_id, text, toxic): a hash sample of at most TOXIC and CLEAN labelled documents that have a text.
+
+    Documents of up to CHARS characters come first; where they do not fill the sample, CHARS characters of longer ones do,
+    from a hashed place on.
+    """
+    size = F.length("text")
+    usable = docs.select("doc_id", size.alias("size")).where("size > 0").join(labels.select("doc_id", "toxic"), "doc_id")
     chosen = None
     for label, most in ((1, TOXIC), (0, CLEAN)):
-        some = labels.where(F.col("toxic") == label).select("doc_id", F.col("toxic").alias("toxic"))
-        some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-        chosen = some if chosen is None else chosen.unionByName(some)
+        some = usable.where(F.col("toxic") == label).select("doc_id", "toxic").orderBy(F.col("size") > CHARS, F.xxhash64("doc_id"), "doc_id", "size")
+        chosen = some.limit(most) if chosen is None else chosen.unionByName(some.limit(most))
     place = F.xxhash64("doc_id")
-    sample = (
+    start = F.pmod(place, F.greatest(size - CHARS + 1, F.lit(1))).cast("int") + 1
+    return (
         docs.select("doc_id", "text")
-        .where(F.length("text").between(1, CHARS))
-        .join(F.broadcast(chosen), "doc_id")
-        .select(place.alias("place"), "doc_id", "text", "toxic")
+        .where(size > 0)
+        .join(F.broadcast(chosen.distinct()), "doc_id")
+        .select(place.alias("place"), "doc_id", F.col("text").substr(start, F.lit(CHARS)).alias("text"), "toxic")
         .orderBy("place", "doc_id", "text")
         .limit(TOXIC + CLEAN)
     )
 
+
+def learn(docs: DataFrame, labels: DataFrame) -> Network | None:
+    """Trained on training_rows in one task of an executor; None without documents of both labels."""
+
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["place"], r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist())
         if len({r[3] for r in rows}) == 2:
             net = train([r[2] for r in rows], [r[3] for r in rows])
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net.weights)], pa.binary())], names=["weights"])
 
-    found = sample.mapInArrow(fit, "weights binary").collect()  # one task: the sample is bounded
+    found = training_rows(docs, labels).mapInArrow(fit, "weights binary").collect()  # one task: the sample is bounded
     return Network(pickle.loads(found[0]["weights"])) if found else None
 
 
@@ -440,11 +449,12 @@ def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = learn(docs, read(spark, sf_dir, "labels").where(~_held_out()))
     if net is None:
         return docs
-    at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net)
         for b in batches:
-            yield b.filter(pa.array([s < THRESHOLD for s in scorer(b.column(at).to_pylist())], pa.bool_()))
+            texts = b.column("row").field("text").to_pylist()
+            yield b.filter(pa.array([s < THRESHOLD for s in scorer(texts)], pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    rows = docs.select(whole_row(docs))
+    return rows.mapInArrow(work, rows.schema).select("row.*")

@@ -592,3 +592,55 @@ def test_language_learns_every_language(spark):
     found = language.identify(df.where("doc_id % 100 = 0"), content).join(df, "doc_id").collect()
     assert len(found) == 70 and all(x["lang_pred"] == x["lang"] for x in found)
     assert [x["lang_pred"] for x in language.identify(docs(spark, [None, "12"]), content).collect()] == ["und"] * 2
+
+
+def odd_columns(spark, texts, ids):
+    """Documents with columns named like the operators' own, with dots and quotes, of map, array and struct types."""
+    d = docs(spark, texts, ids=ids).withColumn("lang", F.lit("en"))
+    for name in ("__key", "__clear", "__row", "__none", "key", "clear", "other", "fp", "h", "k1", "places", "a.b", "c`d", "gid"):
+        d = d.withColumn(name, F.lit(f"own {name}"))
+    return d.withColumns({"m": F.create_map(F.lit("x"), F.col("doc_id")), "s": F.struct(F.lit(1).alias("text")), "l": F.array(F.lit(1))})
+
+
+def test_stages_carry_columns_of_any_name_and_type(spark, monkeypatch):
+    texts = [prose(70 + i, 150) for i in range(4)]
+    rows = odd_columns(spark, [*texts, texts[0]], [1, 2, None, 4, 1])
+    net = toxicity.train([prose(1, 20), prose(2, 20) + " vilewort"], [0, 1])
+    monkeypatch.setattr(toxicity, "read", lambda spark, *_: spark.createDataFrame([(0, 0)], "doc_id bigint, toxic int"))
+    monkeypatch.setattr(toxicity, "learn", lambda *_: net)
+    monkeypatch.setattr(toxicity, "THRESHOLD", 2)
+    for stage, left in ((quality.quality_stage, 5), (toxicity.toxicity_stage, 5), (simhash.dedup_stage, 4), (passages.passages_stage, 5)):
+        out = stage(spark, rows, "")
+        assert out.schema.names == rows.schema.names, stage
+        got = [r.asDict() for r in out.collect()]
+        assert len(got) == left, stage
+        for r in got:
+            assert all(r[c] == f"own {c}" for c in ("__key", "__clear", "__row", "a.b", "c`d", "other", "key", "clear"))
+            assert r["m"] == {"x": r["doc_id"]} and r["s"]["text"] == 1 and r["l"] == [1]
+
+
+def test_training_rows_are_drawn_from_documents_with_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TOXIC", 2)
+    monkeypatch.setattr(toxicity, "CLEAN", 2)
+    monkeypatch.setattr(toxicity, "CHARS", 400)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append(1))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id bigint, toxic int")
+    for size in (20, 2000):  # short ones, or only such as are over CHARS
+        some = docs(spark, [prose(i, size) for i in range(4)] + [None, ""], ids=[396, 397, 398, 399, 395, 394])
+        plan = toxicity.training_rows(some, labels).collect()
+        assert sorted(r["doc_id"] for r in plan) == [396, 397, 398, 399] and all(0 < len(r["text"]) <= 400 for r in plan)
+
+
+def test_each_group_stops_by_itself(spark):
+    r = np.random.default_rng(3)
+    rows = [("a", *map(int, 1000 * r.normal(size=5))) for _ in range(300)]
+    other = [("b", *map(int, 1000 * r.standard_t(1, size=5))) for _ in range(300)]
+    kind = "gid string, " + ", ".join(f"{f} bigint" for f in quality.FEATURES)
+
+    def estimate(some):
+        found, n = quality._least_determinants(spark.createDataFrame(some, kind), "gid")
+        return {x["gid"]: x["volume"] for x in found.collect()}
+
+    alone, both = estimate(rows), estimate(rows + other)
+    assert both["a"] == alone["a"] and set(both) == {"a", "b"}
