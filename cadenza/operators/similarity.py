@@ -1,4 +1,4 @@
-"""Similarity of texts by matching blocks, near-duplicate neighbours, and word alignment of two transcripts."""
+"""Similarity of texts by matching blocks, near-duplicate neighbours, and agreement of readings."""
 
 from __future__ import annotations
 
@@ -11,23 +11,45 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
 from cadenza.operators.intervals import KEY
+from cadenza.operators.matching import letters, longest_blocks, matching_blocks
 
 #: Letters that letter_counts counts one by one.
 FREQUENT = "etaoinsrhldcu"
 
 
+#: Characters of pairs that are matched together.
+TOGETHER = 1_000_000
+
+
+def _in_parts(a: pd.Series, b: pd.Series) -> Iterator[tuple[list, list]]:
+    """The pairs as code points, as many at a time as have TOGETHER characters."""
+    left, right, size = [], [], 0
+    for x, y in zip(map(letters, a), map(letters, b), strict=True):
+        left.append(x)
+        right.append(y)
+        size += len(x) + len(y)
+        if size >= TOGETHER:
+            yield left, right
+            left, right, size = [], [], 0
+    yield left, right
+
+
 def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
-        yield pd.Series([SequenceMatcher(None, x or "", y or "", False).ratio() for x, y in zip(a, b, strict=True)])
+        out: list[float] = []
+        for x, y in _in_parts(a, b):
+            for p, q, blocks in zip(x, y, matching_blocks(x, y), strict=True):
+                n = len(p) + len(q)
+                out.append(2 * sum(k for _, _, k in blocks) / n if n else 1.0)
+        yield pd.Series(out, dtype="float64")
 
 
 def _shares(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            m = SequenceMatcher(None, x, y, False).find_longest_match(0, len(x), 0, len(y)).size if x and y else 0
-            out.append(m / min(len(x), len(y)) if m else 0.0)
-        yield pd.Series(out)
+        out: list[float] = []
+        for x, y in _in_parts(a, b):
+            out += [k / min(len(p), len(q)) if k else 0.0 for p, q, k in zip(x, y, longest_blocks(x, y), strict=True)]
+        yield pd.Series(out, dtype="float64")
 
 
 def seq_ratio(a: Column | str, b: Column | str) -> Column:
@@ -117,59 +139,6 @@ def repair_decisions(windows: DataFrame) -> DataFrame:
     return windows.withColumn("outcome", out).withColumn("unchanged", (F.col("outcome") == "accepted") & (a == old))
 
 
-def _opcodes(a: list[str], b: list[str]) -> list[tuple[str, int, int, int, int]]:
-    return SequenceMatcher(None, a, b, False).get_opcodes()
-
-
-def align_words(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per video: equal, substituted, inserted and deleted words of b against a, agreement in thousandths.
-
-    Both transcripts of a video meet in one group; words are compared, not characters.
-    """
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        x, y = (d.sort_values("seq")["norm"].tolist() for d in (left, right))
-        n = {"equal": 0, "sub": 0, "ins": 0, "del": 0}
-        for op, i, j, k, m in _opcodes(x, y):
-            if op == "equal":
-                n["equal"] += j - i
-            else:
-                n["sub"] += min(j - i, m - k)
-                n["del"] += max(0, (j - i) - (m - k))
-                n["ins"] += max(0, (m - k) - (j - i))
-        key = (left if len(left) else right)[KEY].iloc[0]
-        total = max(len(x), len(y))
-        return pd.DataFrame([(key, *n.values(), 1000 * n["equal"] // total if total else None)], columns=[KEY, "n_equal", "n_sub", "n_ins", "n_del", "agreement_milli"])
-
-    norm = lambda d: d.select(KEY, "seq", T.norm_text(F.col("word")).alias("norm")).where("norm <> ''")
-    kind = a.schema[KEY].dataType.simpleString()
-    schema = f"{KEY} {kind}, n_equal bigint, n_sub bigint, n_ins bigint, n_del bigint, agreement_milli bigint"
-    return norm(a).groupBy(KEY).cogroup(norm(b).groupBy(KEY)).applyInPandas(run, schema)
-
-
-def diff_hunks(a: DataFrame, b: DataFrame, context: int = 6) -> DataFrame:
-    """(video_id, n, at_ms, before, was, now, after): places where two transcripts differ, with words around them."""
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left, right = left.sort_values("seq"), right.sort_values("seq")
-        x, y = left["word"].tolist(), right["word"].tolist()
-        nx, ny = left["norm"].tolist(), right["norm"].tolist()
-        times = left["start_ms"].tolist()
-        key = (left if len(left) else right)[KEY].iloc[0]
-        out = [
-            (key, times[min(i, len(times) - 1)] if times else None, x[max(0, i - context) : i], x[i:j], y[k:m], x[j : j + context])
-            for op, i, j, k, m in _opcodes(nx, ny)
-            if op != "equal"
-        ]
-        rows = [(v, n, at, *(" ".join(w) for w in ws)) for n, (v, at, *ws) in enumerate(out)]
-        return pd.DataFrame(rows, columns=[KEY, "n", "at_ms", "before", "was", "now", "after"])
-
-    norm = lambda d: d.select(KEY, "seq", "word", "start_ms", T.norm_text(F.col("word")).alias("norm"))
-    kind = a.schema[KEY].dataType.simpleString()
-    schema = f"{KEY} {kind}, n bigint, at_ms bigint, before string, was string, now string, after string"
-    return norm(a).groupBy(KEY).cogroup(norm(b).groupBy(KEY)).applyInPandas(run, schema)
-
-
 def verify_units(units: DataFrame, hypotheses: DataFrame, threshold: float = 0.9, enabled: bool = True) -> DataFrame:
     """(video_id, id, flag, similarity, hypothesis) for each sentence of units (lead, ids, ref) against what was heard.
 
@@ -191,19 +160,6 @@ def verify_units(units: DataFrame, hypotheses: DataFrame, threshold: float = 0.9
     )
 
 
-def compare_transcripts(a: DataFrame, b: DataFrame, k: int = 10) -> DataFrame:
-    """The k videos that agree least, of those that both sides have."""
-    return align_words(a, b).where("agreement_milli is not null").orderBy("agreement_milli", KEY).limit(k)
-
-
-def compare_summary(aligned: DataFrame) -> DataFrame:
-    """Medians, sums and extremes over all compared videos."""
-    return aligned.agg(
-        F.count("*").alias("n"), F.percentile("agreement_milli", 0.5).alias("median_milli"), F.min("agreement_milli").alias("least_milli"),
-        F.sum("n_sub").alias("n_sub"), F.sum("n_ins").alias("n_ins"), F.sum("n_del").alias("n_del"),
-    )
-
-
 def ab_summary(cells: DataFrame) -> DataFrame:
     """Per video: least similarity within a variant's repeats and across variants, by a self-join on the video.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
+from cadenza.operators import alignment as L
 from cadenza.operators import grouping as G
 from cadenza.operators import integrity as J
 from cadenza.operators import intervals as I
@@ -88,22 +89,22 @@ def other_words(spark, d):
 
 @query("sm7_align_words")
 def _(spark, d):
-    return S.align_words(V.words(spark, d), other_words(spark, d))
+    return L.align_words(V.words(spark, d), other_words(spark, d))
 
 
 @query("sm8_diff_hunks")
 def _(spark, d):
-    return S.diff_hunks(V.words(spark, d), other_words(spark, d))
+    return L.diff_hunks(V.words(spark, d), other_words(spark, d))
 
 
 @query("ag23_compare_summary")
 def _(spark, d):
-    return S.compare_summary(S.align_words(V.words(spark, d), other_words(spark, d)))
+    return L.compare_summary(L.align_words(V.words(spark, d), other_words(spark, d)))
 
 
 @query("tk3_worst_pairs")
 def _(spark, d):
-    return S.compare_transcripts(V.words(spark, d), other_words(spark, d))
+    return L.compare_transcripts(V.words(spark, d), other_words(spark, d))
 
 
 @query("sm2_pair_ratio")

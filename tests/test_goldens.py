@@ -8,6 +8,7 @@ from cadenza.operators import grouping as G
 from cadenza.operators import integrity as J
 from cadenza.operators import intervals as I
 from cadenza.operators import rollup as A
+from cadenza.operators import alignment as L
 from cadenza.operators import similarity as S
 from cadenza.operators import spoken as P
 from cadenza.operators import words as W
@@ -270,9 +271,9 @@ def test_adjacent_duplicates(spark):
 
 
 def test_align(spark):
-    r = S.align_words(words(spark, "a b c d".split()), words(spark, "a x c d e".split())).first()
+    r = L.align_words(words(spark, "a b c d".split()), words(spark, "a x c d e".split())).first()
     assert (r["n_equal"], r["n_sub"], r["n_ins"], r["n_del"]) == (3, 1, 1, 0)
-    h = S.diff_hunks(words(spark, "a b c d".split()), words(spark, "a x c d".split())).collect()
+    h = L.diff_hunks(words(spark, "a b c d".split()), words(spark, "a x c d".split())).collect()
     assert [(x["was"], x["now"], x["before"], x["after"]) for x in h] == [("b", "x", "a", "c d")]
 
 
