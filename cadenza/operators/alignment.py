@@ -26,12 +26,17 @@ from cadenza.operators.matching import matching_blocks, opcodes
 GRAM = 3
 
 
-def numbered(words: DataFrame, blank: bool = True) -> DataFrame:
-    """words with norm, their compared form, and pos, counted from 0 in each video; without blank, empty norms go first."""
+def numbered(words: DataFrame, blank: bool = True, dense: bool = True) -> DataFrame:
+    """words with norm, their compared form, and pos, counted from 0 in each video; without blank, empty norms go first.
+
+    Where only the order matters, pos need not be dense and is seq.
+    """
     w = words.withColumn("norm", F.coalesce(T.norm_text(F.col("word")), F.lit("")))
     if not blank:
         w = w.where("norm <> ''")
-    return w.withColumn("pos", F.row_number().over(Window.partitionBy(KEY).orderBy("seq")).cast("bigint") - 1)
+    w = w.repartition(KEY)  # for both uses of the words: anchors and gaps
+    count = F.row_number().over(Window.partitionBy(KEY).orderBy("seq")).cast("bigint") - 1
+    return w.withColumn("pos", count if dense else F.col("seq"))
 
 
 def _rising(rows: list) -> Iterable[tuple[int, int]]:
@@ -51,16 +56,25 @@ def _rising(rows: list) -> Iterable[tuple[int, int]]:
 
 
 def anchors(a: DataFrame, b: DataFrame, gram: int = GRAM) -> DataFrame:
-    """(video_id, pa, pb), rising in both: words of numbered a and b that are equal for sure."""
+    """(video_id, pa, pb), rising in both: words of numbered a and b that begin a run found once in each.
 
-    def once(d: DataFrame, pos: str, norm: str) -> DataFrame:
-        w = Window.partitionBy(KEY).orderBy("pos")
+    Runs are compared by 64 bits, and their first words by 64 more.
+    """
+
+    def runs(d: DataFrame, side: int) -> DataFrame:
+        w = Window.partitionBy(KEY).orderBy("seq")
         run = [F.lead("norm", k).over(w) if k else F.col("norm") for k in range(gram)]
-        g = d.select(KEY, "pos", "norm", F.xxhash64(*run).alias("gram"), run[-1].isNotNull().alias("whole")).where("whole")
-        some = g.groupBy(KEY, "gram").agg(F.count("*").alias("n"), F.min("pos").alias(pos), F.min("norm").alias(norm))
-        return some.where("n = 1").drop("n")
+        g = d.select(KEY, "pos", F.xxhash64("norm").alias("first"), F.xxhash64(*run).alias("gram"), run[-1].isNotNull().alias("whole"))
+        return g.where("whole").select(KEY, "gram", "first", "pos", F.lit(side).alias("side"))
+
+    def of(side: int, what: str) -> Column:
+        return F.when(F.col("side") == side, F.col(what))
 
-    met = once(a, "pa", "x").join(once(b, "pb", "y"), [KEY, "gram"]).where("x = y").select(KEY, "pa", "pb")
+    both = runs(a, 0).unionByName(runs(b, 1)).groupBy(KEY, "gram").agg(
+        F.count(of(0, "pos")).alias("n"), F.count(of(1, "pos")).alias("m"), F.min(of(0, "pos")).alias("pa"), F.min(of(1, "pos")).alias("pb"),
+        (F.min("first") == F.max("first")).alias("alike"),
+    )
+    met = both.where("n = 1 and m = 1 and alike").select(KEY, "pa", "pb")
     w = Window.partitionBy(KEY).orderBy("pa")
     before = lambda order: Window.partitionBy(KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     above, below = F.max("pb").over(before("pa")), F.min("pb").over(before(F.col("pa").desc()))
@@ -70,29 +84,40 @@ def anchors(a: DataFrame, b: DataFrame, gram: int = GRAM) -> DataFrame:
     return marked.where("sure").select(KEY, "pa", "pb").unionByName(rest.select(KEY, "pa", "pb"))
 
 
-def _gaps(a: DataFrame, b: DataFrame, found: DataFrame, *keep: str) -> DataFrame:
-    """Words of both sides (0: a, 1: b) that are no anchors: gap, the anchors before; pos; other, where it is on the other side."""
+def stretches(found: DataFrame) -> DataFrame:
+    """(video_id, pa, pa_to, pb, pb_to): anchors that follow each other on both sides as one, ends inclusive."""
+    w = Window.partitionBy(KEY).orderBy("pa")
+    new = F.coalesce((F.col("pa") - F.lag("pa").over(w) != 1) | (F.col("pb") - F.lag("pb").over(w) != 1), F.lit(True))
+    runs = found.withColumn("new", new).withColumn("run", F.count_if("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(KEY, "run").agg(
+        F.min("pa").alias("pa"), F.max("pa").alias("pa_to"), F.min("pb").alias("pb"), F.max("pb").alias("pb_to")
+    ).drop("run")
+
+
+def _gaps(a: DataFrame, b: DataFrame, sure: DataFrame, *keep: str) -> DataFrame:
+    """Words of both sides (0: a, 1: b) outside the stretches: gap, the stretches before; pos; other, its place on the other side."""
     sides = []
     for side, d, here, there in ((0, a, "pa", "pb"), (1, b, "pb", "pa")):
-        words = d.select(KEY, "pos", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("other"), "norm", *keep)
-        cuts = found.select(KEY, F.col(here).alias("pos"), F.lit(0).alias("kind"), (F.col(there) + 1).alias("other"))
+        words = d.select(KEY, "pos", F.lit(1).alias("kind"), F.lit(0).cast("bigint").alias("other"), F.lit(-1).cast("bigint").alias("upto"), "norm", *keep)
+        cuts = sure.select(
+            KEY, F.col(here).alias("pos"), F.lit(0).alias("kind"), (F.col(f"{there}_to") + 1).alias("other"), F.col(f"{here}_to").alias("upto")
+        )
         sides.append(words.unionByName(cuts, allowMissingColumns=True).withColumn("side", F.lit(side)))
-    w = Window.partitionBy(KEY, "side").orderBy("pos", "kind")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(KEY, "side").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
     marked = sides[0].unionByName(sides[1]).select(
         KEY, "side", "pos", "kind", "norm", *keep, F.count_if(F.col("kind") == 0).over(upto).alias("gap"), F.max("other").over(upto).alias("other"),
-        (F.lag("kind").over(w) == 0).alias("anchored"),
+        F.max("upto").over(upto).alias("upto"),
     )
-    return marked.where("kind = 1 and not coalesce(anchored, false)").drop("kind", "anchored")
+    return marked.where("kind = 1 and pos > upto").drop("kind", "upto")
 
 
-def edits(a: DataFrame, b: DataFrame, found: DataFrame, words: bool = False) -> DataFrame:
-    """(video_id, what, a_from, a_to, b_from, b_to) inside the gaps between anchors: equal, replace, delete, insert.
+def edits(a: DataFrame, b: DataFrame, sure: DataFrame, words: bool = False) -> DataFrame:
+    """(video_id, what, a_from, a_to, b_from, b_to) inside the gaps between stretches: equal, replace, delete, insert.
 
     Ends are exclusive. With words, was and now hold the words of both sides, null where equal.
     """
     keep = ["word"] if words else []
-    rows = _gaps(a, b, found, *keep).select(KEY, "gap", "side", "pos", "other", "norm", *keep)
+    rows = _gaps(a, b, sure, *keep).select(KEY, "gap", "side", "pos", "other", "norm", *keep)
     kind = rows.schema[KEY].dataType.simpleString()
     schema = f"{KEY} {kind}, what string, a_from bigint, a_to bigint, b_from bigint, b_to bigint" + (", was string, now string" if words else "")
     kinds = to_arrow_schema(StructType.fromDDL(schema))
@@ -142,17 +167,17 @@ def align_words(a: DataFrame, b: DataFrame) -> DataFrame:
     Words are compared by their norm; those without one are left out. Of a replaced stretch as many words as both sides have
     are substituted. Videos of one side only are all deleted or inserted.
     """
-    a, b = numbered(a, blank=False), numbered(b, blank=False)
-    found = anchors(a, b)
+    a, b = numbered(a, blank=False, dense=False), numbered(b, blank=False, dense=False)
+    sure = stretches(anchors(a, b))
     n, m = F.col("a_to") - F.col("a_from"), F.col("b_to") - F.col("b_from")
     when = lambda is_equal, value: F.when((F.col("what") == "equal") == is_equal, value).otherwise(0)
-    parts = edits(a, b, found).select(
+    parts = edits(a, b, sure).select(
         KEY, when(True, n).alias("n_equal"), when(False, F.least(n, m)).alias("n_sub"),
         when(False, F.greatest(m - n, F.lit(0))).alias("n_ins"), when(False, F.greatest(n - m, F.lit(0))).alias("n_del"),
     )
     zero = F.lit(0).cast("bigint")
-    sure = found.select(KEY, F.lit(1).cast("bigint").alias("n_equal"), *(zero.alias(c) for c in ("n_sub", "n_ins", "n_del")))
-    sums = parts.unionByName(sure).groupBy(KEY).agg(*(F.sum(c).alias(c) for c in ("n_equal", "n_sub", "n_ins", "n_del")))
+    same = sure.select(KEY, (F.col("pa_to") - F.col("pa") + 1).alias("n_equal"), *(zero.alias(c) for c in ("n_sub", "n_ins", "n_del")))
+    sums = parts.unionByName(same).groupBy(KEY).agg(*(F.sum(c).alias(c) for c in ("n_equal", "n_sub", "n_ins", "n_del")))
     total = F.col("n_equal") + F.col("n_sub") + F.greatest("n_ins", "n_del")
     return sums.withColumn("agreement_milli", F.floor(1000 * F.col("n_equal") / total))
 
@@ -164,7 +189,7 @@ def diff_hunks(a: DataFrame, b: DataFrame, context: int = 6) -> DataFrame:
     """
     a, b = numbered(a), numbered(b)
     place = F.row_number().over(Window.partitionBy(KEY).orderBy("a_from", "b_from")).cast("bigint") - 1
-    hunks = edits(a, b, anchors(a, b), words=True).where("what <> 'equal'").withColumn("n", place)
+    hunks = edits(a, b, stretches(anchors(a, b)), words=True).where("what <> 'equal'").withColumn("n", place)
     around = F.explode(F.sequence(F.greatest(F.col("a_from") - max(context, 1), F.lit(0)), F.col("a_to") + max(context, 1) - 1)).alias("pos")
     near = hunks.select("*", around).join(a.select(KEY, "pos", "word", "start_ms"), [KEY, "pos"], "left")
 

@@ -133,7 +133,7 @@ def test_edits_rebuild_the_other_side(spark):
     for r in found.collect():
         equal[r["video_id"]][r["pb"]] = r["pa"]
     rows = defaultdict(list)
-    for r in L.edits(x, y, found, words=True).collect():
+    for r in L.edits(x, y, L.stretches(found), words=True).collect():
         rows[r["video_id"]].append(r)
     for v in a | b:
         left, right = a.get(v, []), b.get(v, [])
