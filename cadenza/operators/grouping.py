@@ -1,7 +1,8 @@
 """Bounded ordered folds: units, chunks, paragraphs and widened windows.
 
 A fold's state resets where the rows cannot belong together (a long pause, an empty text), so windows first number those
-islands and each island is a group of its own; only chunk plans, which have no such break, fold a whole video.
+islands and each island is a group of its own. Chunk plans and widened windows have no such break: chunks walk along
+pointers in blocks, and windows look at as many sentences around their seeds as they need.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.operators.intervals import KEY, islands
+from cadenza.sources.scratch import cut
 
 
 def fold(df: DataFrame, keys: list[str], order: str, step: Callable[[list], Iterable[tuple]], columns: str) -> DataFrame:
@@ -75,27 +77,70 @@ def build_units(sentences: DataFrame, gap: int = 1200, span: int = 20_000, chars
     return fold(marked, [KEY, "island"], "id", step, out).drop("island")
 
 
-def plan_chunks(sentences: DataFrame, target: int = 80, slide: float = 0.15, tail: float = 0.5) -> DataFrame:
-    """(video_id, chunk, lo, hi): inclusive id ranges of about target sentences that cover every id once.
+def chain_starts(steps: DataFrame, block: int = 4096) -> DataFrame:
+    """(video_id, pos): the places of steps (video_id, pos, next) that a walk from 0 along next touches; next is beyond pos.
 
-    A cut slides to the widest pause nearby, the first of equal ones; a short rest goes with the last chunk.
+    A task walks within blocks of places only. Where a video has more than one, each place's way out of its block is found
+    first; ways out meet soon, so there are few, and those that the walk takes are found by doubling: reached places
+    grow by jumps, and jumps by themselves, in as many rounds as the number of blocks has bits.
     """
-    reach = int(target * slide)
+    s = steps.select(KEY, "pos", "next", F.floor(F.col("pos") / block).alias("block"))
+
+    def leave(rows: list) -> Iterable[tuple]:
+        out: dict[int, int] = {}
+        for r in reversed(rows):
+            out[r.pos] = out.get(r.next, r.next)
+        yield from out.items()
+
+    long = s.where("block > 0").select(KEY).distinct()
+    exits = cut(fold(s.join(long, KEY, "left_semi"), [KEY, "block"], "pos", leave, "pos bigint, exit bigint").drop("block"))
+    zero = F.lit(0).cast("bigint").alias("pos")
+    taken = exits.select(KEY, F.col("exit").alias("pos")).unionByName(exits.select(KEY, zero)).distinct()
+    jumps = cut(exits.join(taken, [KEY, "pos"]))
+    reached = s.select(KEY, zero).distinct()
+    while not jumps.isEmpty():
+        reached = cut(reached.unionByName(reached.join(jumps, [KEY, "pos"]).select(KEY, F.col("exit").alias("pos"))).distinct())
+        further = jumps.select(KEY, F.col("pos").alias("exit"), F.col("exit").alias("after"))
+        jumps = cut(jumps.join(further, [KEY, "exit"]).select(KEY, "pos", F.col("after").alias("exit")))
+
+    def walk(rows: list) -> Iterable[tuple]:
+        at = None
+        for r in rows:
+            if r.entered or r.pos == at:
+                yield (r.pos,)
+                at = r.next
 
-    def step(rows: list) -> Iterable[tuple]:
-        n, start, k = len(rows), 0, 0
-        pause = [max((b.start_ms or 0) - (a.end_ms or 0), 0) for a, b in zip(rows, rows[1:], strict=False)]
-        while start < n:
-            stop = min(start + max(target, 1), n) - 1
-            if stop < n - 1 and reach:
-                near = range(max(start, stop - reach), min(n - 2, stop + reach) + 1)
-                stop = max(near, key=lambda i: (pause[i], -i))
-            if n - 1 - stop < target * tail:
-                stop = n - 1
-            yield k, rows[start].id, rows[stop].id
-            start, k = stop + 1, k + 1
+    entered = reached.withColumn("entered", F.lit(True))
+    marked = s.join(entered, [KEY, "pos"], "left").fillna(False, ["entered"])
+    return fold(marked, [KEY, "block"], "pos", walk, "pos bigint").drop("block")
 
-    return fold(sentences.select(KEY, "id", "start_ms", "end_ms"), [KEY], "id", step, "chunk bigint, lo bigint, hi bigint")
+
+def plan_chunks(sentences: DataFrame, target: int = 80, slide: float = 0.15, tail: float = 0.5) -> DataFrame:
+    """(video_id, chunk, lo, hi): inclusive id ranges of about target sentences that cover every id once.
+
+    A cut slides to the widest pause nearby, the first of equal ones; a short rest goes with the last chunk. Where a chunk
+    that begins at some sentence would end is a matter of windows; the chunks are the walk along these ends from the first.
+    """
+    target, reach = max(target, 1), int(target * slide)
+    w = Window.partitionBy(KEY).orderBy("id")
+    s = sentences.select(KEY, "id", "start_ms", "end_ms").select(
+        KEY, "id", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), F.count("*").over(Window.partitionBy(KEY)).alias("n"),
+        F.greatest(F.coalesce(F.lead("start_ms").over(w), F.lit(0)) - F.coalesce("end_ms", F.lit(0)), F.lit(0)).alias("pause"),
+    )
+    w = Window.partitionBy(KEY).orderBy("pos")
+    cuts = F.when(F.col("pos") < F.col("n") - 1, F.struct("pause", (-F.col("pos")).alias("back")))
+    widest = F.max(cuts).over(w.rowsBetween(-min(reach, target - 1), reach))
+    s = s.withColumn("best", -widest["back"] if reach else F.col("pos"))
+    stop = F.when(F.col("pos") + target >= F.col("n"), F.col("n") - 1).otherwise(F.lead("best", target - 1).over(w))
+    s = s.withColumn("stop", stop)
+    stop = F.when(F.col("n") - 1 - F.col("stop") < target * tail, F.col("n") - 1).otherwise(F.col("stop"))
+    s = s.withColumn("next", stop + 1)
+    starts = chain_starts(s).withColumn("starts", F.lit(True))
+    ends = s.select(KEY, F.col("next").alias("pos"), F.col("id").alias("lo"), F.col("pos").alias("from"))
+    lows = ends.join(starts.select(KEY, F.col("pos").alias("from")), [KEY, "from"])
+    last = s.select(KEY, (F.col("pos") + 1).alias("pos"), F.col("id").alias("hi"))
+    chunk = F.row_number().over(Window.partitionBy(KEY).orderBy("from")).cast("bigint") - 1
+    return lows.join(last, [KEY, "pos"]).select(KEY, chunk.alias("chunk"), "lo", "hi")
 
 
 def paragraphs(records: DataFrame, pause: int = 1000, most: int = 900) -> DataFrame:
@@ -131,28 +176,45 @@ def units_of(manifest: DataFrame) -> DataFrame:
     return manifest.select(KEY, F.explode(F.coalesce("units", single)).alias("u")).select(KEY, "u.lead", "u.ids")
 
 
-def widen(seeds: DataFrame, sentences: DataFrame, least: int = 20_000) -> DataFrame:
+def widen(seeds: DataFrame, sentences: DataFrame, least: int = 20_000, reach: int = 8) -> DataFrame:
     """(video_id, seed, lo, hi): each seed's window grown by whole sentences, left first and by turns, to least milliseconds.
 
-    Only videos with seeds are grouped.
+    After k steps a window has taken k sentences, half of them on each side as far as there are any. A round looks at the
+    reach sentences around each seed; seeds whose windows need more go on to a round with four times as many.
     """
-    marked = sentences.join(seeds.select(KEY, F.col("id"), F.lit(True).alias("seed")), [KEY, "id"], "left")
-    some = marked.join(seeds.select(KEY).distinct(), KEY, "left_semi").select(KEY, "id", "start_ms", "end_ms", "seed")
-
-    def step(rows: list) -> Iterable[tuple]:
-        n = len(rows)
-        for i in (k for k, r in enumerate(rows) if r.seed is True):
-            lo = hi = i
-            left = True
-            while rows[hi].end_ms - rows[lo].start_ms < least and (lo > 0 or hi < n - 1):
-                if (left and lo > 0) or hi == n - 1:
-                    lo -= 1
-                else:
-                    hi += 1
-                left = not left
-            yield rows[i].id, rows[lo].id, rows[hi].id
-
-    return fold(some, [KEY], "id", step, "seed bigint, lo bigint, hi bigint")
+    w = Window.partitionBy(KEY).orderBy("id")
+    s = sentences.join(seeds.select(KEY).distinct(), KEY, "left_semi").select(
+        KEY, "id", "start_ms", "end_ms", (F.row_number().over(w) - 1).cast("bigint").alias("pos"), F.count("*").over(Window.partitionBy(KEY)).alias("n")
+    )
+    s = cut(s)
+    todo = s.join(seeds.select(KEY, "id").distinct(), [KEY, "id"]).select(KEY, F.col("id").alias("seed"), F.col("pos").alias("at"), "n")
+    done = None
+    while True:
+        near = F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.least(F.col("at") + reach, F.col("n") - 1))
+        rows = todo.select("*", F.explode(near).alias("pos")).join(s.drop("n"), [KEY, "pos"])
+        around = F.array_sort(F.collect_list(F.struct("pos", "id", "start_ms", "end_ms"))).alias("around")
+        seen = rows.groupBy(KEY, "seed", "at", "n").agg(around)
+        left, right = F.col("at"), F.col("n") - 1 - F.col("at")
+
+        def window(k):
+            back = F.least(left, F.greatest(F.ceil(k / 2), k - right))
+            first = F.col("at") - F.get("around", F.lit(0))["pos"]  # the seed's own place in around
+            at = lambda i: F.get("around", i.cast("int"))
+            return at(first - back), at(first + k - back)
+
+        def enough(k):
+            lo, hi = window(k)
+            return (hi["end_ms"] - lo["start_ms"] >= least) | (k == F.col("n") - 1)
+
+        first_k = F.get(F.filter(F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(reach), F.col("n") - 1)), enough), F.lit(0))
+        seen = cut(seen.withColumn("k", first_k))
+        lo, hi = window(F.col("k"))
+        found = seen.where("k is not null").select(KEY, "seed", lo["id"].alias("lo"), hi["id"].alias("hi"))
+        done = found if done is None else done.unionByName(found)
+        todo = seen.where("k is null").select(KEY, "seed", "at", "n")
+        if todo.isEmpty():
+            return done
+        reach *= 4
 
 
 def split_cues(cues: DataFrame, max_ms: int = 6000, max_chars: int = 84, least: int = 1200) -> DataFrame:

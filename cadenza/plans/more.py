@@ -21,18 +21,60 @@ from cadenza.sources import views as V
 # Folds
 
 
-@query("gr1_build_units")
+#: Lines of a video in order, one at a time; every line joins the group of the one before it or begins its own.
+def folded(rows: str, begins: str, carried: str, adds: str) -> str:
+    return f"""WITH RECURSIVE s AS MATERIALIZED ({rows}), g AS (
+    SELECT video_id, k, k AS lead, start_ms AS since, {adds} AS held FROM s WHERE k = 1
+    UNION ALL SELECT s.video_id, s.k, CASE WHEN {begins} THEN s.k ELSE g.lead END, CASE WHEN {begins} THEN s.start_ms ELSE g.since END,
+      CASE WHEN {begins} THEN 0 ELSE g.held END + {adds.replace("text", "s.text")} FROM g JOIN s ON s.video_id = g.video_id AND s.k = g.k + 1
+  ) SELECT {carried} FROM g JOIN s USING (video_id, k) GROUP BY video_id, lead"""
+
+
+UNITS = folded(
+    """SELECT *, row_number() OVER w AS k, start_ms - lag(end_ms) OVER w > 1200 OR trim(text) = '' OR trim(lag(text) OVER w) = '' AS fresh
+  FROM f_sentences WINDOW w AS (PARTITION BY video_id ORDER BY id)""",
+    "(s.fresh OR s.end_ms - g.since > 20000 OR g.held + length(s.text) > 600)",
+    """video_id, min(id) AS lead, count(*) AS n, min_by(start_ms, k) AS start_ms, max_by(end_ms, k) AS end_ms, string_agg(text, ' ' ORDER BY k) AS text""",
+    "length(text) + 1",
+)
+PARAGRAPHS = folded(
+    """SELECT *, row_number() OVER w AS k, coalesce(start_ms - lag(end_ms) OVER w >= 1000, false) AS fresh
+  FROM f_sentences WHERE trim(text) <> '' WINDOW w AS (PARTITION BY video_id ORDER BY id)""",
+    "(s.fresh OR g.held >= 900)",
+    "video_id, min_by(start_ms, k) AS start_ms, string_agg(text, ' ' ORDER BY k) AS text",
+    "length(text) + 1",
+)
+CHUNKS = """SELECT video_id, chunk, s.ids[lo + 1] AS lo, s.ids[hi + 1] AS hi FROM (
+  WITH RECURSIVE v AS MATERIALIZED (SELECT video_id, count(*) AS n, list(pause ORDER BY id) AS pauses FROM (
+    SELECT video_id, id, greatest(coalesce(lead(start_ms) OVER (PARTITION BY video_id ORDER BY id), 0) - end_ms, 0) AS pause FROM f_sentences) GROUP BY video_id
+  ), ends AS (
+    SELECT *, CASE WHEN lo + 80 >= n THEN n - 1 ELSE lo + 67 + list_position(pauses[lo + 68:least(n - 1, lo + 92)], list_max(pauses[lo + 68:least(n - 1, lo + 92)])) - 1 END AS stop
+    FROM (SELECT *, unnest(range(n)) AS lo FROM v)
+  ), g AS (
+    SELECT video_id, 0::BIGINT AS chunk, lo, CASE WHEN n - 1 - stop < 40 THEN n - 1 ELSE stop END AS hi FROM ends WHERE lo = 0
+    UNION ALL SELECT g.video_id, chunk + 1, e.lo, CASE WHEN n - 1 - stop < 40 THEN n - 1 ELSE stop END FROM g JOIN ends e ON e.video_id = g.video_id AND e.lo = g.hi + 1
+  ) SELECT * FROM g) JOIN (SELECT video_id, list(id ORDER BY id) AS ids FROM f_sentences GROUP BY video_id) s USING (video_id)"""
+WINDOWS = """WITH RECURSIVE s AS MATERIALIZED (SELECT *, max(id) OVER (PARTITION BY video_id) AS top FROM f_sentences), g AS (
+    SELECT video_id, id AS seed, id AS lo, id AS hi, true AS goes_left, start_ms, end_ms, top FROM s WHERE (video_id * 7 + id * 13) % 23 = 0
+    UNION ALL SELECT g.video_id, seed, CASE WHEN g.l THEN lo - 1 ELSE lo END, CASE WHEN g.l THEN hi ELSE hi + 1 END, NOT goes_left,
+      CASE WHEN g.l THEN s.start_ms ELSE g.start_ms END, CASE WHEN g.l THEN g.end_ms ELSE s.end_ms END, g.top
+    FROM (SELECT *, (goes_left AND lo > 0) OR hi = top AS l FROM g WHERE end_ms - start_ms < 20000 AND (lo > 0 OR hi < top)) g
+    JOIN s ON s.video_id = g.video_id AND s.id = CASE WHEN g.l THEN lo - 1 ELSE hi + 1 END
+  ) SELECT video_id, seed, lo, hi FROM g WHERE end_ms - start_ms >= 20000 OR (lo = 0 AND hi = top)"""
+
+
+@query("gr1_build_units", f"SELECT * FROM ({UNITS})")
 def _(spark, d):
     u = G.build_units(V.sentences(spark, d))
     return u.select("video_id", "lead", F.size("ids").alias("n"), "start_ms", "end_ms", "text")
 
 
-@query("gr2_plan_chunks")
+@query("gr2_plan_chunks", CHUNKS)
 def _(spark, d):
     return G.plan_chunks(V.sentences(spark, d))
 
 
-@query("gr3_paragraphs")
+@query("gr3_paragraphs", f"SELECT * FROM ({PARAGRAPHS})")
 def _(spark, d):
     return G.paragraphs(V.sentences(spark, d))
 
@@ -48,7 +90,7 @@ def _(spark, d):
     return G.split_cues(V.sentences(spark, d))
 
 
-@query("iv12_widen")
+@query("iv12_widen", f"SELECT * FROM ({WINDOWS})")
 def _(spark, d):
     s = V.sentences(spark, d)
     return G.widen(s.where(V.mixed("video_id", "id", 23) == 0), s)
