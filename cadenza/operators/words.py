@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,10 +113,6 @@ def sentence_table(words: DataFrame) -> DataFrame:
     )
 
 
-def _too_long(w: list, lo: int, hi: int, max_ms: int = 15_000, max_chars: int = 240) -> bool:
-    return w[hi].end_ms - w[lo].start_ms > max_ms or sum(len(x.word) + 1 for x in w[lo : hi + 1]) > max_chars
-
-
 def overlong(words: DataFrame, max_ms: int = 15_000, max_chars: int = 240) -> DataFrame:
     """Sentences (video_id, sentence) that are over either limit."""
     per = assign_sentences(words).groupBy(KEY, "sentence").agg(
@@ -124,75 +121,94 @@ def overlong(words: DataFrame, max_ms: int = 15_000, max_chars: int = 240) -> Da
     return per.where((F.col("ms") > max_ms) | (F.col("chars") > max_chars))
 
 
-def _pieces(w: list, lo: int, hi: int) -> list[tuple[int, int]]:
-    """Spans into which an overlong sentence is cut: at a real pause, else a clause, else anywhere, nearest its middle."""
-    todo, done = [(lo, hi)], []
+#: A stretch of words as text: place of its first word, times, characters with a blank behind each word, text.
+Stretch = tuple[int, int, int, int, str]
+
+
+def _long(start_ms: int, end_ms: int, chars: int, max_ms: int = 15_000, max_chars: int = 240) -> bool:
+    return end_ms - start_ms > max_ms or chars > max_chars
+
+
+def _pieces(w: list) -> Iterable[Stretch]:
+    """Stretches into which an overlong sentence's words are cut: at a real pause, else a clause, else anywhere, nearest its
+    middle; no piece of up to three words is cut."""
+    upto = [0, *accumulate(len(x["word"]) + 1 for x in w)]
+    todo = [(0, len(w) - 1)]
     while todo:
         lo, hi = todo.pop()
-        if hi - lo < 3 or not _too_long(w, lo, hi):
-            done.append((lo, hi))
+        start, end, chars = w[lo]["start_ms"], w[hi]["end_ms"], upto[hi + 1] - upto[lo]
+        if hi - lo < 3 or not _long(start, end, chars):
+            yield w[lo]["seq"], start, end, chars, " ".join(x["word"] for x in w[lo : hi + 1])
             continue
-        middle = (w[lo].start_ms + w[hi].end_ms) / 2
+        middle = (start + end) / 2
         best = []
         for k in range(lo, hi):
-            pause = w[k].seg_end and w[k + 1].start_ms - w[k].end_ms >= 200
-            rank = 2 if not w[k].may_cut else 0 if pause else 1 if w[k].clause else 2
-            best.append((rank, not w[k].may_cut, abs(w[k].end_ms - middle), k))
+            pause = w[k]["seg_end"] and w[k + 1]["start_ms"] - w[k]["end_ms"] >= 200
+            rank = 2 if not w[k]["may_cut"] else 0 if pause else 1 if w[k]["clause"] else 2
+            best.append((rank, not w[k]["may_cut"], abs(w[k]["end_ms"] - middle), k))
         cut = min(best)[3]
         todo += [(cut + 1, hi), (lo, cut)]
-    return done
 
 
-def _merged(w: list, spans: list[tuple[int, int]], least: int = 15, gap: int = 600, total: int = 1500) -> list[tuple[int, int]]:
-    """Sentences under least characters joined with the nearer neighbour, within the limits on pauses and length."""
-    at = [[a, b, 0] for a, b in spans]  # first word, last word, pause taken in
+def _merged(pieces: list[Stretch], least: int = 15, gap: int = 600, total: int = 1500) -> list[Stretch]:
+    """Pieces under least characters joined with the nearer neighbour, within the limits on pauses and length."""
+    at = [[*p, 0] for p in pieces]  # the last field is the pause taken in
     i = 0
     while i < len(at):
-        a, b, own = at[i]
-        if sum(len(x.word) + 1 for x in w[a : b + 1]) - 1 >= least:
-            i += 1
-            continue
         options = []
-        for side, j in ((0, i - 1), (1, i)):
+        for side, j in ((0, i - 1), (1, i)) if at[i][3] - 1 < least else ():
             if 0 <= j and j + 1 < len(at):
                 left, right = at[j], at[j + 1]
-                pause = w[right[0]].start_ms - w[left[1]].end_ms
-                if pause <= gap and left[2] + pause + right[2] <= total and not _too_long(w, left[0], right[1]):
+                pause = right[1] - left[2]
+                if pause <= gap and left[5] + pause + right[5] <= total and not _long(left[1], right[2], left[3] + right[3]):
                     options.append((pause, side, j))
         if not options:
             i += 1
             continue
         pause, _, j = min(options)
-        at[j] = [at[j][0], at[j + 1][1], at[j][2] + pause + at[j + 1][2]]
-        del at[j + 1]
+        (seq, start, _, n, text, own), (_, _, end, m, more, its) = at[j : j + 2]
+        at[j : j + 2] = [[seq, start, end, n + m, f"{text} {more}", own + pause + its]]
         i = j
-    return [(a, b) for a, b, _ in at]
+    return [tuple(x[:5]) for x in at]
 
 
 def resegment(words: DataFrame) -> DataFrame:
     """(video_id, id, text, start_ms, end_ms): sentences, overlong ones cut and very short ones merged; ids from 0.
 
-    Sentences further apart than any merge may reach are independent, so the fold runs on islands between long pauses, each
-    a group of its own, and ids are counted afterwards.
+    Sentences further apart than any merge may reach are independent, so the fold runs over the sentences of islands between
+    long pauses, each a group of its own; only overlong sentences bring their words along. Ids are counted afterwards.
     """
     w = assign_sentences(words).withColumns(
         {
             "may_cut": T.may_cut_after(F.col("word"), F.lead("word").over(in_order())),
             "clause": F.regexp_like(T.core(F.col("word")), F.lit("[,;:]$"))
             | F.coalesce(T.bare(F.lead("word").over(in_order())).isin(T.CLAUSE_OPENERS), F.lit(False)),
-            "new": F.coalesce(F.col("sentence") != F.lag("sentence").over(in_order()), F.lit(True)),
-            "pause": F.coalesce(F.col("start_ms") - F.lag("end_ms").over(in_order()), F.lit(0)),
         }
     )
-    w = islands(w, F.col("new") & (F.col("pause") > 600), ["seq"])
-
-    def step(w: list) -> Iterable[tuple]:
-        bounds = [i for i, r in enumerate(w) if not i or r.sentence != w[i - 1].sentence] + [len(w)]
-        cut = [p for a, b in zip(bounds, bounds[1:], strict=False) for p in _pieces(w, a, b - 1)]
-        for a, b in _merged(w, cut):
-            yield w[a].seq, " ".join(x.word for x in w[a : b + 1]), w[a].start_ms, w[b].end_ms
-
-    out = fold(w, [KEY, "island"], "seq", step, "seq bigint, text string, start_ms bigint, end_ms bigint")
+    fields = ("seq", "word", "start_ms", "end_ms", "seg_end", "may_cut", "clause")
+    s = w.groupBy(KEY, "sentence").agg(
+        F.min("seq").alias("seq"), F.min_by("start_ms", "seq").alias("start_ms"), F.max_by("end_ms", "seq").alias("end_ms"),
+        F.sum(F.char_length("word") + 1).alias("chars"), F.array_sort(F.collect_list(F.struct(*fields))).alias("words"),
+    )
+    long = (F.col("end_ms") - F.col("start_ms") > 15_000) | (F.col("chars") > 240)
+    text = F.array_join(F.transform("words", lambda x: x["word"]), " ")
+    s = s.select(
+        KEY, "sentence", "seq", "start_ms", "end_ms", "chars", F.when(~long, text).alias("text"), F.when(long, F.col("words")).alias("words"),
+        F.coalesce(F.col("start_ms") - F.lag("end_ms").over(Window.partitionBy(KEY).orderBy("sentence")), F.lit(0)).alias("pause"),
+    )
+    s = islands(s, F.col("pause") > 600, ["sentence"])
+
+    def step(rows: list) -> Iterable[tuple]:
+        pieces: list[Stretch] = []
+        for r in rows:
+            if r.words is None:
+                pieces.append((r.seq, r.start_ms, r.end_ms, r.chars, r.text))
+            else:
+                pieces += _pieces(list(r.words))
+        for seq, start, end, _, text in _merged(pieces):
+            yield seq, text, start, end
+
+    out = fold(s, [KEY, "island"], "sentence", step, "seq bigint, text string, start_ms bigint, end_ms bigint")
     return out.withColumn("id", F.row_number().over(in_order()).cast("bigint") - 1).drop("seq", "island")
 
 
