@@ -119,6 +119,42 @@ def _(spark, d):
     return numbered(spark.read.parquet(path)).select("video_id", "id", "text")
 
 
+def run_to_end(told: DataFrame, root: str) -> DataFrame:
+    """What a stream writes until all that is there has been read."""
+    write = told.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/offsets").option("path", f"{root}/out")
+    stream = write.trigger(availableNow=True).start()
+    try:
+        stream.awaitTermination()
+    finally:
+        stream.stop()
+    return told.sparkSession.read.schema(told.schema).parquet(f"{root}/out")
+
+
+@query("ss1_gate", """SELECT video_id, 'ready' AS state, count(DISTINCT id) AS n_ids, 0 AS n_missing FROM f_sentences s
+  WHERE NOT EXISTS (SELECT * FROM f_sentences t WHERE t.video_id = s.video_id AND t.id % 7 <> 3 AND t.video_id % 3 = 0 AND t.id % 5 = 4) GROUP BY video_id""")
+def _(spark, d):
+    """Wanted ids and drafts arrive as files, read one at a time; a third of the videos never get some of their drafts."""
+    root, s = place(spark), V.sentences(spark, d)
+    want = s.select("video_id", F.lit("want").alias("kind"), "id")
+    end = s.select("video_id").distinct().select("video_id", F.lit("want").alias("kind"), F.lit(None).cast("bigint").alias("id"))
+    have = s.where("not (video_id % 3 = 0 and id % 5 = 4 and id % 7 <> 3)").select("video_id", F.lit("have").alias("kind"), "id")
+    half = F.pmod(F.xxhash64("video_id", "id"), F.lit(2))
+    for part in (have.where(half == 0), want, have.where(half == 1).unionByName(end)):
+        part.write.mode("append").parquet(f"{root}/in")
+    store, idle = arrivals.STORE[0], "spark.sql.streaming.noDataMicroBatches.enabled"
+    was = {k: spark.conf.get(k, None) for k in (store, idle)}
+    spark.conf.set(*arrivals.STORE)
+    spark.conf.set(idle, "false")  # with timers there would be a next batch for ever
+    try:
+        files = max(1, len(spark.read.parquet(f"{root}/in").inputFiles()) // 3)
+        stream = spark.readStream.schema(want.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
+        told = run_to_end(arrivals.completeness_gate(stream), root)
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return told.select("video_id", "state", "n_ids", F.size("missing").alias("n_missing"))
+
+
 @query("ss2_upsert_batches", """SELECT video_id, id, CASE WHEN id % 2 = 0 THEN 'b' || (CASE WHEN id % 3 = 0 THEN 3 ELSE 2 END) ELSE 'a' END AS status, text FROM f_sentences""")
 def _(spark, d):
     """Two batches through the upsert: all rows, then for some a status of their own, set twice for some of these."""

@@ -7,49 +7,87 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from cadenza.operators.integrity import upsert_segments
 from cadenza.operators.intervals import KEY
 
 
-def completeness_gate(arrivals: DataFrame, deadline_ms: int = 600_000) -> DataFrame:
-    """(video_id, state, n_ids, missing): ready once all ids of a video are there, pending with the missing ones at the deadline.
+#: Ids that share an entry of the gate's state.
+SPAN = 63
 
-    arrivals: video_id, kind (want for the sentences, have for the draft), id. A part of the ids is never ready, an end of the
-    wanted ids is marked by a row want with id null. State goes as soon as a video is told.
+
+class _Gate(StatefulProcessor):
+    """State of a video: for every SPAN ids one entry with a bit for each that is wanted and each that is there, and counts.
+
+    A batch touches only the entries of its ids. The timer is set anew whenever something arrives.
     """
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        want, have, closed = state.get if state.exists else ([], [], False)
-        want, have = set(want), set(have)
-        if not state.hasTimedOut:
-            for b in batches:
-                w = b[b["kind"] == "want"]["id"]
-                closed = closed or bool(w.isna().any())
-                want |= set(map(int, w.dropna()))
-                have |= set(map(int, b[b["kind"] == "have"]["id"].dropna()))
-        lack = sorted(want - have)
-        if closed and want and not lack:
-            state.remove()
-            yield pd.DataFrame([(key[0], "ready", len(want), [])], columns=[KEY, "state", "n_ids", "missing"])
-        elif state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame([(key[0], "pending", len(want), lack)], columns=[KEY, "state", "n_ids", "missing"])
+    def __init__(self, deadline_ms: int) -> None:
+        self.deadline_ms = deadline_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.ids = handle.getMapState("ids", "part bigint", "want bigint, have bigint")
+        self.counts = handle.getValueState("counts", "want bigint, met bigint, closed boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        n_want, n_met, closed = self.counts.get() if self.counts.exists() else (0, 0, False)
+        new: dict[int, list[int]] = {}
+        for b in rows:
+            closed = closed or bool(((b["kind"] == "want") & b["id"].isna()).any())
+            for side, kind in enumerate(("want", "have")):
+                for i in b.loc[b["kind"] == kind, "id"].dropna().astype("int64").unique().tolist():
+                    new.setdefault(i // SPAN, [0, 0])[side] |= 1 << i % SPAN
+        for part, (want, have) in new.items():
+            old_want, old_have = self.ids.getValue((part,)) if self.ids.containsKey((part,)) else (0, 0)
+            want, have = want | old_want, have | old_have
+            n_want += want.bit_count() - old_want.bit_count()
+            n_met += (want & have).bit_count() - (old_want & old_have).bit_count()
+            self.ids.updateValue((part,), (want, have))
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        if closed and n_want and n_met == n_want:
+            yield self._told(key, "ready", n_want, [])
         else:
-            state.update((sorted(want), sorted(have), closed))
-            state.setTimeoutDuration(deadline_ms)
+            self.counts.update((n_want, n_met, closed))
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.deadline_ms)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        lack = [
+            part * SPAN + bit
+            for (part,), (want, have) in self.ids.iterator()
+            for bit in range(SPAN)
+            if (want & ~have) >> bit & 1
+        ]
+        yield self._told(key, "pending", self.counts.get()[0] if self.counts.exists() else 0, sorted(lack))
+
+    def _told(self, key: tuple, state: str, n: int, missing: list[int]) -> pd.DataFrame:
+        self.ids.clear()
+        self.counts.clear()
+        return pd.DataFrame([(key[0], state, n, missing)], columns=[KEY, "state", "n_ids", "missing"])
+
+    def close(self) -> None:
+        pass
 
+
+def completeness_gate(arrivals: DataFrame, deadline_ms: int = 600_000) -> DataFrame:
+    """(video_id, state, n_ids, missing): ready once all ids of a video are there, pending with the missing ones at the deadline.
+
+    arrivals: video_id, kind (want for the sentences, have for the draft), id. A part of the ids is never ready, an end of the
+    wanted ids is marked by a row want with id null. The deadline counts from a video's last arrival. State goes as soon as
+    a video is told; rows that arrive later begin anew. The session's state store must be RocksDB's (STORE).
+    """
     kind = arrivals.schema[KEY].dataType.simpleString()
-    return arrivals.groupBy(KEY).applyInPandasWithState(
-        step,
-        f"{KEY} {kind}, state string, n_ids bigint, missing array<bigint>",
-        "want array<bigint>, have array<bigint>, closed boolean",
-        "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+    return arrivals.groupBy(KEY).transformWithStateInPandas(
+        _Gate(deadline_ms), f"{KEY} {kind}, state string, n_ids bigint, missing array<bigint>", "Append", "ProcessingTime"
     )
 
 
+#: The setting, and its value, that the gate's kind of state needs.
+STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def upsert_into(path: str, stamp: str = "at") -> Callable[[DataFrame, int], None]:
     """For foreachBatch: each micro-batch's fields over the table at path, in a new version folder, so that a reader or a failure
     between two batches finds a whole table; a batch that is run again writes the same folder again. Of several values of a field

@@ -56,28 +56,43 @@ def test_table_replaces_only_its_videos(spark, tmp_path):
 
 def test_gate_waits_for_all_ids(spark, tmp_path):
     schema = "video_id string, kind string, id bigint"
+    deadline = [10**9]
 
-    def arrive(name, rows):
+    def arrive(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
 
-    arrive("1", [("a", "want", 0), ("a", "want", 1), ("a", "want", None), ("a", "have", 0), ("b", "want", 0)])
     def run():
+        """A new query that goes on from where the last one stopped."""
         stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
-        told = arrivals.completeness_gate(stream).writeStream.format("parquet").outputMode("append")
+        told = arrivals.completeness_gate(stream, deadline[0]).writeStream.format("parquet").outputMode("append")
         told = told.option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out"))
         q = told.trigger(availableNow=True).start()
         done = q.awaitTermination(90)
         q.stop()
         assert done
         files = list((tmp_path / "out").glob("*.parquet"))
-        return [(r["video_id"], r["state"], r["n_ids"]) for f in files for r in spark.read.parquet(str(f)).collect()]
+        return sorted((r["video_id"], r["state"], r["n_ids"], r["missing"]) for f in files for r in spark.read.parquet(str(f)).collect())
 
-    # a stream with timeouts has a next batch for ever; here it ends with its data
+    spark.conf.set(*arrivals.STORE)
+    # a stream with timers has a next batch for ever; here it ends with its data
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    assert run() == []
-    arrive("2", [("a", "have", 1)])
-    assert run() == [("a", "ready", 2)]
-    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    try:
+        far = 10**12
+        arrive([("a", "want", 0), ("a", "want", far), ("a", "want", None), ("a", "have", 0), ("b", "want", 0), ("c", "have", -5)])
+        assert run() == []
+        arrive([("a", "have", far), ("a", "have", 7), ("b", "have", 0), ("c", "want", -5)])
+        ready = [("a", "ready", 2, [])]
+        assert run() == ready  # b and c have all they want, but more may be wanted
+        deadline[0] = 1
+        arrive([("b", "want", 200), ("b", "want", 200), ("b", "want", 64), ("c", "want", None)])
+        ready.append(("c", "ready", 1, []))
+        assert run() == ready
+        arrive([("d", "want", None), ("a", "have", 1)])
+        ready.insert(1, ("b", "pending", 3, [64, 200]))
+        assert run() == ready
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+        spark.conf.unset(arrivals.STORE[0])
 
 
 def test_upsert_stream(spark, tmp_path):
