@@ -167,4 +167,4 @@ def _(spark, d):
     write = arrivals.upsert_into(path)
     write(first, 0)
     write(third.unionByName(second).unionByName(empty), 1)
-    return spark.read.parquet(f"{path}/v1").select("video_id", "id", "status", "text")
+    return arrivals.snapshot(spark, path).select("video_id", "id", "status", "text")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
@@ -88,24 +89,67 @@ def completeness_gate(arrivals: DataFrame, deadline_ms: int = 600_000) -> DataFr
 STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def upsert_into(path: str, stamp: str = "at") -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: each micro-batch's fields over the table at path, in a new version folder, so that a reader or a failure
-    between two batches finds a whole table; a batch that is run again writes the same folder again. Of several values of a field
-    in one batch the one with the greatest stamp stays, the greatest one among equals or where the batch has no stamp column.
+#: Parts of an upserted table; a batch rewrites those that it touches.
+BUCKETS = 256
+
+
+def _commits(spark: SparkSession, path: str, before: int | None) -> dict[int, int]:
+    """For each bucket the version that holds it, by the last whole manifest, of those before a version if one is given.
+
+    A manifest has a row for each bucket, with the number of all; one with fewer was torn and does not count.
+    """
+    try:
+        rows = spark.read.schema("bucket int, held int, n int, version int").json(f"{path}/commits")
+    except AnalysisException:  # nothing is there yet
+        return {}
+    if before is not None:
+        rows = rows.where(F.col("version") < before)
+    whole = rows.groupBy("version").agg(F.countDistinct("bucket").alias("k"), F.max("n").alias("n")).where("k = n")
+    last = whole.agg(F.max("version")).first()[0]
+    if last is None:
+        return {}
+    return {r["bucket"]: r["held"] for r in rows.where(F.col("version") == last).select("bucket", "held").distinct().collect()}
+
+
+def _held(spark: SparkSession, path: str, versions: dict[int, int]) -> DataFrame | None:
+    """Rows of buckets in the versions that hold them."""
+    folders = [f"{path}/data/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+    return spark.read.option("mergeSchema", "true").parquet(*folders) if folders else None
+
+
+def snapshot(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The table as of its last commit, or of the last one before a version; None where there is none."""
+    return _held(spark, path, _commits(spark, path, before))
+
+
+def upsert_into(path: str, stamp: str = "at", buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: each micro-batch's fields over the table at path, which snapshot reads.
+
+    Rows are dealt to buckets by their video. A batch reads and writes the buckets of its own videos, as a new version of
+    them; a manifest of at most buckets rows, written last and at once, says which version holds which bucket. So a
+    reader, or a failure between the two, finds the last whole table, and a batch that is run again writes its own version
+    again over the state before it. Of several values of a field in one batch the one with the greatest stamp stays, the
+    greatest one among equals or where the batch has no stamp column.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        last = f"{path}/v{epoch - 1}"
         fields = [c for c in batch.columns if c not in (KEY, "id", stamp)]
         age = F.col(stamp) if stamp in batch.columns else F.lit(0)
         newest = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct(age.alias("age"), F.col(c).alias("value"))))["value"]
         patch = batch.groupBy(KEY, "id").agg(*(newest(c).alias(c) for c in fields))
-        if epoch:
-            base = spark.read.parquet(last)
-            live = base.select(KEY, "id").union(patch.select(KEY, "id"))
-            patch = upsert_segments(base, patch, live)
-        patch.write.mode("overwrite").parquet(f"{path}/v{epoch}")
+        bucket = F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int").alias("bucket")
+        touched = {r["bucket"] for r in batch.select(bucket).distinct().collect()}  # at most buckets
+        now = _commits(spark, path, epoch)
+        base = _held(spark, path, {b: v for b, v in now.items() if b in touched})
+        if base is not None:
+            patch = upsert_segments(base, patch, base.select(KEY, "id").union(patch.select(KEY, "id")))
+        rows = patch.withColumn("bucket", bucket).repartition("bucket", F.pmod(F.xxhash64(KEY, "id"), F.lit(8)))
+        if touched:
+            rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={epoch}")
+        held = now | dict.fromkeys(touched, epoch)
+        manifest = spark.createDataFrame([(b, v, len(held), epoch) for b, v in held.items()], "bucket int, held int, n int, version int")
+        manifest.coalesce(1).write.mode("overwrite").json(f"{path}/commits/of={epoch}")
 
     return write
 

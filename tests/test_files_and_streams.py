@@ -95,14 +95,56 @@ def test_gate_waits_for_all_ids(spark, tmp_path):
         spark.conf.unset(arrivals.STORE[0])
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.select("video_id", "id", "a", "b").collect()))
+
+
 def test_upsert_stream(spark, tmp_path):
-    write = arrivals.upsert_into(str(tmp_path / "t"))
+    path = str(tmp_path / "t")
+    write = arrivals.upsert_into(path)
+    assert arrivals.snapshot(spark, path) is None
     schema = "video_id string, id bigint, a string, b string"
     write(spark.createDataFrame([("v", 0, "x", None), ("v", 1, "y", None)], schema), 0)
     patch = spark.createDataFrame([("v", 0, "z")], "video_id string, id bigint, b string")
     write(patch, 1)
     write(patch, 1)
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t/v1")).collect())) == [("v", 0, "x", "z"), ("v", 1, "y", None)]
+    want = [("v", 0, "x", "z"), ("v", 1, "y", None)]
+    assert rows_of(arrivals.snapshot(spark, path)) == want
+    write(patch.limit(0), 2)
+    assert rows_of(arrivals.snapshot(spark, path)) == want
+
+
+def test_upsert_writes_what_the_batch_touches(spark, tmp_path):
+    path = tmp_path / "t"
+    write = arrivals.upsert_into(str(path), buckets=64)
+    schema = "video_id string, id bigint, a string, b string"
+    write(spark.createDataFrame([(f"v{k}", i, f"text {k} {i}", None) for k in range(300) for i in range(20)], schema), 0)
+    size = lambda v: sum(f.stat().st_size for f in (path / f"data/version={v}").rglob("*.parquet"))
+    write(spark.createDataFrame([("v7", 3, "new")], "video_id string, id bigint, b string"), 1)
+    assert len(list((path / "data/version=1").glob("bucket=*"))) == 1 and size(1) < size(0) / 20
+    got = arrivals.snapshot(spark, str(path))
+    assert got.count() == 6000 and rows_of(got.where("b is not null")) == [("v7", 3, "text 7 3", "new")]
+
+
+def test_upsert_survives_a_failed_commit_and_a_replay(spark, tmp_path):
+    path = tmp_path / "t"
+    write = arrivals.upsert_into(str(path), buckets=2)
+    schema = "video_id string, id bigint, a string, b string"
+    write(spark.createDataFrame([(f"v{k}", 0, "old", None) for k in range(8)], schema), 0)
+    before = rows_of(arrivals.snapshot(spark, str(path)))
+    patch = spark.createDataFrame([("v1", 0, "new"), ("v9", 1, "b")], "video_id string, id bigint, b string")
+    write(patch, 1)
+    after = rows_of(arrivals.snapshot(spark, str(path)))
+    for f in (path / "commits/of=1").iterdir():
+        f.unlink()  # the data of the batch stand, its manifest does not
+    assert rows_of(arrivals.snapshot(spark, str(path))) == before
+    put(path / "commits/of=1/part.json", '{"bucket": 0, "held": 1, "n": 2, "version": 1}\n{"buck')  # a torn one
+    assert rows_of(arrivals.snapshot(spark, str(path))) == before
+    write(patch, 1)
+    assert rows_of(arrivals.snapshot(spark, str(path))) == after and ("v1", 0, "old", "new") in after
+    write(spark.createDataFrame([("v1", 0, "newer")], "video_id string, id bigint, a string"), 2)
+    write(patch, 1)  # a batch of the past does not undo later ones
+    assert ("v1", 0, "newer", "new") in rows_of(arrivals.snapshot(spark, str(path)))
 
 
 def test_runs_stream_drops_repeats(spark, tmp_path):
