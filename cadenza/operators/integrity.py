@@ -199,6 +199,26 @@ def collect_entries(queue: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
+def queue_entries(
+    queue: DataFrame, inventory: DataFrame, rollup: DataFrame, scout: DataFrame, summary: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Entries of a queue view and what it skips.
+
+    Entries (video_id, queued, place, kind, rollup, scout, summary): queue rows in their order, none dropped, then other
+    directories by id, numbered on from the queue's last. The last three are the video's row there as a struct, or null.
+    Other directories without sentences or a report, kinds missing and fetched, are skipped (video_id, kind). The lists have
+    as many rows as a batch has videos, and one order.
+    """
+    both = collect_entries(queue, inventory)
+    wanted = F.col("queued") | ~F.col("kind").isin("missing", "fetched")
+    place = F.row_number().over(Window.orderBy(F.col("queued").desc(), "pos", "video_id"))
+    out = both.where(wanted).withColumn("place", place.cast("bigint")).select("video_id", "queued", "place", "kind")
+    for name, more in (("rollup", rollup), ("scout", scout), ("summary", summary)):
+        row = F.struct(*(more[c] for c in more.columns if c != "video_id")).alias(name)
+        out = out.join(more.select("video_id", row), "video_id", "left")
+    return out, both.where(~wanted).select("video_id", "kind")
+
+
 def directory_kind(inventory: DataFrame) -> DataFrame:
     """run with a report, pending with a translation or video and sentences, scout with sentences, fetched with a video only."""
     has = lambda a: F.bool_or(F.col("artifact") == a)

@@ -258,3 +258,17 @@ def detect_lang(sentences: DataFrame, high: float = 0.70, low: float = 0.05) ->
     s = sentences.groupBy(KEY).agg(F.sum(c).alias("cyrillic"), F.sum(n).alias("letters"))
     lang = F.when(F.col("letters") == 0, None).when(F.col("cyrillic") >= high * F.col("letters"), "ru")
     return s.withColumn("lang", lang.when(F.col("cyrillic") <= low * F.col("letters"), "en"))
+
+
+def full_rollup(parts: dict[str, DataFrame]) -> DataFrame:
+    """One row for each video of any part, with a struct of each part's columns under its name, null where it has no row.
+
+    The parts, such as run_rollup, run_timing, source_rollup, unit_counters, placement_stats, audit_counts and
+    floor_run_ratio, have one row a video each. They are stacked and gathered by one aggregation instead of a chain of joins. A figure of 0
+    stays apart from an unknown one.
+    """
+    stacked = None
+    for name, part in parts.items():
+        row = part.select(KEY, F.struct(*(part[c] for c in part.columns if c != KEY)).alias(name))
+        stacked = row if stacked is None else stacked.unionByName(row, allowMissingColumns=True)
+    return stacked.groupBy(KEY).agg(*(F.first(name, ignorenulls=True).alias(name) for name in parts))

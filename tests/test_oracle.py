@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from cadenza.plans import files, further, more, registry  # noqa: F401
+from cadenza.plans import files, further, later, more, registry  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
