@@ -76,6 +76,8 @@ GROUP BY video_id, g""",
 
 def query(name: str, sql: str | None = None):
     def add(f: Callable[[SparkSession, str], DataFrame]):
+        if name in QUERIES:
+            raise ValueError(f"two queries are called {name}")
         QUERIES[name] = f
         if sql:
             SQL[name] = with_views(sql, **STEPS)
@@ -631,7 +633,7 @@ def _(spark, d):
     return A.run_timing(V.stage_wall(spark, d), last)
 
 
-@query("st4_stage_coverage", """SELECT video_id, count(*) FILTER (work_ms IS NULL) AS unmeasured, 0::BIGINT AS unknown, bool_and(work_ms IS NOT NULL) AS complete FROM f_stage_wall GROUP BY 1""")
+@query("st4_measured_stages", """SELECT video_id, count(*) FILTER (work_ms IS NULL) AS unmeasured, 0::BIGINT AS unknown, bool_and(work_ms IS NOT NULL) AS complete FROM f_stage_wall GROUP BY 1""")
 def _(spark, d):
     s = V.stage_wall(spark, d)
     return A.stage_coverage(s, s.where("work_ms is not null"))
