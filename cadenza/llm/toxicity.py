@@ -380,21 +380,25 @@ class Scorer:
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(place, doc_id, text, toxic): a hash sample of at most TOXIC and CLEAN labelled documents that have a text.
 
-    Documents of up to CHARS characters come first; where they do not fill the sample, CHARS characters of longer ones do,
-    from a hashed place on.
+    They have up to CHARS characters, as a part of a longer one need not show what its label says; only where a label has no
+    such document, CHARS characters of longer ones are taken, from a hashed place on.
     """
     size = F.length("text")
     usable = docs.select("doc_id", size.alias("size")).where("size > 0").join(labels.select("doc_id", "toxic"), "doc_id")
     chosen = None
     for label, most in ((1, TOXIC), (0, CLEAN)):
-        some = usable.where(F.col("toxic") == label).select("doc_id", "toxic").orderBy(F.col("size") > CHARS, F.xxhash64("doc_id"), "doc_id", "size")
-        chosen = some.limit(most) if chosen is None else chosen.unionByName(some.limit(most))
+        some = usable.where(F.col("toxic") == label)
+        short = some.where(F.col("size") <= CHARS)
+        some = (some if short.isEmpty() else short).select("doc_id", "toxic", (F.col("size") <= CHARS).alias("short"))
+        some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        chosen = some if chosen is None else chosen.unionByName(some)
     place = F.xxhash64("doc_id")
     start = F.pmod(place, F.greatest(size - CHARS + 1, F.lit(1))).cast("int") + 1
     return (
         docs.select("doc_id", "text")
         .where(size > 0)
         .join(F.broadcast(chosen.distinct()), "doc_id")
+        .where((size <= CHARS) | ~F.col("short"))
         .select(place.alias("place"), "doc_id", F.col("text").substr(start, F.lit(CHARS)).alias("text"), "toxic")
         .orderBy("place", "doc_id", "text")
         .limit(TOXIC + CLEAN)
