@@ -11,6 +11,7 @@ from cadenza.operators import rollup as A
 from cadenza.operators import similarity as S
 from cadenza.operators import spoken as P
 from cadenza.operators import words as W
+from cadenza.operators.ranks import exact_percentiles
 from cadenza.plans import files, further, more, registry  # noqa: F401  their SQL is built upon
 from cadenza.plans.files import numbered, place
 from cadenza.plans.registry import SQL, query
@@ -158,6 +159,15 @@ def _(spark, d):
 # Roll-ups and entries
 
 
+@query("ag2_large_groups", """SELECT l_returnflag, floor(quantile_cont(v, 0.25) + 0.01)::BIGINT AS p25, floor(quantile_cont(v, 0.5) + 0.01)::BIGINT AS p50, floor(quantile_cont(v, 0.95) + 0.01)::BIGINT AS p95
+FROM (SELECT l_returnflag, round(l_extendedprice * 100)::BIGINT AS v FROM lineitem) GROUP BY 1""")
+def _(spark, d):
+    """Three groups hold all lines: their ranks are searched for."""
+    lines = V.table(spark, d, "lineitem").select("l_returnflag", F.round(F.col("l_extendedprice") * 100).alias("v"))
+    found = exact_percentiles(lines, ["l_returnflag"], "v", {"p25": 0.25, "p50": 0.5, "p95": 0.95}, large=1000)
+    return found.select("l_returnflag", *(A.whole(F.col(p)).alias(p) for p in ("p25", "p50", "p95")))
+
+
 @query("ag11_full_rollup", f"""SELECT video_id, r.n_rows, r.n_units, r.flags_total, r.flags_actionable, t.wall_ms, t.work_ms, u.flagged, u.retried, u.repaired, p.fill_median, p.slot_silence,
   f.n_words::BIGINT AS n_words, f.n_floor::BIGINT AS n_floor, s.scanned
 FROM ({SQL["ag11_run_rollup"]}) r FULL JOIN ({SQL["ag11_run_timing"]}) t USING (video_id) FULL JOIN ({SQL["ag19_unit_counters"]}) u USING (video_id)
