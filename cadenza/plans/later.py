@@ -115,6 +115,41 @@ def _(spark, d):
     )
 
 
+LATIN = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+CYRILLIC = "абвгдежзийклмнопрстуфхцчшщАБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩ"
+#: Made translations, one of six kinds by id: none, untranslated, half translated, far too long, a refusal, a good one.
+MADE = f"""SELECT video_id, id, text, kind, low, regexp_matches(text, '[A-Za-z]') AS latin FROM (SELECT *, id % 6 AS kind,
+  length(regexp_replace(text, '[^a-z]', '', 'g')) AS low FROM f_sentences)"""
+REASON = """CASE WHEN kind = 0 THEN 'empty' WHEN kind = 1 THEN 'no_cyrillic' WHEN kind = 2 THEN CASE WHEN low / (low + 2) > 0.3 THEN 'english_echo' WHEN low + 3 > 3 * length(text) THEN 'runaway' END
+  WHEN kind = 4 THEN CASE WHEN 39 > 3 * length(text) THEN 'runaway' ELSE 'refusal' END WHEN NOT latin THEN 'no_cyrillic' WHEN kind = 3 THEN 'runaway' END"""
+REFUSED = "Извините, я не могу перевести это, нет."
+
+
+def made_translations(spark: SparkSession, d: str) -> DataFrame:
+    kind, said = F.col("id") % 6, F.translate("text", LATIN, CYRILLIC)
+    echo = F.concat(F.lit("да "), F.regexp_replace("text", "[^a-z]", ""))
+    ru = (
+        F.when(kind == 0, " ").when(kind == 1, F.regexp_replace("text", "[А-Яа-яЁё]", "")).when(kind == 2, echo).when(kind == 3, F.repeat(said, 4))
+        .when(kind == 4, REFUSED).otherwise(said)
+    )
+    return V.sentences(spark, d).withColumn("text_ru", ru)
+
+
+@query("fn7_gate_reasons", f"SELECT video_id, id, {REASON} AS reason FROM ({MADE})")
+def _(spark, d):
+    return made_translations(spark, d).select("video_id", "id", T.translation_gate(F.col("text_ru"), F.col("text")).alias("reason"))
+
+
+@query("jn1_made_translation", f"""SELECT video_id, id, CASE WHEN id % 7 = 0 THEN 'pending' WHEN reason IS NULL THEN 'ok' ELSE 'failed' END AS status, CASE WHEN id % 7 <> 0 THEN reason END AS flag,
+  CASE WHEN id % 7 <> 0 AND reason IS NULL AND kind = 5 THEN translate(text, '{LATIN}', '{CYRILLIC}') END AS good FROM (SELECT *, {REASON} AS reason FROM ({MADE}))""")
+def _(spark, d):
+    """Every seventh sentence has no draft row."""
+    made = made_translations(spark, d)
+    out = J.build_translation(made.drop("text_ru"), made.where("id % 7 <> 0").select("video_id", "id", "text_ru"))
+    good = F.when((F.col("status") == "ok") & (F.col("id") % 6 == 5), F.col("text_ru"))
+    return out.select("video_id", "id", "status", "flag", good.alias("good"))
+
+
 @query("fn18_detect_lang", """SELECT video_id, CASE WHEN n > 0 AND 10 * c >= 7 * n THEN 'ru' WHEN n > 0 AND 20 * c <= n THEN 'en' END AS lang FROM (
   SELECT video_id, sum(len(regexp_extract_all(t, '\\p{L}'))) AS n, sum(len(regexp_extract_all(t, '\\p{Cyrillic}'))) AS c FROM (
     SELECT video_id, CASE WHEN video_id % 3 = 0 OR (video_id % 3 = 1 AND id % 2 = 0) THEN translate(text, 'abcdefghijklmnopqrstuvwxyz', 'абвгдежзийклмнопрстуфхцчшщ') ELSE text END AS t
