@@ -11,42 +11,31 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.integrity import read_queue_lines, require_contiguous
 from cadenza.operators.intervals import KEY
+from cadenza.sources.artifacts import artifacts, typed_rows
 
 WORDS = "text string, start double, end double, seg_end boolean"
 SENTENCES = "id bigint, text string, start double, end double"
 RUNS = "run_id string, started timestamp, finished timestamp, elapsed_s double, n int, ids array<string>, config_key string"
 
 
-def folder() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"(?:video_id=)?([^/]+)/[^/]+$", 1)
-
-
 def ms(c: str) -> Column:
     return F.round(F.col(c) * 1000).cast("bigint")
 
 
 def read_artifact(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """Rows of root/*/name, a JSON list or object, with video_id and _corrupt (the text of a torn file)."""
-    reader = spark.read.option("multiLine", True).option("mode", "PERMISSIVE").option("ignoreMissingFiles", True)
-    reader = reader.option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).option("pathGlobFilter", name)
-    return reader.schema(f"{schema}, _corrupt string").json(root).withColumn(KEY, folder())
+    """Rows of root/*/name, a JSON list or object: video_id, file, modified, bytes, seq, the fields of schema, _rejects, _corrupt.
+
+    _corrupt is the text of a torn file, which is one row; _rejects names the fields that cannot be read as their types. A filter
+    on video_id reads only the folders of those videos.
+    """
+    return typed_rows(artifacts(spark, root, name), schema)
 
 
 def read_words(spark: SparkSession, root: str, name: str = "words.json") -> DataFrame:
     """video_id, seq, word, start_ms, end_ms, seg_end (false where absent), in the file's order."""
-    whole = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
-        .select(folder().alias(KEY), F.from_json("value", f"array<struct<{_struct(WORDS)}>>").alias("w"))
-    )
-    each = whole.select(KEY, F.posexplode("w").alias("seq", "x"))
-    return each.select(
-        KEY, F.col("seq").cast("bigint").alias("seq"), F.col("x.text").alias("word"), ms("x.start").alias("start_ms"), ms("x.end").alias("end_ms"),
-        F.coalesce("x.seg_end", F.lit(False)).alias("seg_end"),
-    )
-
-
-def _struct(ddl: str) -> str:
-    return ", ".join(f"{c.split()[0]}: {c.split()[1]}" for c in ddl.split(", "))
+    return read_artifact(spark, root, name, WORDS).where("_corrupt is null").select(
+        KEY, "seq", F.col("text").alias("word"), ms("start").alias("start_ms"), ms("end").alias("end_ms"), F.coalesce("seg_end", F.lit(False)).alias("seg_end")
+    )
 
 
 def read_sentences(spark: SparkSession, root: str, strict: bool = True, name: str = "sentences.json") -> DataFrame:
@@ -82,7 +71,7 @@ def read_draft(spark: SparkSession, root: str, name: str = "draft.json") -> tupl
 
 def read_clean_chunks(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Rows (video_id, chunk, lo, hi, id, text) of files named lo-hi.json and rejects; an empty text is fine, null is not."""
-    raw = read_artifact(spark, root, "*-*.json", "id bigint, text string").withColumn("file", F.col("_metadata.file_name"))
+    raw = read_artifact(spark, root, "*-*.json", "id bigint, text string")
     lo, hi = (F.regexp_extract("file", r"^(\d+)-(\d+)\.json$", i) for i in (1, 2))
     r = raw.where(lo != "").select(
         KEY, F.regexp_replace("file", r"\.json$", "").alias("chunk"), lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"), "id", F.trim("text").alias("text"),
@@ -128,11 +117,7 @@ def read_stress_dict(spark: SparkSession, path: str) -> DataFrame:
 
 def read_inventory(spark: SparkSession, root: str) -> DataFrame:
     """video_id, artifact, modified, bytes of every file; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).drop("content")
-    return files.select(
-        F.regexp_extract("path", r"(?:video_id=)?([^/]+)/[^/]+$", 1).alias(KEY), F.regexp_extract("path", r"([^/]+)$", 1).alias("artifact"),
-        F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"),
-    )
+    return artifacts(spark, root, contents=False).select(KEY, F.col("file").alias("artifact"), "modified", "bytes")
 
 
 def read_video_info(spark: SparkSession, root: str, name: str = "source.info.json") -> DataFrame:

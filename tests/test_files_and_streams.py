@@ -158,3 +158,38 @@ def test_runs_stream_drops_repeats(spark, tmp_path):
     assert done
     got = [(r["run_id"], r["seconds"]) for f in (tmp_path / "out").glob("*.parquet") for r in spark.read.parquet(str(f)).collect()]
     assert got == [("r1", 60)]
+
+
+def test_artifacts_push_filters_and_keep_torn_files(spark, tmp_path):
+    from cadenza.sources.artifacts import artifacts
+
+    put(tmp_path / "a/x.json", [{"n": 1}, {"n": "two"}, {"m": 3}, {"n": None}, 5])
+    put(tmp_path / "b/x.json", '[{"n": 1}, {"n"')
+    put(tmp_path / "video_id=c%3Ad/x.json", {"n": 4})
+    put(tmp_path / "e/x.json", [])
+    put(tmp_path / "f/x.json", "")
+    put(tmp_path / "g/y.json", "{}")
+    put(tmp_path / "a/_hidden/x.json", "{}")
+    rows = R.read_artifact(spark, str(tmp_path), "x.json", "n int").collect()
+    assert sorted((r["video_id"], -1 if r["seq"] is None else r["seq"], r["n"], r["_rejects"], r["_corrupt"]) for r in rows if r["video_id"] != "a") == [
+        ("b", -1, None, None, '[{"n": 1}, {"n"'), ("c:d", 0, 4, [], None), ("f", -1, None, None, ""),
+    ]
+    assert [(r["n"], r["_rejects"]) for r in sorted((r for r in rows if r["video_id"] == "a"), key=lambda r: r["seq"])] == [
+        (1, []), (None, ["n"]), (None, []), (None, []), (None, ["n"]),
+    ]
+    one = artifacts(spark, f"file:{tmp_path}").where("video_id in ('c:d', 'g', 'absent', '..', '../x')")
+    assert sorted((r["video_id"], r["file"], r["value"]) for r in one.collect()) == [("c:d", "x.json", '{"n": 4}'), ("g", "y.json", "{}")]
+    assert one.rdd.getNumPartitions() == 1
+    assert "IN" not in one._jdf.queryExecution().executedPlan().toString()  # the filter went into the source
+    assert artifacts(spark, str(tmp_path / "nothing")).count() == 0
+    assert artifacts(spark, str(tmp_path)).where("video_id = 'a' and video_id = 'b'").count() == 0
+
+
+def test_clean_chunks(spark, tmp_path):
+    put(tmp_path / "v/0-1.json", [{"id": 0, "text": " a "}, {"id": 1, "text": ""}])
+    put(tmp_path / "v/2-3.json", [{"id": 2, "text": None}, {"text": "x"}])
+    put(tmp_path / "v/4-5.json", '[{"id"')
+    put(tmp_path / "v/other-1.json", [])
+    good, bad = R.read_clean_chunks(spark, str(tmp_path))
+    assert sorted((r["chunk"], r["lo"], r["hi"], r["id"], r["text"]) for r in good.collect()) == [("0-1", 0, 1, 0, "a"), ("0-1", 0, 1, 1, "")]
+    assert sorted((r["chunk"], r["reason"]) for r in bad.collect()) == [("2-3", "no_id"), ("2-3", "null_text"), ("4-5", "torn")]
