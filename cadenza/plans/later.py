@@ -11,6 +11,7 @@ from cadenza.operators import rollup as A
 from cadenza.operators import similarity as S
 from cadenza.operators import spoken as P
 from cadenza.operators import words as W
+from cadenza.operators.phrases import find_phrases, replace_phrases
 from cadenza.operators.ranks import exact_percentiles
 from cadenza.plans import files, further, more, registry  # noqa: F401  their SQL is built upon
 from cadenza.plans.files import numbered, place
@@ -101,6 +102,39 @@ def _(spark, d):
     return back.select(*(F.col(c).cast("bigint").alias(c) for c in back.columns))
 
 
+# Phrases
+
+OPENING = r"^[^A-Za-z0-9]*([A-Za-z0-9]+[^A-Za-z0-9]+[A-Za-z0-9]+(?:[^A-Za-z0-9]+[A-Za-z0-9]+)?)"
+
+
+@query("fn28_replace_phrases", rf"""SELECT * FROM (WITH RECURSIVE said AS (SELECT regexp_extract(text, '{OPENING}', 1) AS phrase, '<' || id || '>' AS spoken
+  FROM (SELECT text, doc_id AS id FROM documents UNION ALL SELECT text, conv_id FROM conversations)),
+known AS (SELECT translate(phrase, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ’', 'abcdefghijklmnopqrstuvwxyz''') AS gram, min(spoken) AS spoken FROM said WHERE phrase <> '' GROUP BY 1),
+t AS (SELECT conv_id, turn, regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9]+') AS r,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ’', 'abcdefghijklmnopqrstuvwxyz'''), '[A-Za-z0-9]+|[^A-Za-z0-9]+') AS n
+  FROM (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations)),
+c AS (SELECT conv_id, turn, p, size, array_to_string(n[p + 1:p + size], '') AS gram, n[p + size + 1:p + size + 4] AS a
+  FROM (SELECT *, unnest(range(len(n))) AS p FROM t), (VALUES (3), (5)) s(size) WHERE p + size <= len(n)),
+ends AS (SELECT conv_id, turn, p, size, spoken, CASE WHEN coalesce(a[1] = '''' AND a[2] = 's', false) AND NOT coalesce(a[3] = '''' AND len(a) = 4, false) THEN p + size + 2
+    WHEN NOT coalesce(a[1] = '''' AND len(a) >= 2, false) THEN p + size END AS e FROM c JOIN known USING (gram)),
+best AS (SELECT conv_id, turn, p, arg_max(e, size) AS e, arg_max(spoken, size) AS spoken FROM ends WHERE e IS NOT NULL GROUP BY ALL),
+linked AS (SELECT b.conv_id, b.turn, b.p, min(n.p) AS following FROM best b JOIN best n ON b.conv_id = n.conv_id AND b.turn = n.turn AND b.e <= n.p GROUP BY ALL),
+walk AS (SELECT conv_id, turn, min(p) AS p FROM best GROUP BY ALL
+  UNION ALL SELECT w.conv_id, w.turn, l.following FROM walk w JOIN linked l USING (conv_id, turn, p)),
+kept AS (SELECT conv_id, turn, p, e, spoken, lag(e, 1, 0) OVER (PARTITION BY conv_id, turn ORDER BY p) AS done FROM walk JOIN best USING (conv_id, turn, p))
+SELECT t.conv_id AS video_id, t.turn AS id, count(k.p) AS n,
+  coalesce(string_agg(array_to_string(r[done + 1:p], '') || spoken, '' ORDER BY p), '') || array_to_string(any_value(r)[coalesce(max(e), 0) + 1:], '') AS replaced
+FROM t LEFT JOIN kept k ON k.conv_id = t.conv_id AND k.turn = t.turn GROUP BY t.conv_id, t.turn)""")
+def _(spark, d):
+    """The two or three words that documents and turns begin with, found in all turns."""
+    texts = V.table(spark, d, "documents").selectExpr("text", "doc_id AS id").unionByName(V.table(spark, d, "conversations").selectExpr("text", "conv_id AS id"))
+    phrases = texts.select(F.regexp_extract("text", OPENING, 1).alias("phrase"), F.concat(F.lit("<"), F.col("id").cast("string"), F.lit(">")).alias("spoken"))
+    turns = V.table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("id"), "text")
+    found = find_phrases(turns, "text", phrases).groupBy("video_id", "id").agg(F.count("*").alias("n"))
+    said = replace_phrases(turns, "text", phrases).join(found, ["video_id", "id"], "left")
+    return said.select("video_id", "id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "replaced")
+
+
 # Functions
 
 
