@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,18 +18,41 @@ def islands(df: DataFrame, breaks: Column, order: list[str], name: str = "island
     return df.withColumn(name, F.sum(F.when(breaks, 1).otherwise(0)).over(w))
 
 
+def running(df: DataFrame, name: str, value: Column, how: Callable[[Column], Column], last: int, key: str = KEY) -> DataFrame:
+    """df with name: how (sum or max) of value over its key's rows by start_ms and end_ms, up to the row itself (last 0) or the one before (-1).
+
+    The same as a window over the key, but a task holds a key's rows of one bucket of time only: buckets run by themselves, and
+    what the earlier ones come to is added from one row for each. Rows alike in key, start_ms and end_ms: the greatest value first.
+    """
+    plus = F.greatest if how is F.max else lambda a, b: F.when(a.isNull() | b.isNull(), F.coalesce(a, b)).otherwise(a + b)
+    parted = df.withColumns({"__b": F.floor(F.col("start_ms") / BUCKET_MS), "__v": value})
+    inside = Window.partitionBy(key, "__b").orderBy("start_ms", "end_ms", F.desc("__v")).rowsBetween(Window.unboundedPreceding, last)
+    earlier = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parted.groupBy(key, "__b").agg(how(F.col("__v")).alias("__s"))
+    sums = sums.select(F.col(key).alias("__k"), F.col("__b").alias("__c"), how(F.col("__s")).over(earlier).alias("__e"))
+    own = parted.withColumn("__o", how(F.col("__v")).over(inside))
+    met = own.join(sums, F.col(key).eqNullSafe(F.col("__k")) & F.col("__b").eqNullSafe(F.col("__c")))
+    return met.withColumn(name, plus(F.col("__o"), F.col("__e"))).drop("__b", "__v", "__k", "__c", "__o", "__e")
+
+
 def merge_intervals(
-    df: DataFrame, gap: int, inclusive: bool = True, pad: int = 0, limit: Column | None = None, key: str = KEY
+    df: DataFrame, gap: int, inclusive: bool = True, pad: int = 0, limit: Column | None = None, key: str = KEY, split: bool = False
 ) -> DataFrame:
     """(key, start_ms, end_ms, n): intervals no further apart than gap joined, then widened by pad within 0 and limit.
 
-    inclusive: a gap of exactly that length joins. Nested intervals do not shorten the result.
+    inclusive: a gap of exactly that length joins. Nested intervals do not shorten the result. split: a key may hold more rows
+    than a task should sort; costs two more shuffles and gives the same rows.
     """
-    w = Window.partitionBy(key).orderBy("start_ms", "end_ms")
-    reach = F.max("end_ms").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    held = df.select(key, "start_ms", "end_ms").withColumn("reach", reach)
+    held = df.select(key, "start_ms", "end_ms")
     apart = F.col("start_ms") - F.col("reach")
-    joined = islands(held, ~F.coalesce(apart <= gap if inclusive else apart < gap, F.lit(False)), ["start_ms", "end_ms"], key=key)
+    fresh = ~F.coalesce(apart <= gap if inclusive else apart < gap, F.lit(False))
+    if split:
+        held = running(held, "reach", F.col("end_ms"), F.max, -1, key)
+        joined = running(held, "island", F.when(fresh, 1).otherwise(0), F.sum, 0, key)
+    else:
+        w = Window.partitionBy(key).orderBy("start_ms", "end_ms")
+        held = held.withColumn("reach", F.max("end_ms").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        joined = islands(held, fresh, ["start_ms", "end_ms"], key=key)
     out = joined.groupBy(key, "island").agg(
         F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.count("*").alias("n")
     )
