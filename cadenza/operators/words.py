@@ -266,7 +266,7 @@ def claim_metrics(words: DataFrame, sentences: DataFrame) -> DataFrame:
     s = s.withColumn("dup", F.col("norm") == F.lead("norm").over(Window.partitionBy(KEY).orderBy("id")))
     dur = F.col("end_ms") - F.col("start_ms")
     b = s.groupBy(KEY).agg(
-        F.count_if("dup").alias("dup_pairs"), F.max(F.when(dur > 0, F.floor(F.char_length("text") * 10000 / dur))).cast("bigint").alias("max_deci_cps")
+        F.count_if("dup").alias("dup_pairs"), F.max(F.when(dur > 0, F.floor(F.char_length("text").cast("bigint") * 10000 / dur))).cast("bigint").alias("max_deci_cps")
     )
     return a.join(b, KEY, "left")
 

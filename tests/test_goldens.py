@@ -262,6 +262,15 @@ def test_negation(spark):
         assert one(spark, T.negation_lost(F.col("a"), F.col("b")), a=src, b=tgt) is lost, (src, tgt)
 
 
+def test_figures_of_long_lines_do_not_overflow(spark):
+    line = F.repeat(F.col("a"), F.lit(30_000))
+    assert one(spark, T.implausible_rate_centi(line, F.lit(1000).cast("bigint")), a="x") == 3_000_000
+    assert one(spark, T.implausible_rate_centi(line, F.lit(10**9).cast("bigint")), a="x") is None
+    assert one(spark, T.length_ratio_milli(F.col("a"), F.repeat(F.col("a"), F.lit(3_000_000))), a="x") == 3_000_000_000
+    s = spark.createDataFrame([(1, 0, "x" * 300_000, 0, 1000)], "video_id bigint, id bigint, text string, start_ms bigint, end_ms bigint")
+    assert W.claim_metrics(words(spark, ["a"]), s).first()["max_deci_cps"] == 3_000_000
+
+
 def test_adjacent_duplicates(spark):
     echo = "this is a long line that will be said twice"
     s = sentences(spark, [(0, echo, 0, 1), (1, echo + "!", 1, 2), (2, "something else entirely, not alike at all", 2, 3), (3, echo, 3, 4)])
