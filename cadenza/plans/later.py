@@ -15,7 +15,7 @@ from cadenza.operators.phrases import find_phrases, replace_phrases
 from cadenza.operators.ranks import exact_percentiles
 from cadenza.plans import files, further, more, registry  # noqa: F401  their SQL is built upon
 from cadenza.plans.files import numbered, place
-from cadenza.plans.registry import SQL, query
+from cadenza.plans.registry import LOST, MISSING, SQL, query
 from cadenza.sources import readers as R
 from cadenza.sources import sinks
 from cadenza.sources import views as V
@@ -138,9 +138,8 @@ def _(spark, d):
 # Functions
 
 
-@query("fn14_completeness_check", f"""SELECT p.video_id, p.id, floor(1000 * length(tgt) / nullif(length(src), 0))::BIGINT AS ratio_milli, coalesce(m.missing, '') AS missing,
-  contains(f.flags, 'neg_loss') AS negation_lost, f.flags FROM f_pairs p JOIN ({SQL["fn14_completeness"]}) f USING (video_id, id)
-  LEFT JOIN ({SQL["fn11_missing_numbers"]}) m USING (video_id, id)""")
+@query("fn14_completeness_check", f"""SELECT p.video_id, p.id, floor(1000 * length(tgt) / nullif(length(src), 0))::BIGINT AS ratio_milli, array_to_string(list_sort({MISSING}), ',') AS missing,
+  {LOST} AS negation_lost, f.flags FROM f_pairs p JOIN ({SQL["fn14_completeness"]}) f USING (video_id, id)""")
 def _(spark, d):
     c = V.pairs(spark, d).select("video_id", "id", T.completeness_check(F.col("src"), F.col("tgt")).alias("c"))
     return c.select(

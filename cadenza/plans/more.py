@@ -13,7 +13,7 @@ from cadenza.operators import rollup as A
 from cadenza.operators import similarity as S
 from cadenza.operators import spoken as P
 from cadenza.operators import words as W
-from cadenza.plans.registry import RUN_ROLLUP, clamped, query
+from cadenza.plans.registry import LOST, RUN_ROLLUP, clamped, query
 from cadenza.sources import sinks
 from cadenza.sources import views as V
 
@@ -247,8 +247,7 @@ def _(spark, d):
     return n.withColumn("form", T.plural_form(F.col("n"), "one", "few", "many"))
 
 
-@query("fn12_negation_lost", r"""SELECT regexp_matches(replace(replace(replace(replace(replace(replace(replace(lower(src), 'more often than not', ' '), 'not to mention', ' '), 'not only', ' '), 'no doubt', ' '), 'no wonder', ' '), 'why not', ' '), 'whether or not', ' '),
-  '\b(not|never|no|none|nobody|noone|nothing|nowhere|without|cannot|neither|nor)\b|n[''’]t\b') AS lost, count(*) AS n FROM f_pairs GROUP BY 1""")
+@query("fn12_negation_lost", f"SELECT {LOST} AS lost, count(*) AS n FROM f_pairs GROUP BY 1")
 def _(spark, d):
     p = V.pairs(spark, d)
     return p.groupBy(T.negation_lost(F.col("src"), F.col("tgt")).alias("lost")).agg(F.count("*").alias("n"))
