@@ -12,6 +12,7 @@ from cadenza.plans.registry import query
 from cadenza.sources import readers as R
 from cadenza.sources import sinks
 from cadenza.sources import views as V
+from cadenza.sources.artifacts import write_artifacts
 from cadenza.streaming import arrivals
 
 
@@ -25,11 +26,11 @@ def place(spark: SparkSession) -> str:
     return f"{named}/files-{uuid.uuid4()}"
 
 
-def artifacts(rows: DataFrame, fields: list[str], order: str) -> str:
-    """Root of a folder for each video with its rows as one JSON list, in order."""
+def artifacts(rows: DataFrame, fields: list[str], order: str, name: str) -> str:
+    """Root of a folder for each video with its rows as one JSON list, in order, in the file name."""
     root = place(rows.sparkSession)
     lists = rows.groupBy("video_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct(order, *(f for f in fields if f != order))))).alias("value"))
-    lists.repartition("video_id").write.partitionBy("video_id").text(root)
+    write_artifacts(lists, root, name)
     return root
 
 
@@ -40,13 +41,13 @@ def numbered(df: DataFrame) -> DataFrame:
 @query("src1_read_words", "SELECT video_id, seq, word, start_ms, end_ms, seg_end FROM f_words")
 def _(spark, d):
     w = V.words(spark, d).select("video_id", "seq", F.col("word").alias("text"), (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"), "seg_end")
-    return numbered(R.read_words(spark, artifacts(w, ["text", "start", "end", "seg_end"], "seq"), "*.txt"))
+    return numbered(R.read_words(spark, artifacts(w, ["text", "start", "end", "seg_end"], "seq", "words.json")))
 
 
 @query("src2_read_sentences", "SELECT video_id, id, text, start_ms, end_ms FROM f_sentences")
 def _(spark, d):
     s = V.sentences(spark, d).select("video_id", "id", "text", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"))
-    return numbered(R.read_sentences(spark, artifacts(s, ["text", "start", "end"], "id"), name="*.txt"))
+    return numbered(R.read_sentences(spark, artifacts(s, ["text", "start", "end"], "id", "sentences.json")))
 
 
 @query("src3_read_draft", """SELECT video_id, id, text AS text_ru, NULL::VARCHAR AS reason FROM f_draft WHERE id % 7 <> 3 AND id % 11 <> 5
@@ -55,7 +56,7 @@ def _(spark, d):
     """Some rows without a text, some twice."""
     rows = V.draft(spark, d).withColumn("text_ru", F.when(F.col("id") % 7 != 3, F.col("text")))
     rows = rows.unionByName(rows.where("id % 7 <> 3 and id % 11 = 5"))
-    good, bad = R.read_draft(spark, artifacts(rows, ["text_ru"], "id"), "*.txt")
+    good, bad = R.read_draft(spark, artifacts(rows, ["text_ru"], "id", "draft.json"))
     both = good.select("video_id", "id", "text_ru", F.lit(None).cast("string").alias("reason")).unionByName(
         bad.select("video_id", "id", F.lit(None).cast("string").alias("text_ru"), "reason")
     )
@@ -65,7 +66,7 @@ def _(spark, d):
 @query("src10_read_inventory", "SELECT conv_id AS video_id, count(*) AS n FROM (SELECT DISTINCT conv_id FROM conversations) GROUP BY 1")
 def _(spark, d):
     turns = V.table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), "turn", "text")
-    i = R.read_inventory(spark, artifacts(turns, ["text"], "turn")).where("bytes > 0 and artifact like 'part-%'")
+    i = R.read_inventory(spark, artifacts(turns, ["text"], "turn", "turns.json")).where("bytes > 0 and artifact = 'turns.json'")
     return numbered(i).groupBy("video_id").agg(F.count("*").alias("n"))
 
 
@@ -76,8 +77,8 @@ def _(spark, d):
     seconds = F.expr("case when doc_id % 3 = 0 then cast(n_chars + 1 as string) when doc_id % 3 = 1 then 'true' else '-1' end")
     info = F.concat(F.lit('{"title": '), F.to_json(F.array("source")).substr(F.lit(2), F.char_length(F.to_json(F.array("source"))) - 2), F.lit(', "duration": '), seconds, F.lit(', "upload_date": "20260102"}'))
     root = place(spark)
-    docs.select(F.col("doc_id").alias("video_id"), info.alias("value")).repartition("video_id").write.partitionBy("video_id").text(root)
-    return numbered(R.read_video_info(spark, root, "*.txt")).select("video_id", "title", "duration", "upload_date")
+    write_artifacts(docs.select(F.col("doc_id").alias("video_id"), info.alias("value")), root, "source.info.json")
+    return numbered(R.read_video_info(spark, root)).select("video_id", "title", "duration", "upload_date")
 
 
 def run_log(spark: SparkSession, d: str) -> DataFrame:

@@ -19,6 +19,7 @@ from cadenza.plans.registry import LOST, MISSING, SQL, query
 from cadenza.sources import readers as R
 from cadenza.sources import sinks
 from cadenza.sources import views as V
+from cadenza.sources.artifacts import write_artifacts
 
 # Files
 
@@ -49,8 +50,8 @@ def _(spark, d):
     size = F.char_length("url").cast("string")
     text = F.when(F.col("page_id") % 5 == 0, '{"size": 1, "te').otherwise(F.concat(F.lit('{"size": '), size, F.lit("}")))
     root = place(spark)
-    V.table(spark, d, "pages").select(F.col("page_id").alias("video_id"), text.alias("value")).repartition("video_id").write.partitionBy("video_id").text(root)
-    return numbered(R.read_artifact(spark, root, "*.txt", "size int")).select("video_id", F.col("_corrupt").isNotNull().alias("torn"), "size")
+    write_artifacts(V.table(spark, d, "pages").select(F.col("page_id").alias("video_id"), text.alias("value")), root, "page.json")
+    return numbered(R.read_artifact(spark, root, "page.json", "size int")).select("video_id", F.col("_corrupt").isNotNull().alias("torn"), "size")
 
 
 VOWELS = "aeiou"

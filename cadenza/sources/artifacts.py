@@ -1,7 +1,8 @@
 """A Spark data source of per-video files: many small files to a task, and only the folders of the videos asked for.
 
 Spark's file source lists each folder in a task of its own before it reads; here the root alone is listed, tasks list and read
-their share of its folders, and a filter on video_id replaces even that listing.
+their share of its folders, and a filter on video_id replaces even that listing. Spark's partitioned writers have the driver
+move every folder when the job ends; here a task puts each file in its place by itself.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import fnmatch
 import os
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from urllib.parse import unquote
 
@@ -16,13 +18,13 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
 from cadenza.operators.intervals import KEY
 
 SCHEMA = f"{KEY} string, file string, value string, modified timestamp, bytes bigint"
-#: Least number of folders to a task, and most tasks that all folders are dealt to.
-FOLDERS, TASKS = 32, 10_000
+#: Folders to a task: at least so many, and as many more as keep within so many tasks.
+FOLDERS, TASKS = 32, 400
 #: Files that leave a task together.
 BATCH_BYTES = 16 << 20
 #: How partitioned writers call the folder of a video.
@@ -34,6 +36,15 @@ def escaped(value: str) -> str:
     return re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
 
 
+def opened(root: str) -> tuple[fs.FileSystem, str]:
+    """The filesystem of a root, and its path there."""
+    local = re.sub(r"^file:/+", "/", root)
+    if not re.match(r"\w+:/", local):
+        return fs.LocalFileSystem(), os.path.abspath(local)
+    files, base = fs.FileSystem.from_uri(root)
+    return files, base.rstrip("/")
+
+
 class Folders(InputPartition):
     def __init__(self, names: list[str]):
         self.names = names
@@ -55,25 +66,18 @@ class ArtifactReader(DataSourceReader):
             else:
                 yield f
 
-    def _open(self) -> tuple[fs.FileSystem, str]:
-        local = re.sub(r"^file:/+", "/", self.root)
-        if not re.match(r"\w+:/", local):
-            return fs.LocalFileSystem(), os.path.abspath(local)
-        files, base = fs.FileSystem.from_uri(self.root)
-        return files, base.rstrip("/")
-
     def partitions(self) -> list[InputPartition]:
         if self.only is not None:
             names = sorted({v for v in self.only if v and "/" not in v and v.strip(".")} | {PREFIX + escaped(v) for v in self.only if v})
         else:
-            files, base = self._open()
+            files, base = opened(self.root)
             found = files.get_file_info(fs.FileSelector(base, allow_not_found=True))
             names = sorted(i.base_name for i in found if i.type == fs.FileType.Directory)
         each = max(FOLDERS, -(-len(names) // TASKS))
         return [Folders(names[at : at + each]) for at in range(0, len(names), each)] or [Folders([])]
 
     def _found(self, names: list[str]) -> Iterator[tuple]:
-        files, base = self._open()
+        files, base = opened(self.root)
         for folder in names:
             video = unquote(folder.removeprefix(PREFIX)) if folder.startswith(PREFIX) else folder
             for i in files.get_file_info(fs.FileSelector(f"{base}/{folder}", allow_not_found=True)):
@@ -82,8 +86,8 @@ class ArtifactReader(DataSourceReader):
                 text = None
                 if self.contents:
                     try:
-                        with files.open_input_stream(i.path) as opened:
-                            text = opened.read().decode("utf-8-sig", "replace")
+                        with files.open_input_stream(i.path) as stream:
+                            text = stream.read().decode("utf-8-sig", "replace")
                     except FileNotFoundError:
                         continue
                 yield video, i.base_name, text, i.mtime, i.size
@@ -107,6 +111,28 @@ class ArtifactReader(DataSourceReader):
             yield batch(held)
 
 
+class ArtifactWriter(DataSourceArrowWriter):
+    """Files root/video_id=<video>/<name>, one for each row; a file that is there is replaced.
+
+    A file appears whole under its name, so a task that runs again does no harm. Files of a job that fails stay.
+    """
+
+    def __init__(self, options: dict):
+        self.root, self.name = options["path"], options["name"]
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        files, base = opened(self.root)
+        hidden = f".{self.name}.{uuid.uuid4()}"
+        for batch in iterator:
+            for video, text in zip(batch.column(KEY).to_pylist(), batch.column("value").to_pylist(), strict=True):
+                folder = f"{base}/{PREFIX}{escaped(video)}"
+                files.create_dir(folder)
+                with files.open_output_stream(f"{folder}/{hidden}") as stream:
+                    stream.write(text.encode("utf-8"))
+                files.move(f"{folder}/{hidden}", f"{folder}/{self.name}")
+        return WriterCommitMessage()
+
+
 class ArtifactSource(DataSource):
     """Options: path, the root; name, a file name or pattern; contents, false for names and sizes alone."""
 
@@ -120,6 +146,9 @@ class ArtifactSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return ArtifactReader(dict(self.options))
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return ArtifactWriter(dict(self.options))
+
 
 def artifacts(spark: SparkSession, root: str, name: str = "*", contents: bool = True) -> DataFrame:
     """video_id, file, value (its text), modified and bytes of root/*/name, a name or a pattern of * and ?. Names that begin with . or _ are no artifacts.
@@ -131,6 +160,18 @@ def artifacts(spark: SparkSession, root: str, name: str = "*", contents: bool =
     return spark.read.format("artifacts").option("name", name).option("contents", str(contents).lower()).load(root)
 
 
+def write_artifacts(rows: DataFrame, root: str, name: str) -> None:
+    """A file root/video_id=<video>/<name> for each row (video_id, value), as many tasks at a time as shuffles have; other files stay.
+
+    Rows of one video must not be two. The filesystem of root is one that pyarrow opens.
+    """
+    spark = rows.sparkSession
+    spark.dataSource.register(ArtifactSource)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a number given, so that small rows do not end up in one task
+    each = rows.select(F.col(KEY).cast("string").alias(KEY), F.coalesce("value", F.lit("")).alias("value")).repartition(tasks, KEY)
+    each.write.format("artifacts").mode("append").option("name", name).save(root)
+
+
 def typed_rows(files: DataFrame, schema: str) -> DataFrame:
     """A row for each entry of each file's list (an object: one), with its place seq, the fields of schema, _rejects and _corrupt.
 

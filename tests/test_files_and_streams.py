@@ -193,3 +193,20 @@ def test_clean_chunks(spark, tmp_path):
     good, bad = R.read_clean_chunks(spark, str(tmp_path))
     assert sorted((r["chunk"], r["lo"], r["hi"], r["id"], r["text"]) for r in good.collect()) == [("0-1", 0, 1, 0, "a"), ("0-1", 0, 1, 1, "")]
     assert sorted((r["chunk"], r["reason"]) for r in bad.collect()) == [("2-3", "no_id"), ("2-3", "null_text"), ("4-5", "torn")]
+
+
+def test_artifacts_are_written_by_tasks(spark, tmp_path):
+    """One whole file for each video, names escaped, others left, nothing moved by the driver; many folders to a task."""
+    from cadenza.sources import artifacts as S
+
+    rows = spark.createDataFrame([(f"v/{i}:%", f'{{"n": {i}}}') for i in range(60)] + [("none", None)], "video_id string, value string")
+    put(tmp_path / "video_id=none/other.json", "{}")
+    S.write_artifacts(rows.withColumn("value", S.F.lit("old")), str(tmp_path), "x.json")
+    S.write_artifacts(rows, f"file:{tmp_path}", "x.json")
+    got = S.artifacts(spark, str(tmp_path), "x.json")
+    assert sorted((r["video_id"], r["value"]) for r in got.collect()) == sorted((r["video_id"], r["value"] or "") for r in rows.collect())
+    assert len(list(tmp_path.rglob("*"))) == 61 + 62  # folders, files; no hidden ones, no _temporary
+    reader = S.ArtifactReader({"path": str(tmp_path)})
+    names = [f"d{i}" for i in range(100_000)]
+    reader.only = set(names)
+    assert len(reader.partitions()) <= S.TASKS
