@@ -190,8 +190,11 @@ def diff_hunks(a: DataFrame, b: DataFrame, context: int = 6) -> DataFrame:
     a, b = numbered(a), numbered(b)
     place = F.row_number().over(Window.partitionBy(KEY).orderBy("a_from", "b_from")).cast("bigint") - 1
     hunks = edits(a, b, stretches(anchors(a, b)), words=True).where("what <> 'equal'").withColumn("n", place)
-    around = F.explode(F.sequence(F.greatest(F.col("a_from") - max(context, 1), F.lit(0)), F.col("a_to") + max(context, 1) - 1)).alias("pos")
-    near = hunks.select("*", around).join(a.select(KEY, "pos", "word", "start_ms"), [KEY, "pos"], "left")
+    reach = max(context, 1)
+    first, last = F.sequence(F.greatest(F.col("a_from") - reach, F.lit(0)), F.col("a_from")), F.sequence(F.col("a_to"), F.col("a_to") + reach - 1)
+    around = hunks.select("*", F.posexplode(F.array_distinct(F.concat(first, last))).alias("i", "pos"))
+    once = [F.when(F.col("i") == 0, F.col(c)).alias(c) for c in ("was", "now")]  # one of a hunk's rows brings its words along
+    near = around.select(KEY, "n", "a_from", "a_to", "pos", *once).join(a.select(KEY, "pos", "word", "start_ms"), [KEY, "pos"], "left")
 
     def said(there: Column) -> Column:
         held = F.array_sort(F.collect_list(F.when(there & F.col("word").isNotNull(), F.struct("pos", "word"))))
@@ -199,7 +202,8 @@ def diff_hunks(a: DataFrame, b: DataFrame, context: int = 6) -> DataFrame:
 
     pos = F.col("pos")
     at = F.coalesce(F.min(F.when(pos == F.col("a_from"), F.col("start_ms"))), F.min(F.when(pos == F.col("a_from") - 1, F.col("start_ms"))))
-    return near.groupBy(KEY, "n", "was", "now").agg(
+    return near.groupBy(KEY, "n").agg(
+        F.max("was").alias("was"), F.max("now").alias("now"),
         at.alias("at_ms"), said((pos < F.col("a_from")) & (pos >= F.col("a_from") - context)).alias("before"),
         said((pos >= F.col("a_to")) & (pos < F.col("a_to") + context)).alias("after"),
     ).select(KEY, "n", "at_ms", "before", "was", "now", "after")

@@ -176,6 +176,13 @@ def test_hunks_with_their_surroundings(spark):
         assert [tuple(r)[1:] for r in got[v]] == want, v
 
 
+def test_a_hunk_of_a_whole_transcript(spark):
+    """Its words go along once, not with each of its places."""
+    n = 60_000
+    r = L.diff_hunks(words(spark, {1: [f"word{i}" for i in range(n)], 2: ["a"]}), words(spark, {2: ["a"]})).collect()
+    assert [(x["video_id"], x["n"], x["at_ms"], x["before"], x["now"], x["after"], len(x["was"].split())) for x in r] == [(1, 0, 0, "", "", "", n)]
+
+
 def test_no_rows(spark):
     none = words(spark, {}).limit(0)
     assert L.align_words(none, none).count() == 0 and L.diff_hunks(none, none).count() == 0
