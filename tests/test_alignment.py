@@ -189,3 +189,16 @@ def test_no_rows(spark):
     assert np.array_equal(M.letters(None), M.letters("")) and M.matching_blocks([], []) == []
     assert L.compare_summary(L.align_words(none, none)).first()["n"] == 0
     assert L.compare_transcripts(words(spark, {1: ["a"]}), words(spark, {1: ["b"]})).select(F.sum("n_sub")).first()[0] == 1
+
+
+def test_proposed_matches_are_compared(spark):
+    """Thue-Morse words of 1,024 letters collide modulo 2^64 for every base; what has no match is mostly left out before sorting."""
+    x = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    y = x.translate(str.maketrans("ab", "ba"))
+    blocks = M.matching_blocks([M.letters(x)], [M.letters(y)])[0]
+    assert M.opcodes(blocks, len(x), len(y)) == SequenceMatcher(None, x, y, False).get_opcodes()
+    rng = np.random.default_rng(7)
+    ka, kb = rng.integers(0, 2**64, 5000, np.uint64), rng.integers(0, 2**64, 5000, np.uint64)
+    ka[[3, 4000]] = kb[[9, 17]]
+    in_a, in_b = M._met(ka, kb)
+    assert {3, 4000} <= set(in_a.tolist()) and {9, 17} <= set(in_b.tolist()) and max(len(in_a), len(in_b)) < 2000
