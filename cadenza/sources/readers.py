@@ -6,7 +6,7 @@ inconsistent content is refused or listed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.operators.integrity import read_queue_lines, require_contiguous
@@ -45,8 +45,8 @@ def read_sentences(spark: SparkSession, root: str, strict: bool = True, name: st
     return require_contiguous(s) if strict else s
 
 
-def read_draft(spark: SparkSession, root: str, name: str = "draft.json") -> tuple[DataFrame, DataFrame]:
-    """Rows (video_id, id, text_ru, src, src_note) and rejects (video_id, id, reason).
+def draft_rows(spark: SparkSession, root: str, name: str = "draft.json") -> DataFrame:
+    """All rows of drafts, read once: video_id, id, text_ru, src, src_note and the reason for which one is rejected, else null.
 
     Rejected: torn files, missing ids or texts, texts that are not strings, repeated ids. A src or note that is no string becomes
     empty.
@@ -59,14 +59,18 @@ def read_draft(spark: SparkSession, root: str, name: str = "draft.json") -> tupl
         F.when(kind("src") == "STRING", F.try_variant_get("src", "$", "string")).alias("src"),
         F.coalesce(F.when(kind("src_note") == "STRING", F.try_variant_get("src_note", "$", "string")), F.lit("")).alias("src_note"),
     )
-    twice = typed.where("id is not null").groupBy(KEY, "id").agg(F.count("*").alias("times"))
-    j = typed.join(twice, [KEY, "id"], "left")
+    times = F.count("*").over(Window.partitionBy(KEY, "id"))
     reason = (
         F.when(F.col("torn"), "torn").when(F.col("id").isNull(), "no_id").when(F.col("is_text").isNull(), "no_text")
         .when(~F.col("is_text"), "text_type").when(F.col("times") > 1, "duplicate_id")
     )
-    j = j.withColumn("reason", reason)
-    return j.where("reason is null").select(KEY, "id", "text_ru", "src", "src_note"), j.where("reason is not null").select(KEY, "id", "reason")
+    return typed.withColumn("times", times).select(KEY, "id", "text_ru", "src", "src_note", reason.alias("reason"))
+
+
+def read_draft(spark: SparkSession, root: str, name: str = "draft.json") -> tuple[DataFrame, DataFrame]:
+    """Rows (video_id, id, text_ru, src, src_note) and rejects (video_id, id, reason) of draft_rows; each reads the files."""
+    rows = draft_rows(spark, root, name)
+    return rows.where("reason is null").drop("reason"), rows.where("reason is not null").select(KEY, "id", "reason")
 
 
 def read_clean_chunks(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

@@ -75,9 +75,8 @@ def draft(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sentences(spark, sf_dir).join(
         table(spark, sf_dir, "labels").select(F.col("doc_id").alias("video_id")).distinct(), "video_id", "left_semi"
     )
-    own = s.where(mixed("video_id", "id", 29) != 0).select("video_id", "id", "text")
-    foreign = s.where(mixed("video_id", "id", 37) == 0).select("video_id", (F.col("id") + 10000).alias("id"), "text")
-    return own.unionByName(foreign)
+    own, foreign = F.when(mixed("video_id", "id", 29) != 0, F.col("id")), F.when(mixed("video_id", "id", 37) == 0, F.col("id") + 10000)
+    return s.select("video_id", F.explode(F.array_compact(F.array(own, foreign))).alias("id"), "text")
 
 
 def speech(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,3 +19,11 @@ def test_sentences_are_read_once(spark, tmp_path):
     s = R.read_sentences(spark, str(tmp_path))
     assert scans(s) == 1
     assert sorted((r["id"], r["text"]) for r in s.collect()) == [(0, "a"), (1, "b")]
+
+
+def test_drafts_are_read_once(spark, tmp_path):
+    put(tmp_path, "v1", "draft.json", [{"id": 0, "text_ru": "a"}, {"text_ru": "b"}, {"text_ru": "c"}, {"id": 2}, {"id": 3, "text_ru": "d"}, {"id": 3, "text_ru": "e"}])
+    d = R.draft_rows(spark, str(tmp_path))
+    assert scans(d) == 1
+    found = sorted((r["id"] if r["id"] is not None else -1, r["reason"] or "") for r in d.collect())
+    assert found == [(-1, "no_id"), (-1, "no_id"), (0, ""), (2, "no_text"), (3, "duplicate_id"), (3, "duplicate_id")]
