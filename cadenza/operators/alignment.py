@@ -22,6 +22,7 @@ from cadenza.functions import text as T
 from cadenza.operators.grouping import fold
 from cadenza.operators.intervals import KEY
 from cadenza.operators.matching import matching_blocks, opcodes
+from cadenza.sources.scratch import cut
 
 GRAM = 3
 
@@ -34,7 +35,6 @@ def numbered(words: DataFrame, blank: bool = True, dense: bool = True) -> DataFr
     w = words.withColumn("norm", F.coalesce(T.norm_text(F.col("word")), F.lit("")))
     if not blank:
         w = w.where("norm <> ''")
-    w = w.repartition(KEY)  # for both uses of the words: anchors and gaps
     count = F.row_number().over(Window.partitionBy(KEY).orderBy("seq")).cast("bigint") - 1
     return w.withColumn("pos", count if dense else F.col("seq"))
 
@@ -55,8 +55,8 @@ def _rising(rows: list) -> Iterable[tuple[int, int]]:
         at = before[at]
 
 
-def anchors(a: DataFrame, b: DataFrame, gram: int = GRAM) -> DataFrame:
-    """(video_id, pa, pb), rising in both: words of numbered a and b that begin a run found once in each.
+def _marked(a: DataFrame, b: DataFrame, gram: int) -> DataFrame:
+    """(video_id, pa, pb, sure, part): words of numbered a and b that begin a run found once in each; sure ones cross no other.
 
     Runs are compared by 64 bits, and their first words by 64 more.
     """
@@ -79,21 +79,61 @@ def anchors(a: DataFrame, b: DataFrame, gram: int = GRAM) -> DataFrame:
     before = lambda order: Window.partitionBy(KEY).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     above, below = F.max("pb").over(before("pa")), F.min("pb").over(before(F.col("pa").desc()))
     sure = F.coalesce(F.col("pb") > above, F.lit(True)) & F.coalesce(F.col("pb") < below, F.lit(True))
-    marked = met.withColumn("sure", sure).withColumn("part", F.count_if("sure").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rest = fold(marked.where("not sure").select(KEY, "part", "pa", "pb"), [KEY, "part"], "pa", _rising, "pa bigint, pb bigint")
-    return marked.where("sure").select(KEY, "pa", "pb").unionByName(rest.select(KEY, "pa", "pb"))
+    return met.withColumn("sure", sure).withColumn("part", F.count_if("sure").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def stretches(found: DataFrame) -> DataFrame:
-    """(video_id, pa, pa_to, pb, pb_to): anchors that follow each other on both sides as one, ends inclusive."""
+def _thinned(marked: DataFrame) -> DataFrame:
+    """(video_id, pa, pb) of those that are not sure: of each part a longest rising run."""
+    return fold(marked.where("not sure").select(KEY, "part", "pa", "pb"), [KEY, "part"], "pa", _rising, "pa bigint, pb bigint").select(KEY, "pa", "pb")
+
+
+def anchors(a: DataFrame, b: DataFrame, gram: int = GRAM, *, joined: bool = False) -> DataFrame:
+    """(video_id, pa, pb), rising in both: words of numbered a and b that begin a run found once in each; joined: their stretches."""
+    marked = _marked(a, b, gram)
+    if joined:
+        return _stretched(marked)
+    return marked.where("sure").select(KEY, "pa", "pb").unionByName(_thinned(marked))
+
+
+def _following(c: str, ends: str, w: Window) -> Column:
+    """Whether a stretch begins where the one before it ended."""
+    return F.col(c) - F.lag(ends).over(w) == 1
+
+
+def _stretched(marked: DataFrame) -> DataFrame:
+    """The stretches of marked anchors, with the words gone through once.
+
+    Sure anchors become stretches at once, which are few; these and the anchors that are not sure are written to the shared
+    folder and read by all that needs them, dealt like words that are dealt by video already, which then stay where they are.
+    """
     w = Window.partitionBy(KEY).orderBy("pa")
-    new = F.coalesce((F.col("pa") - F.lag("pa").over(w) != 1) | (F.col("pb") - F.lag("pb").over(w) != 1), F.lit(True))
+    goes_on = F.col("sure") & F.lag("sure").over(w) & _following("pa", "pa", w) & _following("pb", "pb", w)
+    runs = marked.withColumn("new", ~F.coalesce(goes_on, F.lit(False)))
+    runs = runs.withColumn("run", F.count_if("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    few = cut(runs.groupBy(KEY, "run").agg(
+        F.min("pa").alias("pa"), F.max("pa").alias("pa_to"), F.min("pb").alias("pb"), F.max("pb").alias("pb_to"), F.first("sure").alias("sure"),
+        F.max("part").alias("part"),
+    ))
+    rest = _thinned(few).select(KEY, "pa", F.col("pa").alias("pa_to"), "pb", F.col("pb").alias("pb_to"))
+    both = few.where("sure").select(*rest.columns).unionByName(rest)
+    return cut(_joined(both)).repartition(int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions")), KEY)
+
+
+def _joined(found: DataFrame) -> DataFrame:
+    """Stretches that follow each other on both sides as one."""
+    w = Window.partitionBy(KEY).orderBy("pa")
+    new = ~F.coalesce(_following("pa", "pa_to", w) & _following("pb", "pb_to", w), F.lit(False))
     runs = found.withColumn("new", new).withColumn("run", F.count_if("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return runs.groupBy(KEY, "run").agg(
-        F.min("pa").alias("pa"), F.max("pa").alias("pa_to"), F.min("pb").alias("pb"), F.max("pb").alias("pb_to")
+        F.min("pa").alias("pa"), F.max("pa_to").alias("pa_to"), F.min("pb").alias("pb"), F.max("pb_to").alias("pb_to")
     ).drop("run")
 
 
+def stretches(found: DataFrame) -> DataFrame:
+    """(video_id, pa, pa_to, pb, pb_to): anchors that follow each other on both sides as one, ends inclusive."""
+    return _joined(found.select(KEY, "pa", F.col("pa").alias("pa_to"), "pb", F.col("pb").alias("pb_to")))
+
+
 def _gaps(a: DataFrame, b: DataFrame, sure: DataFrame, *keep: str) -> DataFrame:
     """Words of both sides (0: a, 1: b) outside the stretches: gap, the stretches before; pos; other, its place on the other side."""
     sides = []
@@ -168,7 +208,7 @@ def align_words(a: DataFrame, b: DataFrame) -> DataFrame:
     are substituted. Videos of one side only are all deleted or inserted.
     """
     a, b = numbered(a, blank=False, dense=False), numbered(b, blank=False, dense=False)
-    sure = stretches(anchors(a, b))
+    sure = anchors(a, b, joined=True)
     n, m = F.col("a_to") - F.col("a_from"), F.col("b_to") - F.col("b_from")
     when = lambda is_equal, value: F.when((F.col("what") == "equal") == is_equal, value).otherwise(0)
     parts = edits(a, b, sure).select(
@@ -189,7 +229,7 @@ def diff_hunks(a: DataFrame, b: DataFrame, context: int = 6) -> DataFrame:
     """
     a, b = numbered(a), numbered(b)
     place = F.row_number().over(Window.partitionBy(KEY).orderBy("a_from", "b_from")).cast("bigint") - 1
-    hunks = edits(a, b, stretches(anchors(a, b)), words=True).where("what <> 'equal'").withColumn("n", place)
+    hunks = edits(a, b, anchors(a, b, joined=True), words=True).where("what <> 'equal'").withColumn("n", place)
     reach = max(context, 1)
     first, last = F.sequence(F.greatest(F.col("a_from") - reach, F.lit(0)), F.col("a_from")), F.sequence(F.col("a_to"), F.col("a_to") + reach - 1)
     around = hunks.select("*", F.posexplode(F.array_distinct(F.concat(first, last))).alias("i", "pos"))

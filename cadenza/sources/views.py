@@ -19,9 +19,19 @@ def mixed(a: str, b: str, m: int) -> Column:
     return F.expr(f"({a} * 7 + {b} * 13) % {m}")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and text of documents, dealt by doc_id before they are taken apart.
+
+    So texts are shuffled, once for all views with a video's rows together, and not their words, which take many times the
+    bytes. A number is given, so that small texts do not end up in few tasks.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(tasks, "doc_id")
+
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """video_id, seq, word, start_ms, end_ms, seg_end; some words have no length, some follow a pause."""
-    each = table(spark, sf_dir, "documents").select(
+    each = texts(spark, sf_dir).select(
         F.col("doc_id").alias("video_id"),
         F.posexplode(F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0))).alias("seq", "word"),
     )

@@ -202,3 +202,19 @@ def test_proposed_matches_are_compared(spark):
     ka[[3, 4000]] = kb[[9, 17]]
     in_a, in_b = M._met(ka, kb)
     assert {3, 4000} <= set(in_a.tolist()) and {9, 17} <= set(in_b.tolist()) and max(len(in_a), len(in_b)) < 2000
+
+
+def test_stretches_in_one_go_are_those_of_the_anchors(spark):
+    rng = random.Random(5)
+    a = {v: [f"w{rng.randrange(60)}" for _ in range(300)] for v in range(4)}
+    b = {v: x[150:230] + [w for w in x[:150] if rng.random() > 0.05] + x[230:] for v, x in a.items()}
+    x, y = L.numbered(words(spark, a)), L.numbered(words(spark, b))
+    rows = lambda d: sorted(tuple(r[c] for c in ("video_id", "pa", "pa_to", "pb", "pb_to")) for r in d.collect())
+    assert rows(L.anchors(x, y, joined=True)) == rows(L.stretches(L.anchors(x, y))) != []
+
+
+def test_words_are_not_shuffled_after_their_texts(spark, sf):
+    from cadenza.sources import views as V
+
+    plan = L.numbered(V.words(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(doc_id" in plan
