@@ -114,11 +114,17 @@ def duplicate_adjacent(sentences: DataFrame, least: int = 25, ratio: float = 0.8
 
 
 def readings_agree(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per window (video_id, lo) whether two readings, word by word in seq, say the same and anything at all."""
-    whole = lambda d, n: d.groupBy(KEY, "lo").agg(
-        T.norm_text(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "word"))), lambda x: x["word"]), "")).alias(n)
-    )
-    j = whole(a, "a").join(whole(b, "b"), [KEY, "lo"], "full")
+    """Per window (video_id, lo) whether two readings, word by word in seq, say the same and anything at all.
+
+    Both are gathered by one aggregation, so that words are shuffled at most once and no texts are sorted for a join.
+    """
+    both = a.select(KEY, "lo", F.lit(0).alias("side"), "seq", "word").unionByName(b.select(KEY, "lo", F.lit(1).alias("side"), "seq", "word"))
+
+    def said(side: int) -> Column:
+        held = F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("seq", "word"))))
+        return F.when(F.count_if(F.col("side") == side) > 0, T.norm_text(F.array_join(F.transform(held, lambda x: x["word"]), "")))
+
+    j = both.groupBy(KEY, "lo").agg(said(0).alias("a"), said(1).alias("b"))
     return j.select(KEY, "lo", F.coalesce((F.col("a") == F.col("b")) & (F.col("a") != ""), F.lit(False)).alias("agree"))
 
 

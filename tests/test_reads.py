@@ -27,3 +27,15 @@ def test_drafts_are_read_once(spark, tmp_path):
     assert scans(d) == 1
     found = sorted((r["id"] if r["id"] is not None else -1, r["reason"] or "") for r in d.collect())
     assert found == [(-1, "no_id"), (-1, "no_id"), (0, ""), (2, "no_text"), (3, "duplicate_id"), (3, "duplicate_id")]
+
+
+def test_readings_are_gathered_by_one_aggregation(spark):
+    from cadenza.operators.similarity import readings_agree
+
+    of = lambda *rows: spark.createDataFrame(rows, "video_id bigint, lo bigint, seq bigint, word string")
+    a = of((1, 0, 1, "b."), (1, 0, 0, "A"), (1, 20, 20, "x"), (2, 0, 0, "-"), (3, 0, 0, "only"))
+    b = of((1, 0, 0, "ab"), (1, 20, 20, "y"), (2, 0, 0, "!"), (4, 0, 0, "only"))
+    got = readings_agree(a, b)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted((r["video_id"], r["lo"], r["agree"]) for r in got.collect())
+    assert rows == [(1, 0, True), (1, 20, False), (2, 0, False), (3, 0, False), (4, 0, False)]
