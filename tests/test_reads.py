@@ -1,6 +1,7 @@
 """What the queries read and shuffle: inputs once, rows compactly."""
 
 import json
+import re
 
 from cadenza.sources import readers as R
 
@@ -39,3 +40,15 @@ def test_readings_are_gathered_by_one_aggregation(spark):
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     rows = sorted((r["video_id"], r["lo"], r["agree"]) for r in got.collect())
     assert rows == [(1, 0, True), (1, 20, False), (2, 0, False), (3, 0, False), (4, 0, False)]
+
+
+def dealt(df) -> list[str]:
+    """What each exchange of the plan deals by."""
+    return re.findall(r"Exchange hashpartitioning\((\w+)#", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_runs_collapse_where_texts_were_dealt(spark, sf):
+    from cadenza.operators.words import collapse_runs
+    from cadenza.sources import views as V
+
+    assert dealt(collapse_runs(V.words(spark, sf))) == ["doc_id"]
