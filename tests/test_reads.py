@@ -52,3 +52,9 @@ def test_runs_collapse_where_texts_were_dealt(spark, sf):
     from cadenza.sources import views as V
 
     assert dealt(collapse_runs(V.words(spark, sf))) == ["doc_id"]
+
+
+def test_speech_is_merged_where_texts_were_dealt(spark, sf):
+    from cadenza.sources import views as V
+
+    assert dealt(V.speech(spark, sf)) == ["doc_id"]
