@@ -23,8 +23,10 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from cadenza.operators.intervals import KEY
 
 SCHEMA = f"{KEY} string, file string, value string, modified timestamp, bytes bigint"
-#: Folders to a task: at least so many, and as many more as keep within so many tasks.
+#: Folders to a task: at least so many, and as many more as keep within so many tasks. Starting a task takes as long as reading
+#: some thousand small files, so up to MANY to a task there are at most FEW tasks.
 FOLDERS, TASKS = 32, 400
+MANY, FEW = 1024, 100
 #: Files that leave a task together.
 BATCH_BYTES = 16 << 20
 #: How partitioned writers call the folder of a video.
@@ -73,14 +75,16 @@ class ArtifactReader(DataSourceReader):
             files, base = opened(self.root)
             found = files.get_file_info(fs.FileSelector(base, allow_not_found=True))
             names = sorted(i.base_name for i in found if i.type == fs.FileType.Directory)
-        each = max(FOLDERS, -(-len(names) // TASKS))
+        each = max(FOLDERS, min(MANY, -(-len(names) // FEW)), -(-len(names) // TASKS))
         return [Folders(names[at : at + each]) for at in range(0, len(names), each)] or [Folders([])]
 
     def _found(self, names: list[str]) -> Iterator[tuple]:
         files, base = opened(self.root)
+        one = not re.search(r"[*?\[]", self.name)  # a plain name is looked up, no folder is listed
         for folder in names:
             video = unquote(folder.removeprefix(PREFIX)) if folder.startswith(PREFIX) else folder
-            for i in files.get_file_info(fs.FileSelector(f"{base}/{folder}", allow_not_found=True)):
+            at = f"{base}/{folder}"
+            for i in files.get_file_info([f"{at}/{self.name}"] if one else fs.FileSelector(at, allow_not_found=True)):
                 if i.type != fs.FileType.File or i.base_name[0] in "._" or not fnmatch.fnmatchcase(i.base_name, self.name):
                     continue
                 text = None

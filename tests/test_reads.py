@@ -3,6 +3,8 @@
 import json
 import re
 
+import pytest
+
 from cadenza.sources import readers as R
 
 
@@ -58,3 +60,21 @@ def test_speech_is_merged_where_texts_were_dealt(spark, sf):
     from cadenza.sources import views as V
 
     assert dealt(V.speech(spark, sf)) == ["doc_id"]
+
+
+def test_many_folders_make_few_tasks(tmp_path, monkeypatch):
+    """A file with a plain name is looked up and its folder not listed."""
+    from pyarrow import fs
+
+    from cadenza.sources.artifacts import ArtifactReader
+
+    monkeypatch.setattr(fs, "FileSelector", lambda *a, **b: pytest.fail("listed"))
+    for k in range(3):
+        put(tmp_path, f"{k}", "a.json", k)
+    put(tmp_path, "3", "b.json", 3)
+    reader = ArtifactReader({"path": str(tmp_path), "name": "a.json"})
+    reader.only = {str(k) for k in range(20_000)}
+    tasks = reader.partitions()
+    assert len(tasks) <= 100
+    rows = [r for t in tasks for b in reader.read(t) for r in b.to_pylist()]
+    assert sorted((r["video_id"], r["file"], r["value"]) for r in rows) == [("0", "a.json", "0"), ("1", "a.json", "1"), ("2", "a.json", "2")]
