@@ -23,19 +23,45 @@ def unit_leaders(report: DataFrame) -> DataFrame:
     return report.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
 
 
+def _ranked(df: DataFrame, value: Column) -> DataFrame:
+    """df with __v, the value, __rank, its place from 0 among its key's values, and __n, how many there are; nulls come last.
+
+    Ranks cost one sort, where percentile keeps and serializes a map of counts for each key.
+    """
+    w = Window.partitionBy(KEY).orderBy(F.col("__v").asc_nulls_last())
+    all_ = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumn("__v", value).withColumns({"__rank": F.row_number().over(w) - 1, "__n": F.count("__v").over(all_)})
+
+
+def _percentile(q: float) -> Column:
+    """An aggregate over _ranked rows: the same as percentile of the value; null without values."""
+    at = (F.col("__n") - 1) * F.lit(q)
+    low, high = F.floor(at), F.ceil(at)
+    share = F.when(F.col("__rank") == low, F.when(low == high, 1.0).otherwise(high - at)).when(F.col("__rank") == high, at - low)
+    return F.sum(share * F.col("__v"))
+
+
+def _speed() -> list[Column]:
+    c = F.col("__v")
+    return [
+        whole(_percentile(0.5)).alias("median"), whole(_percentile(0.95)).alias("p95"),
+        F.max(c).alias("most"), F.when(F.count(c) > 0, F.count_if(c >= BROKEN_MILLI)).alias("n_broken"),
+    ]
+
+
 def speed_stats(report: DataFrame) -> DataFrame:
     """Median, 95th percentile and maximum of the leaders' factors in thousandths, and how many are broken; null without any."""
-    c = F.col("combined_milli")
-    return unit_leaders(report).groupBy(KEY).agg(
-        whole(F.percentile(c, 0.5)).alias("median"), whole(F.percentile(c, 0.95)).alias("p95"),
-        F.max(c).alias("most"), F.when(F.count(c) > 0, F.count_if(c >= BROKEN_MILLI)).alias("n_broken"),
-    )
+    return _ranked(unit_leaders(report), F.col("combined_milli")).groupBy(KEY).agg(*_speed())
+
+
+def _histogram(flag: str, vocabulary: list[str]) -> list[Column]:
+    known = F.when(F.col(flag).isin([v for v in vocabulary if v != "unknown"]), F.col(flag)).when(F.col(flag).isNotNull(), "unknown")
+    return [F.count_if(known == v).alias(v) for v in vocabulary]
 
 
 def flag_histogram(df: DataFrame, flag: str, vocabulary: list[str]) -> DataFrame:
     """Counts per video of every listed flag; others fall to unknown."""
-    known = F.when(F.col(flag).isin([v for v in vocabulary if v != "unknown"]), F.col(flag)).when(F.col(flag).isNotNull(), "unknown")
-    return df.withColumn("__flag", known).groupBy(KEY).agg(*(F.count_if(F.col("__flag") == v).alias(v) for v in vocabulary))
+    return df.groupBy(KEY).agg(*_histogram(flag, vocabulary))
 
 
 def actionable(flags: Column) -> Column:
@@ -43,13 +69,15 @@ def actionable(flags: Column) -> Column:
     return F.array_except(flags, F.array(*map(F.lit, T.ADVISORY_COMPLETENESS)))
 
 
-def completeness_rollup(report: DataFrame) -> DataFrame:
-    """Rows with any flag, with one to act on, and with advisory ones only."""
+def _completeness() -> list[Column]:
     act = F.size(actionable(F.col("completeness_flags"))) > 0
     any_ = F.size("completeness_flags") > 0
-    return report.groupBy(KEY).agg(
-        F.count_if(any_).alias("n_flagged"), F.count_if(act).alias("n_actionable"), F.count_if(any_ & ~act).alias("n_advisory")
-    )
+    return [F.count_if(any_).alias("n_flagged"), F.count_if(act).alias("n_actionable"), F.count_if(any_ & ~act).alias("n_advisory")]
+
+
+def completeness_rollup(report: DataFrame) -> DataFrame:
+    """Rows with any flag, with one to act on, and with advisory ones only."""
+    return report.groupBy(KEY).agg(*_completeness())
 
 
 def source_rollup(translation: DataFrame, kinds: list[str], most: int = 40) -> DataFrame:
@@ -115,8 +143,7 @@ def stage_shares(stages: DataFrame) -> DataFrame:
     return with_total.select(KEY, "stage", "wall_ms", F.expr("wall_ms * 1000 div nullif(total, 0)").alias("permille"))
 
 
-def triage(report: DataFrame) -> DataFrame:
-    """Flags in all, to act on and advisory, and whether the video needs a listener."""
+def _triage() -> list[Column]:
     advisory = F.array(*map(F.lit, T.ADVISORY_COMPLETENESS))
     act = (
         (F.col("translate_flag").isNotNull() & (F.col("translate_flag") != "english_echo")).cast("int")
@@ -124,17 +151,28 @@ def triage(report: DataFrame) -> DataFrame:
         + (F.size(F.array_except("completeness_flags", advisory)) > 0).cast("int")
     )
     total = F.col("translate_flag").isNotNull().cast("int") + F.col("verify_flag").isNotNull().cast("int") + (F.size("completeness_flags") > 0).cast("int")
-    r = report.groupBy(KEY).agg(F.sum(total).alias("flags_total"), F.sum(act).alias("flags_actionable"))
-    return r.select("*", (F.col("flags_total") - F.col("flags_actionable")).alias("flags_advisory"), (F.col("flags_actionable") > 0).alias("needs_triage"))
+    all_, acted = F.sum(total), F.sum(act)
+    return [all_.alias("flags_total"), acted.alias("flags_actionable"), (all_ - acted).alias("flags_advisory"), (acted > 0).alias("needs_triage")]
+
+
+def triage(report: DataFrame) -> DataFrame:
+    """Flags in all, to act on and advisory, and whether the video needs a listener."""
+    return report.groupBy(KEY).agg(*_triage())
 
 
 def run_rollup(report: DataFrame, *more: DataFrame) -> DataFrame:
     """One row for each video: rows, units, speed, flags and triage; with the columns of more, such as run_timing, source_rollup,
-    unit_counters or placement_stats, of one row per video and no names in common. A video only in more stands too."""
-    size = report.groupBy(KEY).agg(F.count("*").alias("n_rows"), F.countDistinct(F.coalesce("group_id", "id")).alias("n_units"))
-    out = size
-    for part in (speed_stats(report), flag_histogram(report, "verify_flag", T.VERIFY_FLAGS), completeness_rollup(report), triage(report)):
-        out = out.join(part, KEY, "left")
+    unit_counters or placement_stats, of one row per video and no names in common. A video only in more stands too.
+
+    All of a report's figures come from one aggregation, so that it is read and shuffled once. A unit's leader is its first row by id.
+    """
+    group = F.coalesce("group_id", "id")
+    before = F.lag(F.struct(group.alias("group"))).over(Window.partitionBy(KEY).orderBy(group, "id"))
+    marked = report.withColumn("__leads", ~F.coalesce(before["group"].eqNullSafe(group) & before.isNotNull(), F.lit(False)))
+    out = _ranked(marked, F.when(F.col("__leads"), F.col("combined_milli"))).groupBy(KEY).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("__leads") & group.isNotNull()).alias("n_units"),
+        *_speed(), *_histogram("verify_flag", T.VERIFY_FLAGS), *_completeness(), *_triage(),
+    )
     for part in more:
         out = out.join(part, KEY, "full")
     return out
@@ -190,8 +228,8 @@ def clean_stats(records: DataFrame) -> DataFrame:
 def placement_stats(placed: DataFrame) -> DataFrame:
     """Median fill of slots in thousandths, and silence in and between units, in samples."""
     fill = F.when(F.col("slot") > 0, F.expr("placed * 1000 div slot"))
-    return placed.groupBy(KEY).agg(
-        whole(F.percentile(fill, 0.5)).alias("fill_median"), F.sum("slot_silence").alias("slot_silence"),
+    return _ranked(placed, fill).groupBy(KEY).agg(
+        whole(_percentile(0.5)).alias("fill_median"), F.sum("slot_silence").alias("slot_silence"),
         F.sum("span_silence").alias("span_silence"), F.count("flag").alias("n_bad"), F.count("*").alias("n_units"),
     )
 

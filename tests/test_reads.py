@@ -78,3 +78,23 @@ def test_many_folders_make_few_tasks(tmp_path, monkeypatch):
     assert len(tasks) <= 100
     rows = [r for t in tasks for b in reader.read(t) for r in b.to_pylist()]
     assert sorted((r["video_id"], r["file"], r["value"]) for r in rows) == [("0", "a.json", "0"), ("1", "a.json", "1"), ("2", "a.json", "2")]
+
+
+def test_a_rollup_reads_its_report_once_and_keeps_no_maps(spark, sf):
+    from cadenza.operators import rollup as A
+    from cadenza.sources import views as V
+
+    plan = A.run_rollup(V.report(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_percentiles_by_rank_are_percentile(spark):
+    from pyspark.sql import functions as F
+
+    from cadenza.operators import rollup as A
+
+    rows = [(v, (k * 7919) % 1009 if k % 5 else None) for v in range(40) for k in range(v)]
+    df = spark.createDataFrame(rows, "video_id bigint, x bigint")
+    new = A._ranked(df, F.col("x")).groupBy("video_id").agg(A._percentile(0.5).alias("a"), A._percentile(0.95).alias("b"))
+    old = df.groupBy("video_id").agg(F.percentile("x", 0.5).alias("a"), F.percentile("x", 0.95).alias("b"))
+    assert sorted(map(tuple, new.collect()), key=str) == sorted(map(tuple, old.collect()), key=str)
