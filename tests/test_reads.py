@@ -98,3 +98,18 @@ def test_percentiles_by_rank_are_percentile(spark):
     new = A._ranked(df, F.col("x")).groupBy("video_id").agg(A._percentile(0.5).alias("a"), A._percentile(0.95).alias("b"))
     old = df.groupBy("video_id").agg(F.percentile("x", 0.5).alias("a"), F.percentile("x", 0.95).alias("b"))
     assert sorted(map(tuple, new.collect()), key=str) == sorted(map(tuple, old.collect()), key=str)
+
+
+def test_an_upsert_deals_its_rows_once(spark):
+    """Base and batch go to their buckets in one shuffle; a field given as null overwrites, others keep theirs."""
+    from pyspark.sql import functions as F
+
+    from cadenza.streaming.arrivals import _upserted
+
+    base = spark.createDataFrame([("v", 1, "a", "x"), ("v", 2, "b", "y"), ("w", 1, "c", "z")], "video_id string, id bigint, text string, status string")
+    batch = spark.createDataFrame([("v", 1, "n1", 1), ("v", 1, "n2", 2), ("v", 2, None, 3), ("u", 5, "m", 1)], "video_id string, id bigint, status string, at int")
+    got = _upserted(base, batch, "at", F.lit(3).alias("bucket"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    rows = sorted((r["video_id"], r["id"], r["text"], r["status"]) for r in got.collect())
+    assert rows == [("u", 5, None, "m"), ("v", 1, "a", "n2"), ("v", 2, "b", None), ("w", 1, "c", "z")]
