@@ -113,3 +113,42 @@ def test_an_upsert_deals_its_rows_once(spark):
     assert plan.count("Exchange") == 1 and "Join" not in plan
     rows = sorted((r["video_id"], r["id"], r["text"], r["status"]) for r in got.collect())
     assert rows == [("u", 5, None, "m"), ("v", 1, "a", "n2"), ("v", 2, "b", None), ("w", 1, "c", "z")]
+
+
+def test_a_video_of_few_ids_costs_the_gate_few_calls():
+    """Each call to the state store is a round trip."""
+    from unittest.mock import MagicMock
+
+    import pandas as pd
+
+    from cadenza.streaming.arrivals import _Gate
+
+    calls, held = [], {}
+
+    def store(name):
+        box = MagicMock()
+        box.get.side_effect = lambda: calls.append("get") or held.get(name)
+        box.exists.side_effect = lambda: calls.append("exists") or name in held
+        box.update.side_effect = lambda v: calls.append("update") or held.update({name: v})
+        box.clear.side_effect = lambda: calls.append("clear") or held.pop(name, None)
+        box.containsKey.side_effect = lambda k: calls.append("containsKey") or k in held.get("of", {})
+        box.getValue.side_effect = lambda k: calls.append("getValue") or held.get("of", {}).get(k)
+        box.updateValue.side_effect = lambda k, v: calls.append("updateValue") or held.setdefault("of", {}).update({k: v})
+        return box
+
+    handle = MagicMock()
+    handle.getMapState.side_effect = lambda name, *a: store(name)
+    handle.getValueState.side_effect = lambda name, *a: store(name)
+    handle.registerTimer.side_effect = lambda at: calls.append("registerTimer")
+    handle.deleteTimer.side_effect = lambda at: calls.append("deleteTimer")
+    handle.listTimers.side_effect = lambda: calls.append("listTimers") or iter([600])
+    now = MagicMock()
+    now.getCurrentProcessingTimeInMs.return_value = 0
+    gate = _Gate(600)
+    gate.init(handle)
+    batch = lambda *rows: iter([pd.DataFrame(rows, columns=["video_id", "kind", "id"])])
+    assert not list(gate.handleInputRows(("v",), batch(("v", "want", 0), ("v", "want", 62), ("v", "have", 0)), now))
+    assert len(calls) <= 3
+    told = list(gate.handleInputRows(("v",), batch(("v", "have", 62), ("v", "want", None)), now))
+    assert len(calls) <= 6 and not held
+    assert told[0].values.tolist() == [["v", "ready", 2, []]]
