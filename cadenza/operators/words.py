@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
-from cadenza.operators.grouping import fold
 from cadenza.operators.intervals import KEY, islands
 
 FLOOR_MS = 20
@@ -176,40 +176,58 @@ def resegment(words: DataFrame) -> DataFrame:
     """(video_id, id, text, start_ms, end_ms): sentences, overlong ones cut and very short ones merged; ids from 0.
 
     Sentences further apart than any merge may reach are independent, so the fold runs over the sentences of islands between
-    long pauses, each a group of its own; only overlong sentences bring their words along. Ids are counted afterwards.
+    long pauses, held one at a time; only overlong sentences bring their words along.
     """
-    w = assign_sentences(words).withColumns(
-        {
-            "may_cut": T.may_cut_after(F.col("word"), F.lead("word").over(in_order())),
-            "clause": F.regexp_like(T.core(F.col("word")), F.lit("[,;:]$"))
-            | F.coalesce(T.bare(F.lead("word").over(in_order())).isin(T.CLAUSE_OPENERS), F.lit(False)),
-        }
-    )
-    fields = ("seq", "word", "start_ms", "end_ms", "seg_end", "may_cut", "clause")
+    w = assign_sentences(words)
     s = w.groupBy(KEY, "sentence").agg(
-        F.min("seq").alias("seq"), F.min_by("start_ms", "seq").alias("start_ms"), F.max_by("end_ms", "seq").alias("end_ms"),
-        F.sum(F.char_length("word") + 1).alias("chars"), F.array_sort(F.collect_list(F.struct(*fields))).alias("words"),
+        F.min_by("start_ms", "seq").alias("start_ms"), F.max_by("end_ms", "seq").alias("end_ms"),
+        F.sum(F.char_length("word") + 1).alias("chars"), F.array_sort(F.collect_list(F.struct("seq", "word", "start_ms", "end_ms", "seg_end"))).alias("words"),
     )
     long = (F.col("end_ms") - F.col("start_ms") > 15_000) | (F.col("chars") > 240)
     text = F.array_join(F.transform("words", lambda x: x["word"]), " ")
+
+    def judged(x: Column, i: Column) -> Column:
+        """A word of an overlong sentence with where it may be cut; after the last one no cut is looked for."""
+        following = F.get("words", i + 1)["word"]
+        clause = F.regexp_like(T.core(x["word"]), F.lit("[,;:]$")) | F.coalesce(T.bare(following).isin(T.CLAUSE_OPENERS), F.lit(False))
+        return x.withField("may_cut", T.may_cut_after(x["word"], following)).withField("clause", clause)
+
     s = s.select(
-        KEY, "sentence", "seq", "start_ms", "end_ms", "chars", F.when(~long, text).alias("text"), F.when(long, F.col("words")).alias("words"),
+        KEY, "sentence", F.col("words")[0]["seq"].alias("seq"), "start_ms", "end_ms", "chars", F.when(~long, text).alias("text"),
+        F.when(long, F.transform("words", judged)).alias("words"),
         F.coalesce(F.col("start_ms") - F.lag("end_ms").over(Window.partitionBy(KEY).orderBy("sentence")), F.lit(0)).alias("pause"),
     )
     s = islands(s, F.col("pause") > 600, ["sentence"])
-
-    def step(rows: list) -> Iterable[tuple]:
-        pieces: list[Stretch] = []
-        for r in rows:
-            if r.words is None:
-                pieces.append((r.seq, r.start_ms, r.end_ms, r.chars, r.text))
-            else:
-                pieces += _pieces(list(r.words))
-        for seq, start, end, _, text in _merged(pieces):
-            yield seq, text, start, end
-
-    out = fold(s, [KEY, "island"], "sentence", step, "seq bigint, text string, start_ms bigint, end_ms bigint")
-    return out.withColumn("id", F.row_number().over(in_order()).cast("bigint") - 1).drop("seq", "island")
+    kind = s.schema[KEY].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Islands in order; a video's come one after another, so its ids are counted along."""
+        key, island, n, held, out = None, None, 0, [], []
+
+        def told() -> Iterable[tuple]:
+            for k, (_, start, end, _, text) in enumerate(_merged(held), n):
+                yield key, k, text, start, end
+
+        for rows in batches:
+            for video, seq, start, end, chars, text, words, now in rows.itertuples(index=False, name=None):
+                if (video, now) != (key, island):
+                    out += told()
+                    n = out[-1][1] + 1 if held and video == key else 0 if video != key else n
+                    key, island, held = video, now, []
+                if words is None:
+                    held.append((seq, start, end, chars, text))
+                else:
+                    held += _pieces(list(words))
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+        out += told()
+        yield pd.DataFrame(out, columns=names)
+
+    names = [KEY, "id", "text", "start_ms", "end_ms"]
+    # The windows by video have brought each video's sentences to one task, where they stay.
+    placed = s.sortWithinPartitions(KEY, "sentence").select(KEY, "seq", "start_ms", "end_ms", "chars", "text", "words", "island")
+    return placed.mapInPandas(run, f"{KEY} {kind}, id bigint, text string, start_ms bigint, end_ms bigint")
 
 
 def decode_windows(durations: DataFrame, whole: int = 900_000, size: int = 600_000, overlap: int = 15_000) -> DataFrame:

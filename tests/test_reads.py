@@ -152,3 +152,15 @@ def test_a_video_of_few_ids_costs_the_gate_few_calls():
     told = list(gate.handleInputRows(("v",), batch(("v", "have", 62), ("v", "want", None)), now))
     assert len(calls) <= 6 and not held
     assert told[0].values.tolist() == [["v", "ready", 2, []]]
+
+
+def test_sentences_are_cut_and_merged_where_texts_were_dealt(spark, sf):
+    from cadenza.operators.words import resegment
+    from cadenza.sources import views as V
+
+    out = resegment(V.words(spark, sf))
+    assert dealt(out) == ["doc_id"]
+    ids: dict = {}
+    for r in out.select("video_id", "id").collect():
+        ids.setdefault(r["video_id"], []).append(r["id"])
+    assert ids and all(sorted(i) == list(range(len(i))) for i in ids.values())
