@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import cut, heavy_join
+from cadenza.llm.common import cut, heavy_join, packed
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,27 +20,31 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v")))
         .distinct()
     )
-    while not _stars(state):
-        state = cut(_small_star(_large_star(state)))
+    deep, rows = _shape(state)
+    while deep:  # a large star has no more links than it is made of, a small one at most twice as many
+        large = packed(cut(_large_star(packed(state, rows))), rows)
+        state = packed(cut(_small_star(large)), 2 * rows)
+        deep, rows = _shape(state)
+    state = packed(state, rows)
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _stars(state: DataFrame) -> bool:
-    """Whether each u has one v and no v is a u."""
+def _shape(state: DataFrame) -> tuple[bool, int]:
+    """Whether some u has two v or a v is a u; and the number of links."""
     ends = state.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("top")).unionByName(
         state.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("top"))
     )
     per_node = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("top").alias("top"))
-    row = per_node.agg(F.max((F.col("up") + F.col("top") > 1).cast("int")).alias("deep")).first()
-    return not row["deep"]
+    row = per_node.agg(F.max((F.col("up") + F.col("top") > 1).cast("int")).alias("deep"), F.sum("up").alias("rows")).first()
+    return bool(row["deep"]), row["rows"] or 0
 
 
 def _with_least(links: DataFrame) -> DataFrame:
     """links with m, the least v of their u."""
     least = cut(links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("times")))
-    total = least.agg(F.sum("times")).first()[0] or 0
-    return heavy_join(links, least, ["u"], "times", total).drop("times")
+    total, nodes = least.agg(F.sum("times"), F.count("*")).first()
+    return heavy_join(links, packed(least, nodes), ["u"], "times", total or 0).drop("times")
 
 
 def _large_star(state: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import SPACE, WORD, cut, heavy_join, read, row_key, whole_row
+from cadenza.llm.common import SPACE, WORD, cut, heavy_join, packed, read, row_key, whole_row
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -253,13 +253,14 @@ def _least_determinants(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
     """
     groups, total = cut(_starts(rows, key)), rows.count()
     n_groups = groups.where("start = 'quartiles'").count()
+    starts = n_groups * (2 + SAMPLES)
     for _ in range(FEW):
-        groups = cut(_step(rows, groups, key, n_groups, total))
+        groups = packed(cut(_step(rows, packed(groups, starts), key, n_groups, total)), starts)
     best = groups.groupBy(key).agg(F.min_by(F.struct("*"), F.struct("volume", "start")).alias("best"))
-    moving, stopped = cut(best.select("best.*")), []
+    moving, stopped = packed(cut(best.select("best.*")), n_groups), []
     while not moving.isEmpty():
         was = moving.select(key, F.col("volume").alias("was"))
-        stepped = cut(_step(rows, moving, key, n_groups, total).join(was, key))
+        stepped = packed(cut(_step(rows, moving, key, n_groups, total).join(was, key)), n_groups)
         falls = F.col("volume") < F.col("was") - FALLS
         stopped.append(stepped.where(~falls).drop("was"))
         moving = stepped.where(falls).drop("was")

@@ -72,6 +72,28 @@ def test_components_of_a_path_and_a_hub(spark):
     assert got == {i: 100 for i in range(100, 141)} | {k: 7 for k in [7, *range(200, 300)]}
 
 
+def test_few_links_take_few_tasks(spark):
+    """The driver keeps a record of each task; with many shuffle partitions a few hundred links took thousands."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in held}
+    context = spark.sparkContext
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a bigint, b bigint").coalesce(1)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few links", "")
+        found = components(links)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert {r["component"] for r in found.collect()} == {0}
+    told = context.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup("few links") for s in told.getJobInfo(j).stageIds}
+    tasks = sum(i.numTasks for i in map(told.getStageInfo, stages) if i)
+    assert 0 < tasks < 15000
+
+
 def test_repeated_rows_and_empty_tables(spark):
     one = docs(spark, [LONG, LONG], ids=[3, 3])
     assert [r["component_id"] for r in simhash.simhash_groups(one).collect()] == [3, 3]
