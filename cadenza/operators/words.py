@@ -243,7 +243,10 @@ def decode_windows(durations: DataFrame, whole: int = 900_000, size: int = 600_0
 
 
 def stitch_windows(window_words: DataFrame) -> DataFrame:
-    """Words of overlapping windows (win_no, w_start, w_end, …) once each: cut at the middle of every real overlap."""
+    """Words of overlapping windows (win_no, w_start, w_end, …) once each: cut at the middle of every real overlap.
+
+    A window is one row for all its words, so a task holds those of its share of windows and sorts no words.
+    """
     wins = window_words.select(KEY, "win_no", "w_start", "w_end").distinct()
     w = Window.partitionBy(KEY).orderBy("win_no")
     last, following = F.lag("w_end").over(w), F.lead("w_start").over(w)
@@ -252,7 +255,7 @@ def stitch_windows(window_words: DataFrame) -> DataFrame:
         F.when(last > F.col("w_start"), (last + F.col("w_start")) / 2).otherwise(F.col("w_start")).alias("lo"),
         F.when(following < F.col("w_end"), (following + F.col("w_end")) / 2).otherwise(F.lit(1e15)).alias("hi"),
     )
-    return window_words.join(edges, [KEY, "win_no"]).where("start_ms >= lo and start_ms < hi").drop("lo", "hi")
+    return window_words.join(edges.hint("shuffle_hash"), [KEY, "win_no"]).where("start_ms >= lo and start_ms < hi").drop("lo", "hi")
 
 
 def core_windows(durations: DataFrame, chunk: int, margin: int) -> DataFrame:

@@ -230,7 +230,7 @@ def _(spark, d):
 def _(spark, d):
     w = V.words(spark, d)
     wins = W.decode_windows(w.groupBy("video_id").agg((F.max("end_ms") + 1).alias("dur_ms")))
-    inside = I.range_join(w, wins, "start_ms", "w_start", "w_end")
+    inside = I.range_join(w, wins.hint("shuffle_hash"), "start_ms", "w_start", "w_end")
     return W.stitch_windows(inside).groupBy("video_id").agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
 
 

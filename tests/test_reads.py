@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from cadenza.operators import words as W
 from cadenza.sources import readers as R
 
 
@@ -164,3 +165,18 @@ def test_sentences_are_cut_and_merged_where_texts_were_dealt(spark, sf):
     for r in out.select("video_id", "id").collect():
         ids.setdefault(r["video_id"], []).append(r["id"])
     assert ids and all(sorted(i) == list(range(len(i))) for i in ids.values())
+
+
+def test_stitching_sorts_no_words(spark):
+    """Windows are joined by a hash of theirs: a task that sorts words holds as many as fit its memory."""
+    rows = [(1, i, 100 * i, k, 0 if k == 0 else 3000, 6000 if k == 0 else 9000) for i in range(90) for k in (0, 1) if (100 * i < 6000 if k == 0 else 100 * i >= 3000)]
+    words = spark.createDataFrame(rows, "video_id bigint, seq bigint, start_ms bigint, win_no bigint, w_start bigint, w_end bigint")
+    out = W.stitch_windows(words)
+    assert sorted((r["seq"], r["win_no"]) for r in out.collect()) == [(i, int(i >= 45)) for i in range(90)]
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = W.stitch_windows(words)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
