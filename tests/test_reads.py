@@ -180,3 +180,12 @@ def test_stitching_sorts_no_words(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_texts_are_dealt_to_more_tasks_as_they_grow(spark, sf, monkeypatch):
+    """A fixed number of tasks sorted more words each with every larger table, and spilled them."""
+    from cadenza.sources import views as V
+
+    assert V.texts(spark, sf).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(V, "TASK_BYTES", 1 << 10, raising=False)
+    assert V.texts(spark, sf).rdd.getNumPartitions() > 40
