@@ -125,7 +125,7 @@ def _(spark, d):
 
 
 def other_words(spark, d):
-    w = V.words(spark, d).where("seq % 19 <> 0 and video_id % 41 <> 0")
+    w = V.words(spark, d).where("if(video_id % 41 = 0, seq < 0, seq % 19 <> 0)")  # in one condition, so that texts are dealt once for both sides
     return w.withColumn("word", F.when(F.col("seq") % 23 == 0, F.reverse(F.lower("word"))).otherwise(F.col("word")))
 
 
@@ -136,7 +136,7 @@ def _(spark, d):
 
 @query("sm8_diff_hunks")
 def _(spark, d):
-    return L.diff_hunks(V.words(spark, d), other_words(spark, d))
+    return L.diff_hunks(V.words(spark, d), other_words(spark, d), tasks=V.text_tasks(spark, d))
 
 
 @query("ag23_compare_summary")

@@ -23,16 +23,20 @@ def mixed(a: str, b: str, m: int) -> Column:
 TASK_BYTES = 4 << 20
 
 
+def text_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """To how many tasks texts are dealt."""
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet")
+    size = files.agg(F.sum("length")).first()[0] or 0  # lengths alone; contents are not read
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id and text of documents, dealt by doc_id before they are taken apart.
 
     So texts are shuffled, once for all views with a video's rows together, and not their words, which take many times the
     bytes. A number is given, so that small texts do not end up in few tasks; it grows with the files, as a task sorts its words.
     """
-    files = spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet")
-    size = files.agg(F.sum("length")).first()[0] or 0  # lengths alone; contents are not read
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
-    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(tasks, "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition(text_tasks(spark, sf_dir), "doc_id")
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,3 +218,43 @@ def test_words_are_not_shuffled_after_their_texts(spark, sf):
 
     plan = L.numbered(V.words(spark, sf))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(doc_id" in plan
+
+
+@pytest.mark.parametrize("batch", [3, 10_000])
+def test_hunks_of_long_stretches_over_batches(spark, batch):
+    """The middle of a long stretch is left out, surroundings reach over several gaps and into other batches."""
+    rng = random.Random(11)
+    a = {v: [f"w{i}" for i in range(n)] for v, n in enumerate((0, 1, 5, 200, 333))}
+    b = {v: [w for i, w in enumerate(x) if not (60 < i % 100 < 90 and rng.random() < 0.3)] + ["end"] * (v % 2) for v, x in a.items()}
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        rows = L.diff_hunks(words(spark, a), words(spark, b), context=6).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    want = []
+    for v, x in a.items():
+        ops = [o for o in SequenceMatcher(None, x, b[v], False).get_opcodes() if o[0] != "equal"]
+        want += [
+            (v, n, (100 * min(i, len(x) - 1)) if x else None, " ".join(x[max(0, i - 6) : i]), " ".join(x[i:j]), " ".join(b[v][k:m]), " ".join(x[j : j + 6]))
+            for n, (_, i, j, k, m) in enumerate(ops)
+        ]
+    assert sorted(tuple(r) for r in rows) == want and len(want) > 20
+
+
+def exchanges(spark, sf, query, monkeypatch):
+    """How rows are dealt in a query whose texts go to more tasks than shuffles have, besides for sums of a task."""
+    import re
+
+    from __spark_entry__ import queries
+    from cadenza.sources import views as V
+
+    monkeypatch.setattr(V, "TASK_BYTES", 20_000)
+    assert V.text_tasks(spark, sf) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = queries()[query](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\d+)\), (\w+)|Exchange (hash\w+\(.*)", plan)
+
+
+def test_hunks_are_told_where_texts_were_dealt(spark, sf, monkeypatch):
+    found = exchanges(spark, sf, "sm8_diff_hunks", monkeypatch)
+    assert {x[2] for x in found} == {"REPARTITION_BY_NUM"} and len({x[1] for x in found}) == 1, found
