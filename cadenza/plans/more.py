@@ -131,7 +131,7 @@ def other_words(spark, d):
 
 @query("sm7_align_words")
 def _(spark, d):
-    return L.align_words(V.words(spark, d), other_words(spark, d))
+    return L.align_words(V.words(spark, d), other_words(spark, d), V.text_tasks(spark, d))
 
 
 @query("sm8_diff_hunks")

@@ -258,3 +258,15 @@ def exchanges(spark, sf, query, monkeypatch):
 def test_hunks_are_told_where_texts_were_dealt(spark, sf, monkeypatch):
     found = exchanges(spark, sf, "sm8_diff_hunks", monkeypatch)
     assert {x[2] for x in found} == {"REPARTITION_BY_NUM"} and len({x[1] for x in found}) == 1, found
+
+
+@pytest.mark.parametrize("query", ["sm7_align_words"])
+def test_words_to_align_stay_where_texts_were_dealt(spark, sf, monkeypatch, query):
+    """Words are not dealt again, however many tasks their texts went to; sums of a task are."""
+    from __spark_entry__ import queries
+    from cadenza.sources import views as V
+
+    monkeypatch.setattr(V, "TASK_BYTES", 20_000)
+    plan = queries()[query](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
+    dealt = [(line, below) for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning" in line]
+    assert dealt and all("REPARTITION_BY_NUM" in line or "HashAggregate" in below for line, below in dealt), dealt
