@@ -141,7 +141,7 @@ def _(spark, d):
 
 @query("ag23_compare_summary")
 def _(spark, d):
-    return L.compare_summary(L.align_words(V.words(spark, d), other_words(spark, d)))
+    return L.compare_summary(L.align_words(V.words(spark, d), other_words(spark, d), V.text_tasks(spark, d)))
 
 
 @query("tk3_worst_pairs")
