@@ -146,7 +146,7 @@ def _(spark, d):
 
 @query("tk3_worst_pairs")
 def _(spark, d):
-    return L.compare_transcripts(V.words(spark, d), other_words(spark, d))
+    return L.compare_transcripts(V.words(spark, d), other_words(spark, d), tasks=V.text_tasks(spark, d))
 
 
 @query("sm2_pair_ratio")

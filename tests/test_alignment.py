@@ -260,7 +260,7 @@ def test_hunks_are_told_where_texts_were_dealt(spark, sf, monkeypatch):
     assert {x[2] for x in found} == {"REPARTITION_BY_NUM"} and len({x[1] for x in found}) == 1, found
 
 
-@pytest.mark.parametrize("query", ["sm7_align_words", "ag23_compare_summary"])
+@pytest.mark.parametrize("query", ["sm7_align_words", "ag23_compare_summary", "tk3_worst_pairs"])
 def test_words_to_align_stay_where_texts_were_dealt(spark, sf, monkeypatch, query):
     """Words are not dealt again, however many tasks their texts went to; sums of a task are."""
     from __spark_entry__ import queries
