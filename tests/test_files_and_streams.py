@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.sources import readers as R
 from cadenza.sources import sinks
@@ -210,3 +211,34 @@ def test_artifacts_are_written_by_tasks(spark, tmp_path):
     names = [f"d{i}" for i in range(100_000)]
     reader.only = set(names)
     assert len(reader.partitions()) <= S.TASKS
+
+
+def test_tables_have_few_files_and_keep_other_videos(spark, tmp_path, monkeypatch):
+    """Videos share files; ids stay what they are, also as another type; a broken write leaves all as it was."""
+    path = str(tmp_path / "t")
+    table = lambda: sorted((r["video_id"], r["n"], r["id"]) for r in spark.read.parquet(path).collect())
+    first = spark.range(3000).selectExpr("lpad(cast(id div 2 as string), 6, '0') as video_id", "id", "1 as n")
+    sinks.write_table(first, path)
+    want = sorted(tuple(r) for r in first.select("video_id", "n", "id").collect())
+    assert table() == want and len(list((tmp_path / "t").glob("*.parquet"))) <= sinks.FILES and not list((tmp_path / "t").glob("_*"))
+    again = first.where("id % 6 = 0").withColumn("n", F.lit(2))
+    monkeypatch.setattr(sinks, "FILES", 7)  # the table has its own number
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(sinks._Place, "replace", lambda *_: (_ for _ in ()).throw(RuntimeError()))
+        sinks.write_table(again, path)
+    assert table() == want and not list((tmp_path / "t").glob("_*"))
+    sinks.write_table(again, path)
+    gone = {f"{v:06}" for v in range(0, 1500, 3)}
+    assert table() == sorted([r for r in want if r[0] not in gone] + [(v, 2, 2 * int(v)) for v in gone])
+    before = table()
+    sinks.write_table(again.limit(0), path)
+    assert table() == before
+    numbers = str(tmp_path / "numbers")
+    sinks.write_table(spark.sql("select 1L as video_id, 1 as n union all select null, 2 union all select 3, 3"), numbers)
+    sinks.write_table(spark.sql("select 1 as video_id, 4 as n union all select null, 5"), numbers)
+    assert sorted((r["video_id"] or 0, r["n"]) for r in spark.read.parquet(numbers).collect()) == [(0, 5), (1, 4), (3, 3)]
+    sinks.write_table(spark.createDataFrame([], "video_id string, n int"), str(tmp_path / "none"))
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+    (tmp_path / "other/video_id=1").mkdir(parents=True)
+    with pytest.raises(ValueError):
+        sinks.write_table(again, str(tmp_path / "other"))
