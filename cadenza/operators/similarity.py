@@ -18,7 +18,7 @@ FREQUENT = "etaoinsrhldcu"
 
 
 #: Characters of pairs that are matched together.
-TOGETHER = 200_000
+TOGETHER = 50_000
 
 
 def _in_parts(a: pd.Series, b: pd.Series) -> Iterator[tuple[list, list]]:

@@ -270,3 +270,18 @@ def test_words_to_align_stay_where_texts_were_dealt(spark, sf, monkeypatch, quer
     plan = queries()[query](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
     dealt = [(line, below) for line, below in zip(plan, plan[1:]) if "Exchange hashpartitioning" in line]
     assert dealt and all("REPARTITION_BY_NUM" in line or "HashAggregate" in below for line, below in dealt), dealt
+
+
+def test_short_blocks_are_not_searched_for(monkeypatch):
+    """Gaps without long blocks are asked once whether they have one, then for each short length."""
+    asked = []
+    keys = M._Pairs.keys
+    monkeypatch.setattr(M._Pairs, "keys", lambda self, *a: asked.append(1) or keys(self, *a))
+    r = random.Random(2)
+    x, y = ("".join(r.choice("etaoin shrdlu") for _ in range(4000)) for _ in range(2))
+    blocks = M.matching_blocks([M.letters(x)], [M.letters(y)])[0]
+    assert M.opcodes(blocks, len(x), len(y)) == SequenceMatcher(None, x, y, False).get_opcodes()
+    assert len(asked) <= 2 * (M.SHORT + 2)
+    for short in (0, 1, 3, 50):
+        monkeypatch.setattr(M, "SHORT", short)
+        test_matching_blocks_are_the_plain_ones(True)
