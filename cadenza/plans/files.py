@@ -26,11 +26,13 @@ def place(spark: SparkSession) -> str:
     return f"{named}/files-{uuid.uuid4()}"
 
 
-def artifacts(rows: DataFrame, fields: list[str], order: str, name: str) -> str:
-    """Root of a folder for each video with its rows as one JSON list, in order, in the file name."""
+def artifacts(rows: DataFrame, fields: list[str], order: str, name: str, dealt: bool = False) -> str:
+    """Root of a folder for each video with its rows' fields as one JSON list, in order, in the file name."""
     root = place(rows.sparkSession)
-    lists = rows.groupBy("video_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct(order, *(f for f in fields if f != order))))).alias("value"))
-    write_artifacts(lists, root, name)
+    held = F.array_sort(F.collect_list(F.struct(order, *(f for f in fields if f != order))))
+    if order not in fields:
+        held = F.transform(held, lambda x: F.struct(*(x[f].alias(f) for f in fields)))
+    write_artifacts(rows.groupBy("video_id").agg(F.to_json(held).alias("value")), root, name, dealt)
     return root
 
 
@@ -40,14 +42,16 @@ def numbered(df: DataFrame) -> DataFrame:
 
 @query("src1_read_words", "SELECT video_id, seq, word, start_ms, end_ms, seg_end FROM f_words")
 def _(spark, d):
+    """Lists of words take ten times the bytes of their texts, so the files are compressed, and written where texts were dealt."""
     w = V.words(spark, d).select("video_id", "seq", F.col("word").alias("text"), (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"), "seg_end")
-    return numbered(R.read_words(spark, artifacts(w, ["text", "start", "end", "seg_end"], "seq", "words.json")))
+    name = "words.json.zst"
+    return numbered(R.read_words(spark, artifacts(w, ["text", "start", "end", "seg_end"], "seq", name, dealt=True), name))
 
 
 @query("src2_read_sentences", "SELECT video_id, id, text, start_ms, end_ms FROM f_sentences")
 def _(spark, d):
     s = V.sentences(spark, d).select("video_id", "id", "text", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end"))
-    return numbered(R.read_sentences(spark, artifacts(s, ["text", "start", "end"], "id", "sentences.json")))
+    return numbered(R.read_sentences(spark, artifacts(s, ["id", "text", "start", "end"], "id", "sentences.json")))
 
 
 @query("src3_read_draft", """SELECT video_id, id, text AS text_ru, NULL::VARCHAR AS reason FROM f_draft WHERE id % 7 <> 3 AND id % 11 <> 5
@@ -57,14 +61,14 @@ def _(spark, d):
     rows = V.draft(spark, d).withColumn("text_ru", F.when(F.col("id") % 7 != 3, F.col("text")))
     times = F.expr("sequence(1, if(id % 7 <> 3 and id % 11 = 5, 2, 1))")
     rows = rows.withColumn("copy", F.explode(times)).drop("copy")
-    read = R.draft_rows(spark, artifacts(rows, ["text_ru"], "id", "draft.json"))
+    read = R.draft_rows(spark, artifacts(rows, ["id", "text_ru"], "id", "draft.json"))
     return numbered(read.select("video_id", "id", F.when(F.col("reason").isNull(), F.col("text_ru")).alias("text_ru"), "reason"))
 
 
 @query("src10_read_inventory", "SELECT conv_id AS video_id, count(*) AS n FROM (SELECT DISTINCT conv_id FROM conversations) GROUP BY 1")
 def _(spark, d):
     turns = V.table(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), "turn", "text")
-    i = R.read_inventory(spark, artifacts(turns, ["text"], "turn", "turns.json")).where("bytes > 0 and artifact = 'turns.json'")
+    i = R.read_inventory(spark, artifacts(turns, ["turn", "text"], "turn", "turns.json")).where("bytes > 0 and artifact = 'turns.json'")
     return numbered(i).groupBy("video_id").agg(F.count("*").alias("n"))
 
 

@@ -29,6 +29,8 @@ FOLDERS, TASKS = 32, 400
 MANY, FEW = 1024, 100
 #: Files that leave a task together.
 BATCH_BYTES = 16 << 20
+#: How files are compressed, by the end of their name, as pyarrow's streams take it.
+PACKED = {".zst": "zstd", ".gz": "gzip", ".bz2": "bz2", ".lz4": "lz4"}
 #: How partitioned writers call the folder of a video.
 PREFIX = f"{KEY}="
 
@@ -47,6 +49,17 @@ def opened(root: str) -> tuple[fs.FileSystem, str]:
     return files, base.rstrip("/")
 
 
+def unpacked(name: str, raw: bytes) -> bytes:
+    """What a file holds; of one that is compressed, by its name, and torn, nothing."""
+    kind = PACKED.get(os.path.splitext(name)[1])
+    if kind is None:
+        return raw
+    try:
+        return pa.CompressedInputStream(pa.BufferReader(raw), kind).read()
+    except OSError:
+        return b""
+
+
 class Folders(InputPartition):
     def __init__(self, names: list[str]):
         self.names = names
@@ -90,8 +103,8 @@ class ArtifactReader(DataSourceReader):
                 text = None
                 if self.contents:
                     try:
-                        with files.open_input_stream(i.path) as stream:
-                            text = stream.read().decode("utf-8-sig", "replace")
+                        with files.open_input_stream(i.path, compression=None) as stream:
+                            text = unpacked(i.base_name, stream.read()).decode("utf-8-sig", "replace")
                     except FileNotFoundError:
                         continue
                 yield video, i.base_name, text, i.mtime, i.size
@@ -107,7 +120,7 @@ class ArtifactReader(DataSourceReader):
         size = 0
         for row in self._found(partition.names):
             held.append(row)
-            size += row[4] if self.contents else 64
+            size += len(row[2]) if self.contents else 64
             if size >= BATCH_BYTES:
                 yield batch(held)
                 held, size = [], 0
@@ -116,7 +129,7 @@ class ArtifactReader(DataSourceReader):
 
 
 class ArtifactWriter(DataSourceArrowWriter):
-    """Files root/video_id=<video>/<name>, one for each row; a file that is there is replaced.
+    """Files root/video_id=<video>/<name>, one for each row; a file that is there is replaced. A name in .zst or .gz is compressed so.
 
     A file appears whole under its name, so a task that runs again does no harm. Files of a job that fails stay.
     """
@@ -126,7 +139,7 @@ class ArtifactWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         files, base = opened(self.root)
-        hidden = f".{self.name}.{uuid.uuid4()}"
+        hidden = f".{uuid.uuid4()}.{self.name}"  # its end tells how it is compressed
         for batch in iterator:
             for video, text in zip(batch.column(KEY).to_pylist(), batch.column("value").to_pylist(), strict=True):
                 folder = f"{base}/{PREFIX}{escaped(video)}"
@@ -164,15 +177,17 @@ def artifacts(spark: SparkSession, root: str, name: str = "*", contents: bool =
     return spark.read.format("artifacts").option("name", name).option("contents", str(contents).lower()).load(root)
 
 
-def write_artifacts(rows: DataFrame, root: str, name: str) -> None:
+def write_artifacts(rows: DataFrame, root: str, name: str, dealt: bool = False) -> None:
     """A file root/video_id=<video>/<name> for each row (video_id, value), as many tasks at a time as shuffles have; other files stay.
 
-    Rows of one video must not be two. The filesystem of root is one that pyarrow opens.
+    Rows of one video must not be two. Rows that are dealt to enough tasks are not shuffled. The filesystem of root is one that
+    pyarrow opens.
     """
     spark = rows.sparkSession
     spark.dataSource.register(ArtifactSource)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a number given, so that small rows do not end up in one task
-    each = rows.select(F.col(KEY).cast("string").alias(KEY), F.coalesce("value", F.lit("")).alias("value")).repartition(tasks, KEY)
+    each = rows.select(F.col(KEY).cast("string").alias(KEY), F.coalesce("value", F.lit("")).alias("value"))
+    if not dealt:
+        each = each.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), KEY)  # a number given, so that small rows do not end up in one task
     each.write.format("artifacts").mode("append").option("name", name).save(root)
 
 

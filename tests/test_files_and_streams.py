@@ -242,3 +242,38 @@ def test_tables_have_few_files_and_keep_other_videos(spark, tmp_path, monkeypatc
     (tmp_path / "other/video_id=1").mkdir(parents=True)
     with pytest.raises(ValueError):
         sinks.write_table(again, str(tmp_path / "other"))
+
+
+def test_artifacts_are_compressed_by_their_name(spark, tmp_path):
+    """Read as they were; a torn one is one row, as others are; rows that are dealt stay in their tasks."""
+    import gzip
+
+    from cadenza.sources import artifacts as S
+
+    text = json.dumps([{"text": f"w{i}", "start": i / 10, "end": i / 10, "seg_end": False} for i in range(2000)])
+    rows = spark.createDataFrame([("a", text), ("b", "[]"), ("c", text)], "video_id string, value string")
+    S.write_artifacts(rows, str(tmp_path), "words.json.zst", dealt=True)
+    files = sorted(tmp_path.rglob("words.json.zst"))
+    assert len(files) == 3 and len(list(tmp_path.rglob("*"))) == 6 and files[0].stat().st_size < len(text) / 4
+    (tmp_path / "video_id=c/words.json.zst").write_bytes(files[2].read_bytes()[:200])
+    put(tmp_path / "video_id=d/other.json", "{}")
+    (tmp_path / "video_id=d/words.json.gz").write_bytes(gzip.compress(b'[{"text": "x"}]'))
+    got = {r["video_id"]: r["value"] for r in S.artifacts(spark, str(tmp_path), "words.json.*").collect()}
+    assert got == {"a": text, "b": "[]", "c": "", "d": '[{"text": "x"}]'}
+    read = R.read_words(spark, str(tmp_path), "words.json.zst")
+    assert read.count() == 2000 and R.read_artifact(spark, str(tmp_path), "words.json.zst", R.WORDS).where("_corrupt is not null").count() == 1
+
+
+def test_words_are_written_where_their_texts_were_dealt(spark, sf, monkeypatch, tmp_path):
+    from cadenza.plans import files
+    from cadenza.plans.registry import QUERIES
+    from cadenza.sources import artifacts as S
+
+    monkeypatch.setattr(files, "place", lambda _: str(tmp_path))
+    written = []
+    save = files.write_artifacts
+    monkeypatch.setattr(files, "write_artifacts", lambda rows, root, name, *a, **k: (written.append((rows, name)), save(rows, root, name, *a, **k)))
+    count = QUERIES["src1_read_words"](spark, sf).count()
+    rows, name = written[0]
+    assert count > 1000 and name == "words.json.zst" and rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert not list(tmp_path.rglob("words.json")) and S.artifacts(spark, str(tmp_path), name).count() > 100
