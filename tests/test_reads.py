@@ -189,3 +189,34 @@ def test_texts_are_dealt_to_more_tasks_as_they_grow(spark, sf, monkeypatch):
     assert V.texts(spark, sf).rdd.getNumPartitions() == 4
     monkeypatch.setattr(V, "TASK_BYTES", 1 << 10, raising=False)
     assert V.texts(spark, sf).rdd.getNumPartitions() > 40
+
+
+def test_gate_leaves_its_timer(spark):
+    """What arrives before the deadline sets no timer anew; one that fires too early is set for when the video is due."""
+    from unittest.mock import MagicMock
+
+    import pandas as pd
+
+    from cadenza.streaming.arrivals import _Gate
+
+    timers, held = [], {}
+    handle, now, head = MagicMock(), MagicMock(), MagicMock()
+    handle.registerTimer.side_effect = lambda at: timers.append(("set", at))
+    handle.deleteTimer.side_effect = lambda at: timers.append(("gone", at))
+    head.get.side_effect = lambda: held.get("head")
+    head.update.side_effect = lambda v: held.update(head=v)
+    head.clear.side_effect = lambda: held.pop("head", None)
+    handle.getValueState.side_effect = lambda *a: head
+    gate = _Gate(600)
+    gate.init(handle)
+
+    def at(ms, *rows):
+        now.getCurrentProcessingTimeInMs.return_value = ms
+        out = gate.handleInputRows(("v",), iter([pd.DataFrame(rows, columns=["video_id", "kind", "id"])]), now) if rows else gate.handleExpiredTimer(("v",), now, MagicMock())
+        return [x for d in out for x in d.values.tolist()]
+
+    assert at(0, ("v", "want", 0)) == at(100, ("v", "want", 5)) == at(200, ("v", "have", 0)) == [] and timers == [("set", 600)]
+    assert at(650) == [] and timers == [("set", 600), ("set", 800)]
+    gate.deadline_ms = 10
+    assert at(700, ("v", "have", 1)) == [] and timers[2:] == [("gone", 800), ("set", 710)]
+    assert at(720) == [["v", "pending", 2, [5]]] and not held
